@@ -125,6 +125,7 @@ class PieceModel:
         if self.cut_spaces:
             space = raw == 32
             mark[1:-1] |= space[1:] & ~space[:-1]
+            mark[3:-1] &= ~((raw[:-3] == 0xE2) & (raw[1:-2] == 0x96) & (raw[2:-1] == 0x81))  # the space mark itself
         if self.cut_lines:
             line = raw == 10
             mark[:-1] |= line
