@@ -8,13 +8,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import piece_codec, token_archive
+from . import piece_codec, sharding, token_archive, warc
+from .common import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents arrive in four parts, are compacted, and are read back through the last manifest."""
+    root = scratch_path(spark, "sharding")
+    sharding.append(_table(spark, sf_dir, "documents"), root, arrival=F.pmod(F.xxhash64("doc_id"), F.lit(4)))
+    version = sharding.compact(spark, root)
+    sharding.vacuum(spark, root, version)
+    rows = sharding.read(spark, root, version)
+    return rows.select("doc_id", "lang", "source", "n_chars", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
+
+
 def op2_token_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return token_archive.read_archive(token_archive.archive_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2))
@@ -25,9 +36,18 @@ def op4_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.round_trip(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.page_records(warc.write_warc(_table(spark, sf_dir, "pages")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_archive, op4_piece_codec)}
+    return {f.__name__: f for f in (op1_sharding, op2_token_archive, op4_piece_codec, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_sharding": SHARDING}
+
+
+SHARDING = """
+select doc_id, lang, source, n_chars, sha256(text) as text_sha256 from documents
+"""
