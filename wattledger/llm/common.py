@@ -47,7 +47,7 @@ def forget(df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def text_slices(batch: pa.RecordBatch, column: str, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def text_slices(batch: pa.RecordBatch, column: str, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch into slices of about ``most_bytes`` of text, one row at least, so that memory stays bounded."""
     sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch[column]), 0), dtype=np.int64)
     start, held = 0, 0
@@ -63,11 +63,15 @@ def text_slices(batch: pa.RecordBatch, column: str, most_bytes: int = 8 << 20) -
 class SegmentEncoder:
     """Encodes each distinct segment once and assembles whole texts from the cached ids.
 
-    ``encode`` maps a list of distinct strings to lists of ids. The cache is emptied at ``most`` entries.
+    ``encode`` maps one string to its ids. Segments are encoded many at a time, joined by ``mark``, a string whose one
+    id tells where a segment ends; those that hold ``mark`` or anything of ``alone`` are encoded by themselves, and so
+    are all if ``mark`` has no id of its own. The cache is emptied at ``most`` entries.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], most: int = 400_000):
-        self.encode, self.most = encode, most
+    def __init__(self, encode: Callable[[str], list[int]], mark: str, alone: tuple[str, ...] = (), most: int = 500_000):
+        self.encode, self.mark, self.alone, self.most = encode, mark, (mark.strip(" "), *alone), most
+        found = encode(mark)
+        self.mark_id = found[0] if len(found) == 1 else None
         self._clear()
 
     def _clear(self) -> None:
@@ -78,19 +82,30 @@ class SegmentEncoder:
         self.used = 0
 
     def _learn(self, segments: list[str]) -> None:
-        found = self.encode(segments)
-        counts = np.fromiter(map(len, found), np.int32, len(found))
-        ids = np.fromiter((x for y in found for x in y), np.uint32, int(counts.sum()))
+        odd = {s for s in segments if self.mark_id is None or any(x in s for x in self.alone)}
+        plain = [s for s in segments if s not in odd]
+        for i in range(0, len(plain), 2000):
+            some = plain[i : i + 2000]
+            ids = np.array(self.encode(self.mark.join(some)), np.uint32)
+            ends = np.flatnonzero(ids == self.mark_id)
+            if len(ends) != len(some) - 1:
+                raise ValueError("the mark isn't encoded alone")
+            self._add(some, np.delete(ids, ends), np.diff(ends, prepend=-1, append=len(ids)) - 1)
+        for s in sorted(odd):
+            ids = np.array(self.encode(s), np.uint32)
+            self._add([s], ids, np.array([len(ids)]))
+
+    def _add(self, segments: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
         n, total = len(self.where), self.used + len(ids)
         while total > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while n + len(found) > len(self.starts):
+        while n + len(segments) > len(self.starts):
             self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
             self.counts = np.concatenate([self.counts, np.zeros_like(self.counts)])
         self.flat[self.used : total] = ids
-        self.starts[n : n + len(found)] = self.used + np.cumsum(counts) - counts
-        self.counts[n : n + len(found)] = counts
-        self.where.update(zip(segments, range(n, n + len(found)), strict=True))
+        self.starts[n : n + len(segments)] = self.used + np.cumsum(counts) - counts
+        self.counts[n : n + len(segments)] = counts
+        self.where.update(zip(segments, range(n, n + len(segments)), strict=True))
         self.used = total
 
     def __call__(self, segments: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -111,6 +126,23 @@ class SegmentEncoder:
         return self.flat[gather], counts
 
 
+def string_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Buffer | None, int]:
+    """The UTF-8 bytes of a string array without nulls, the bounds of its texts in them, and the buffer and where they begin in it."""
+    bounds = np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, 4 * texts.offset)
+    data = texts.buffers()[2]
+    first, last = int(bounds[0]), int(bounds[-1])
+    raw = np.frombuffer(data, np.uint8)[first:last] if data is not None and last > first else np.zeros(0, np.uint8)
+    return raw, bounds - first, data, first
+
+
+def cut_at(mark: np.ndarray, bounds: np.ndarray, data: pa.Buffer | None, first: int) -> tuple[pa.Array, np.ndarray]:
+    """The texts cut wherever ``mark`` is set, and the bounds of each text among the cuts; no byte is copied."""
+    mark[bounds] = True
+    ends = np.flatnonzero(mark)
+    cuts = pa.Array.from_buffers(pa.string(), len(ends) - 1, [None, pa.py_buffer((ends + first).astype(np.int32)), data or pa.py_buffer(b"")])
+    return cuts, np.searchsorted(ends, bounds)
+
+
 def with_marks(ids: np.ndarray, bounds: np.ndarray, first: int | None, last: int | None) -> tuple[np.ndarray, np.ndarray]:
     """Put ``first`` before and ``last`` after the ids of each text; ``bounds`` has one more entry than there are texts."""
     n = len(bounds) - 1

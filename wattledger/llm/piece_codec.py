@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SegmentEncoder, text_slices, with_marks
+from .common import SegmentEncoder, cut_at, string_bytes, text_slices, with_marks
 
 SPACE = "▁"
 
@@ -112,16 +112,12 @@ class PieceModel:
         spec.add_dummy_prefix = False
         spec.precompiled_charsmap = b""
         self.bare = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
-        self.encoder = SegmentEncoder(lambda cuts: self.bare.encode(cuts, num_threads=1))
+        self.encoder = SegmentEncoder(self.bare.encode, "\n" if self.cut_lines else "")
 
     def _cuts(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
         """Pieces of the texts that can be encoded alone, and the bounds of each text among them."""
-        offsets = np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, 4 * texts.offset)
-        data = texts.buffers()[2]
-        raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
-        first, last = int(offsets[0]), int(offsets[-1])
-        mark = np.zeros(last - first + 1, bool)
-        raw = raw[first:last]
+        raw, bounds, data, first = string_bytes(texts)
+        mark = np.zeros(len(raw) + 1, bool)
         if self.cut_spaces:
             space = raw == 32
             mark[1:-1] |= space[1:] & ~space[:-1]
@@ -130,10 +126,7 @@ class PieceModel:
             line = raw == 10
             mark[:-1] |= line
             mark[1:] |= line
-        mark[offsets - first] = True
-        ends = np.flatnonzero(mark)
-        cuts = pa.Array.from_buffers(pa.string(), len(ends) - 1, [None, pa.py_buffer((ends + first).astype(np.int32)), data])
-        return cuts, np.searchsorted(ends, offsets - first)
+        return cut_at(mark, bounds, data, first)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts without marks, bounds between texts, and the byte span of each piece in its text."""

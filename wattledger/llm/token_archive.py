@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import SegmentEncoder, keep, scratch_path, text_slices, with_marks
+from .common import SegmentEncoder, cut_at, keep, scratch_path, string_bytes, text_slices, with_marks
 
 MAGIC = b"EFTOKEN1"
 HEADER = struct.Struct("<8sBxxxIQQ")  # magic, bytes an id, rows without doc id, documents, ids
@@ -107,21 +107,33 @@ def _encoder(path: str) -> SegmentEncoder:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        _encoders[path] = SegmentEncoder(lambda words: [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)])
+        _encoders[path] = SegmentEncoder(lambda text: tokenizer.encode(text, add_special_tokens=False).ids, " \x01 ", tuple(t.content for t in tokenizer.get_added_tokens_decoder().values()))
     return _encoders[path]
 
 
+_WHITE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+_LETTER = np.array([chr(i).isalpha() and i < 128 for i in range(256)])
+_SIGN = np.array([32 < i < 127 and not chr(i).isalnum() for i in range(256)])
+
+
 def encode_batch(texts: pa.Array, encoder: SegmentEncoder, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts with the end id after each, and the bounds between texts.
 
-    Texts are cut at ASCII white space. The tokenizer drops white space before it forms words and no added
-    token holds any, so the ids of the cuts, one after the other, are the ids of the whole text.
+    Texts are cut before ASCII white space, and between an ASCII letter and an ASCII sign after it. The tokenizer
+    drops white space before it forms words, none of its words goes on from a letter to a sign, and no added token
+    holds white space or a letter before a sign other than its own; so the ids of the cuts are those of the text.
     """
-    words = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
-    offsets = np.asarray(words.offsets, dtype=np.int64)
-    ids, counts = encoder(words.flatten())
+    texts = pc.fill_null(texts.cast(pa.string()), "")
+    raw, bounds, data, first = string_bytes(texts)
+    mark = np.zeros(len(raw) + 1, bool)
+    white = _WHITE[raw]
+    mark[1:-1] = (white[1:] & ~white[:-1]) | (_LETTER[raw[:-1]] & _SIGN[raw[1:]])
+    if np.asarray(pc.match_substring(texts, "<|")).any():  # added tokens: letters before a sign there
+        mark[1:-1] = white[1:] & ~white[:-1]
+    cuts, edges = cut_at(mark, bounds, data, first)
+    ids, counts = encoder(cuts)
     passed = np.concatenate([[0], np.cumsum(counts)])
-    return with_marks(ids, passed[offsets - offsets[0]], None, end_id)
+    return with_marks(ids, passed[edges], None, end_id)
 
 
 def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int, width: int = 2) -> DataFrame:
