@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import piece_codec, sharding, token_archive, warc
+from . import html_main, piece_codec, sharding, token_archive, toxicity, warc
 from .common import scratch_path
 
 
@@ -31,17 +31,25 @@ def op2_token_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_archive.read_archive(token_archive.archive_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2))
 
 
+def op3_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main.extract(_table(spark, sf_dir, "pages"))
+
+
 def op4_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return piece_codec.round_trip(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_records(warc.write_warc(_table(spark, sf_dir, "pages")))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op2_token_archive, op4_piece_codec, op10_warc)}
+    return {f.__name__: f for f in (op1_sharding, op2_token_archive, op3_html_main, op4_piece_codec, op7_toxicity, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
