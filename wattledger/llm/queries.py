@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_main, piece_codec, sharding, token_archive, toxicity, warc
+from . import decontaminate, html_main, piece_codec, sharding, token_archive, toxicity, unit_dedup, warc
 from .common import scratch_path
 
 
@@ -40,16 +40,25 @@ def op4_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.round_trip(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op5_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each removed run: documents without one don't appear."""
+    return unit_dedup.repeated_runs(_table(spark, sf_dir, "documents")).drop("version")
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_records(warc.write_warc(_table(spark, sf_dir, "pages")))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op2_token_archive, op3_html_main, op4_piece_codec, op7_toxicity, op10_warc)}
+    return {f.__name__: f for f in (op1_sharding, op2_token_archive, op3_html_main, op4_piece_codec, op5_unit_dedup, op7_toxicity, op8_decontaminate, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
