@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -34,7 +35,7 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: lineage ends there and survives lost executors."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -49,7 +50,7 @@ def forget(df: DataFrame) -> None:
 
 def text_slices(batch: pa.RecordBatch, column: str, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch into slices of about ``most_bytes`` of text, one row at least, so that memory stays bounded."""
-    sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch[column]), 0), dtype=np.int64)
+    sizes = np.asarray(pc.fill_null(pc.binary_length(batch[column]), 0), dtype=np.int64)
     start, held = 0, 0
     for i, size in enumerate(sizes.tolist()):
         if i > start and held + size > most_bytes:
@@ -68,7 +69,7 @@ class SegmentEncoder:
     are all if ``mark`` has no id of its own. The cache is emptied at ``most`` entries.
     """
 
-    def __init__(self, encode: Callable[[str], list[int]], mark: str, alone: tuple[str, ...] = (), most: int = 500_000):
+    def __init__(self, encode: Callable[[str], list[int]], mark: str, alone: tuple[str, ...] = (), most: int = 700_000):
         self.encode, self.mark, self.alone, self.most = encode, mark, (mark.strip(" "), *alone), most
         found = encode(mark)
         self.mark_id = found[0] if len(found) == 1 else None
@@ -82,16 +83,21 @@ class SegmentEncoder:
         self.used = 0
 
     def _learn(self, segments: list[str]) -> None:
-        odd = {s for s in segments if self.mark_id is None or any(x in s for x in self.alone)}
-        plain = [s for s in segments if s not in odd]
-        for i in range(0, len(plain), 2000):
-            some = plain[i : i + 2000]
-            ids = np.array(self.encode(self.mark.join(some)), np.uint32)
-            ends = np.flatnonzero(ids == self.mark_id)
-            if len(ends) != len(some) - 1:
-                raise ValueError("the mark isn't encoded alone")
-            self._add(some, np.delete(ids, ends), np.diff(ends, prepend=-1, append=len(ids)) - 1)
-        for s in sorted(odd):
+        odd = [] if self.mark_id is not None else segments
+        for i in range(0, 0 if odd else len(segments), 2000):
+            some = segments[i : i + 2000]
+            joined = self.mark.join(some)
+            if joined.count(self.alone[0]) >= len(some) or any(x in joined for x in self.alone[1:]):
+                odd = odd + [s for s in some if any(x in s for x in self.alone)]
+                some = [s for s in some if not any(x in s for x in self.alone)]
+                joined = self.mark.join(some)
+            if some:
+                ids = np.array(self.encode(joined), np.uint32)
+                ends = np.flatnonzero(ids == self.mark_id)
+                if len(ends) != len(some) - 1:
+                    raise ValueError("the mark isn't encoded alone")
+                self._add(some, np.delete(ids, ends), np.diff(ends, prepend=-1, append=len(ids)) - 1)
+        for s in odd:
             ids = np.array(self.encode(s), np.uint32)
             self._add([s], ids, np.array([len(ids)]))
 

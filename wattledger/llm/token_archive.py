@@ -121,14 +121,17 @@ def encode_batch(texts: pa.Array, encoder: SegmentEncoder, end_id: int) -> tuple
 
     Texts are cut before ASCII white space, and between an ASCII letter and an ASCII sign after it. The tokenizer
     drops white space before it forms words, none of its words goes on from a letter to a sign, and no added token
-    holds white space or a letter before a sign other than its own; so the ids of the cuts are those of the text.
+    holds white space; so the ids of the cuts are those of the text.
     """
     texts = pc.fill_null(texts.cast(pa.string()), "")
+    added = np.asarray(pc.match_substring(texts, "<|")).any()
+    if not added:
+        texts = pc.ascii_lower(texts)  # the tokenizer lower-cases what isn't an added token
     raw, bounds, data, first = string_bytes(texts)
     mark = np.zeros(len(raw) + 1, bool)
     white = _WHITE[raw]
     mark[1:-1] = (white[1:] & ~white[:-1]) | (_LETTER[raw[:-1]] & _SIGN[raw[1:]])
-    if np.asarray(pc.match_substring(texts, "<|")).any():  # added tokens: letters before a sign there
+    if added:  # these have letters before a sign
         mark[1:-1] = white[1:] & ~white[:-1]
     cuts, edges = cut_at(mark, bounds, data, first)
     ids, counts = encoder(cuts)
@@ -229,7 +232,7 @@ def write_archive(encoded: DataFrame, cuts: list[int], folder: str, width: int =
             yield finish(open_shard, ids, blobs)
 
     placed = encoded.mapInArrow(place, "shard int, doc_id long, ids binary")
-    dealt = placed.repartition(len(cuts) + 1, "shard").sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "ids")
+    dealt = placed.repartitionById(len(cuts) + 1, F.col("shard")).sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "ids")
     manifest = keep(dealt.mapInArrow(store, "shard int, path string, n_docs long, n_ids long"), "token-manifest")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # a row for each shard, not for each document
     return manifest.withColumn("base", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
