@@ -12,8 +12,7 @@ Jaccard distance. The join divides the space by pivots, level by level:
    each set goes to the pivot that it meets in most regions, and that distance is computed exactly. Sets within r are in
    their pivot's class and need no comparison with each other for the components.
 3. The regions join again, between sets of different classes only. A pair is kept if its sizes can be within r, if
-   the places where it meets leave room for enough common shingles, if the number of regions where it meets does, and
-   if the triangle inequality allows it where both distances to a pivot are known. The distances of the pairs that are
+   the number of regions where it meets leaves room for enough common shingles, and if the triangle inequality allows it where both distances to a pivot are known. The distances of the pairs that are
    left are computed exactly.
 
 Documents as pivots can't come first: most pairs of documents share nothing and lie at distance 1, where the triangle
@@ -109,10 +108,9 @@ def frequent_cells(counts: DataFrame, total: int) -> np.ndarray:
 
 
 def replicate(docs: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
-    """(h, k, n, pos, plain, hot): each class in each region of its window.
+    """(h, k, n, plain, hot): each class in each region of its window.
 
-    ``pos`` is the place of h in the set's order, ``plain`` how many shingles of the set are rare, and ``hot`` whether h
-    is frequent.
+    ``plain`` is how many shingles of the set are rare, and ``hot`` whether h is frequent.
     """
     shared = docs.sparkSession.sparkContext.broadcast(frequent)  # 1 MB, whatever the data
 
@@ -139,11 +137,10 @@ def replicate(docs: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
                     continue
                 lengths = [len(o[0]) for o in out]
                 spread = lambda j, kind: np.repeat(np.array([o[j] for o in out], kind), lengths)
-                place = np.concatenate([np.arange(x, dtype=np.int32) for x in lengths])
-                columns = [np.concatenate([o[0] for o in out]).view(np.int64), spread(2, np.int64), spread(3, np.int32), place, spread(4, np.int32), np.concatenate([o[1] for o in out]).astype(bool)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["h", "k", "n", "pos", "plain", "hot"])
+                columns = [np.concatenate([o[0] for o in out]).view(np.int64), spread(2, np.int64), spread(3, np.int32), spread(4, np.int32), np.concatenate([o[1] for o in out]).astype(bool)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["h", "k", "n", "plain", "hot"])
 
-    return _given(docs).mapInArrow(run, "h long, k long, n int, pos int, plain int, hot boolean")
+    return _given(docs).mapInArrow(run, "h long, k long, n int, plain int, hot boolean")
 
 
 def shared_regions(rows: DataFrame) -> DataFrame:
@@ -179,15 +176,18 @@ def _shared(table: pa.Table) -> pa.Table:
     return table.filter(pa.array(new & ((classes[group] > 1) | np.asarray(table["hot"]))))
 
 
-def _may_link(percent: int, count: str | None = None):
-    """Whether sizes na, nb and what is known of a pair's meetings leave room for enough common shingles."""
+def _sizes_fit(percent: int):
+    return F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
+
+
+def _meet_enough(percent: int):
+    """Whether a pair that meets in c regions can have enough common shingles.
+
+    They meet in a region, or lie after the window of the set whose window ends first in the order.
+    """
     need = F.ceil((F.col("na") + F.col("nb")) * percent / F.lit(100 + percent) - F.lit(1e-9))
-    fits = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
-    if count is None:
-        return fits & (F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) >= need)
-    # common shingles are met in regions, or lie after the window of the set whose window ends first
     beyond = lambda n: F.ceil(F.col(n) * percent / 100.0 - 1e-9) - 1
-    return fits & (F.col(count) + F.greatest(beyond("na"), beyond("nb")) >= need)
+    return F.col("c") + F.greatest(beyond("na"), beyond("nb")) >= need
 
 
 def fetch_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -280,32 +280,32 @@ def classes_and_links(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFram
     total = members.agg(F.sum("n")).first()[0] or 0
     frequent = frequent_cells(summary.where("range is not null").select("range", "counts"), total)
     rows = shared_regions(replicate(docs, frequent, percent))
-    regions = keep(rows.join(classes.select("k", "n", "id"), ["k", "n"]).select("h", "id", "k", "n", "pos", "plain", "hot").dropDuplicates(["h", "id", "k"]), "regions")
+    regions = keep(rows.join(classes.select("k", "n", "id"), ["k", "n"]).select("h", "id", "k", "n", "plain", "hot").dropDuplicates(["h", "id", "k"]), "regions")
     sets = keep(fetch_sets(docs, regions.select("id", "k", "n").distinct()), "sets")
 
     # each class with the pivot that it meets most
-    pivots = regions.groupBy("h").agg(F.min(F.struct("plain", "id", "n", "pos")).alias("p"), F.max("id").alias("most"), F.min("id").alias("least")).where("most <> least").select("h", "p")
-    met = regions.join(pivots, "h").where("id <> p.id").select(F.col("id").alias("a"), F.col("p.id").alias("b"), F.col("n").alias("na"), F.col("p.n").alias("nb"), F.col("pos").alias("pa"), F.col("p.pos").alias("pb"))
-    met = met.where(_may_link(percent)).groupBy("a", "b").agg(F.count("*").alias("c"))
+    pivots = regions.groupBy("h").agg(F.min(F.struct("plain", "id", "n")).alias("p"), F.max("id").alias("most"), F.min("id").alias("least")).where("most <> least").select("h", "p")
+    met = regions.join(pivots, "h").where("id <> p.id").select(F.col("id").alias("a"), F.col("p.id").alias("b"), F.col("n").alias("na"), F.col("p.n").alias("nb"))
+    met = met.where(_sizes_fit(percent)).groupBy("a", "b").agg(F.count("*").alias("c"))
     nearest = met.groupBy("a").agg(F.max(F.struct("c", -F.col("b"))).alias("x")).select("a", (-F.col("x")["col2"]).alias("b"))
     stars = keep(distances(nearest, sets), "stars")
     linked = stars.where(F.col("common") * 100 >= F.col("total") * percent)
     first = keep(components(linked), "first-components")
 
     # what is left to decide: pairs of different classes of the first round that meet in a region
-    told = regions.join(first, "id", "left").select("h", "id", "n", "pos", F.coalesce("component", "id").alias("comp"))
+    told = regions.join(first, "id", "left").select("h", "id", "n", F.coalesce("component", "id").alias("comp"))
     told = told.join(stars.select(F.col("a").alias("id"), F.col("b").alias("pivot"), (1 - F.col("common") / F.col("total")).alias("d")), "id", "left")
     told = keep(told, "told")
     sizes = told.groupBy("h", "comp").agg(F.count("*").alias("c"))
     largest = sizes.groupBy("h").agg(F.max(F.struct("c", "comp")).alias("x"), F.count("*").alias("comps")).where("comps > 1").select("h", F.col("x.comp").alias("big"))
     mixed = keep(told.join(largest, "h"), "mixed")
-    left = mixed.where("comp <> big").select("h", F.col("id").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("comp").alias("ca"), F.col("pivot").alias("va"), F.col("d").alias("da"))
-    right = mixed.select("h", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("comp").alias("cb"), F.col("pivot").alias("vb"), F.col("d").alias("db"), "big")
+    left = mixed.where("comp <> big").select("h", F.col("id").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"), F.col("pivot").alias("va"), F.col("d").alias("da"))
+    right = mixed.select("h", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"), F.col("pivot").alias("vb"), F.col("d").alias("db"), "big")
     radius = 1 - percent / 100
     apart = (F.col("va") == F.col("vb")) & (F.abs(F.col("da") - F.col("db")) > radius + 1e-9) | (F.col("va") == F.col("b")) | (F.col("vb") == F.col("a"))
     once = (F.col("cb") == F.col("big")) | (F.col("a") < F.col("b"))
-    pairs = left.join(right, "h").where((F.col("ca") != F.col("cb")) & once & _may_link(percent) & ~F.coalesce(apart, F.lit(False)))
-    pairs = pairs.groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.count("*").alias("c")).where(_may_link(percent, "c"))
+    pairs = left.join(right, "h").where((F.col("ca") != F.col("cb")) & once & _sizes_fit(percent) & ~F.coalesce(apart, F.lit(False)))
+    pairs = pairs.groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.count("*").alias("c")).where(_meet_enough(percent))
     decided = distances(keep(pairs.select("a", "b"), "pairs"), sets)
     found = keep(decided.where(F.col("common") * 100 >= F.col("total") * percent), "links")
     return members, classes, linked.unionByName(found)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_main, piece_codec, sharding, token_archive, toxicity, unit_dedup, warc
+from . import decontaminate, html_main, metric_join, piece_codec, sharding, token_archive, toxicity, unit_dedup, warc
 from .common import scratch_path
 
 
@@ -45,6 +45,10 @@ def op5_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unit_dedup.repeated_runs(_table(spark, sf_dir, "documents")).drop("version")
 
 
+def op6_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metric_join.join_components(_table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -58,7 +62,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op2_token_archive, op3_html_main, op4_piece_codec, op5_unit_dedup, op7_toxicity, op8_decontaminate, op10_warc)}
+    return {f.__name__: f for f in (op1_sharding, op2_token_archive, op3_html_main, op4_piece_codec, op5_unit_dedup, op6_metric_join, op7_toxicity, op8_decontaminate, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
