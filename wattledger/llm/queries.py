@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_main, metric_join, piece_codec, sharding, token_archive, toxicity, unit_dedup, warc
+from . import additive_ann, decontaminate, html_main, metric_join, piece_codec, sharding, token_archive, toxicity, unit_dedup, warc
 from .common import scratch_path
 
 
@@ -57,12 +57,16 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op9_additive_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return additive_ann.search(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_records(warc.write_warc(_table(spark, sf_dir, "pages")))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op2_token_archive, op3_html_main, op4_piece_codec, op5_unit_dedup, op6_metric_join, op7_toxicity, op8_decontaminate, op10_warc)}
+    return {f.__name__: f for f in (op1_sharding, op2_token_archive, op3_html_main, op4_piece_codec, op5_unit_dedup, op6_metric_join, op7_toxicity, op8_decontaminate, op9_additive_ann, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
