@@ -4,7 +4,7 @@ A unit vector is written as a sum of one codeword from each of ``BOOKS`` codeboo
 begin as k-means of residuals and are then refitted together by least squares, on a sample of at most ``MOST_SAMPLE``
 vectors. Codes come from a beam search over the books. A vector is stored as one byte for each book and the norm of
 its approximation. A query makes a table of its products with all codewords; the score of a stored vector is a sum of
-table entries, less half its squared norm, as for distances. The best ``SHORTLIST`` of each query are ranked again by
+table entries over its norm, an estimate of the cosine. The best ``SHORTLIST`` of each query are ranked again by
 their exact cosine.
 
 Queries are taken in blocks of at most ``BLOCK`` vectors, each of which goes to the tasks and runs against all codes.
@@ -29,10 +29,10 @@ from pyspark.sql.window import Window
 
 from .common import keep
 
-BOOKS = 16
-WORDS = 256
-BEAM = 4
-MOST_SAMPLE = 8192
+BOOKS = 24
+WORDS = 64
+BEAM = 6
+MOST_SAMPLE = 16_384
 SHORTLIST = 256
 BLOCK = 4096
 CODES_PER_TASK = 1 << 15
@@ -125,7 +125,7 @@ def _classes(vectors: DataFrame, copies: int) -> DataFrame:
 
 
 def build_index(firsts: DataFrame, books: np.ndarray, beam: int = BEAM) -> DataFrame:
-    """(vec_id, codes, norm2) of each vector (vec_id, v)."""
+    """(vec_id, codes, norm) of each vector (vec_id, v)."""
     shared = firsts.sparkSession.sparkContext.broadcast(books)  # as large as BOOKS, WORDS and the dimensions say
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,9 +133,9 @@ def build_index(firsts: DataFrame, books: np.ndarray, beam: int = BEAM) -> DataF
             for i in range(0, len(batch), 1024):
                 part = batch.slice(i, 1024)
                 codes, norms = encode(_unit(_flat(part["v"], np.float64)).astype(np.float32), shared.value, beam)
-                yield pa.RecordBatch.from_arrays([part["vec_id"], pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(norms.astype(np.float32))], ["vec_id", "codes", "norm2"])
+                yield pa.RecordBatch.from_arrays([part["vec_id"], pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(np.sqrt(np.maximum(norms, 1e-12)).astype(np.float32))], ["vec_id", "codes", "norm"])
 
-    return firsts.select("vec_id", "v").mapInArrow(run, "vec_id long, codes binary, norm2 float")
+    return firsts.select("vec_id", "v").mapInArrow(run, "vec_id long, codes binary, norm float")
 
 
 def scan(index: DataFrame, queries: list[tuple[int, list[float]]], books: np.ndarray, shortlist: int) -> DataFrame:
@@ -153,9 +153,10 @@ def scan(index: DataFrame, queries: list[tuple[int, list[float]]], books: np.nda
             for i in range(0, len(batch), 4096):
                 part = batch.slice(i, 4096)
                 codes = np.frombuffer(b"".join(part["codes"].to_pylist()), np.uint8).reshape(len(part), -1)
-                scores = np.repeat(-0.5 * np.asarray(part["norm2"], np.float32)[None, :], len(ids), 0)
-                for m in range(len(books)):
+                scores = np.take(tables[0], codes[:, 0], axis=1)
+                for m in range(1, len(books)):
                     scores += np.take(tables[m], codes[:, m], axis=1)
+                scores /= np.asarray(part["norm"], np.float32)
                 own = np.broadcast_to(np.asarray(part["vec_id"], np.int64), scores.shape)
                 scores, own = np.concatenate([best, scores], 1), np.concatenate([names, own], 1)
                 if scores.shape[1] > shortlist:
@@ -203,11 +204,11 @@ def search(table: DataFrame, every: int = 50, k: int = 5, shortlist: int = SHORT
     vectors = keep(valid_vectors(table), "vectors")
     held = keep(_classes(vectors, k + 1), "vector-classes")
     firsts = held.where("place = 1")
-    sample = firsts.orderBy(F.xxhash64("vec_id"), "vec_id").limit(MOST_SAMPLE).select("v").collect()
+    sample = firsts.orderBy(F.xxhash64("vec_id"), "vec_id").limit(MOST_SAMPLE).select("v").toArrow()["v"].combine_chunks()
     out = "query_id long, rank int, vec_id long, score double"
-    if not sample:
+    if not len(sample):
         return spark.createDataFrame([], out)
-    books = fit_books(_unit(np.array([r["v"] for r in sample], np.float64)))
+    books = fit_books(_unit(_flat(sample, np.float64)))
     index = keep(build_index(firsts, books), "codes")
     tasks = max(1, -(-index.count() // CODES_PER_TASK))
     dealt = index.repartition(max(tasks, spark.sparkContext.defaultParallelism))
