@@ -1,19 +1,21 @@
 """Exact n-gram Jaccard join in the metric space of shingle sets, and its components.
 
 Two sets link when 100 * intersection >= percent * union, that is, within r = 1 - percent / 100 of each other under the
-Jaccard distance. The join divides the space by pivots, level by level:
+Jaccard distance. The join divides the space
+by pivots, level by level:
 
 1. Pivots of the first level are single shingles. A set that holds shingle s lies at 1 - 1/n from {s}, and every other
    set at 1, so the nearest pivots of a set are its own shingles, and ties go to the first in one global order, rare
    shingles before frequent ones. Its Voronoi region is that of its first shingle. Sets near a boundary are replicated:
    a set of n shingles goes to the regions of its first n - ceil(percent n / 100) + 1 shingles. Two linked sets always
-   meet in a region, because those beyond that window alone are too few to bring them within r.
-2. Inside the regions whole documents are pivots. Each region takes the set with most frequent shingles as its pivot,
-   each set goes to the pivot that it meets in most regions, and that distance is computed exactly. Sets within r are in
-   their pivot's class and need no comparison with each other for the components.
-3. The regions join again, between sets of different classes only. A pair is kept if its sizes can be within r, if
-   the number of regions where it meets leaves room for enough common shingles, and if the triangle inequality allows it where both distances to a pivot are known. The distances of the pairs that are
-   left are computed exactly.
+   meet in a region, because those beyond that window alone are too few to bring them within r. The region of a rare
+   shingle holds few sets, and its pairs are listed at once.
+2. Regions of frequent shingles can hold any number of sets, such as thousands of near copies, and are joined again with
+   whole documents as pivots. Each region takes the set with most frequent shingles as its pivot, each set goes to the
+   pivot that it meets in most regions, and that distance is computed exactly. Sets that are linked by then need no
+   comparison with each other for the components; pairs of different components that meet in such a region are listed,
+   unless the triangle inequality, by exact distances to a common pivot, rules them out.
+3. Listed pairs whose sizes and number of meetings leave room for enough common shingles are decided exactly.
 
 Documents as pivots can't come first: most pairs of documents share nothing and lie at distance 1, where the triangle
 inequality tells nothing and every window is the whole space.
@@ -45,6 +47,7 @@ CELL_BITS = 23
 RANGES = 1024
 SLICE = 512 << 10
 SALTS = 64
+LEAST_FREQUENT = 64  # so much above its share, at least, a cell holds frequent shingles
 
 
 def window_size(n: np.ndarray, percent: int) -> np.ndarray:
@@ -80,13 +83,13 @@ def summarise(docs: DataFrame) -> DataFrame:
     return _given(docs).mapInArrow(run, "doc_id long, k long, n int, range int, counts binary")
 
 
-def frequent_cells(counts: DataFrame, total: int) -> np.ndarray:
+def frequent_cells(counts: DataFrame, total: int, least: int = LEAST_FREQUENT) -> np.ndarray:
     """A bit for each cell: whether its shingles are frequent. ``total`` is the number of all shingles in all sets.
 
     A cell is frequent if it holds clearly more than its share; the sums run in the tasks and 1 MB comes back.
     """
     mean = total / (1 << CELL_BITS)
-    most = int(mean + max(64, 8 * math.sqrt(mean)))
+    most = int(mean + max(least, 8 * math.sqrt(mean)))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -108,9 +111,10 @@ def frequent_cells(counts: DataFrame, total: int) -> np.ndarray:
 
 
 def replicate(docs: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
-    """(h, k, n, plain, hot): each class in each region of its window.
+    """(h, k, n, w, plain, hot): each class in each region of its window.
 
-    ``plain`` is how many shingles of the set are rare, and ``hot`` whether h is frequent.
+    ``w`` is how many regions of frequent shingles the class is in, ``plain`` how many shingles of the set are rare, and
+    ``hot`` whether h is frequent.
     """
     shared = docs.sparkSession.sparkContext.broadcast(frequent)  # 1 MB, whatever the data
 
@@ -132,62 +136,122 @@ def replicate(docs: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
                         passed.add((key, n))
                     own, warm = sets[bounds[i] : bounds[i + 1]], hot[bounds[i] : bounds[i + 1]]
                     order = np.argsort(warm, kind="stable")[:count]
-                    out.append((own[order], warm[order], key, n, n - int(warm.sum())))
+                    out.append((own[order], warm[order], key, n, n - int(warm.sum()), int(warm[order].sum())))
                 if not out:
                     continue
                 lengths = [len(o[0]) for o in out]
                 spread = lambda j, kind: np.repeat(np.array([o[j] for o in out], kind), lengths)
-                columns = [np.concatenate([o[0] for o in out]).view(np.int64), spread(2, np.int64), spread(3, np.int32), spread(4, np.int32), np.concatenate([o[1] for o in out]).astype(bool)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["h", "k", "n", "plain", "hot"])
+                columns = [np.concatenate([o[0] for o in out]).view(np.int64), spread(2, np.int64), spread(3, np.int32), spread(5, np.int32), spread(4, np.int32), np.concatenate([o[1] for o in out]).astype(bool)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["h", "k", "n", "w", "plain", "hot"])
 
-    return _given(docs).mapInArrow(run, "h long, k long, n int, plain int, hot boolean")
+    return _given(docs).mapInArrow(run, "h long, k long, n int, w int, plain int, hot boolean")
 
 
-def shared_regions(rows: DataFrame) -> DataFrame:
-    """The rows of regions with two classes or more, one for each class.
+def join_rare(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (k, n, w, k2, n2, w2, c) that meet c times in regions of rare shingles, and rows of the other regions.
 
-    A rare shingle's region is small, so it is looked at in one task. Rows of frequent shingles are spread over
-    ``SALTS`` tasks and pass unseen.
+    The latter are (h, k, n, w, plain), with k2 null; ``w`` is how many regions of frequent shingles a set is in. A rare
+    region is small and is joined in one task; rows of frequent shingles are spread over ``SALTS`` tasks and pass.
     """
+    schema = "h long, k long, n int, w int, plain int, k2 long, n2 int, w2 int, c int"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        held, pairs = None, _Pairs(percent)
         for batch in batches:
             table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])]).combine_chunks()
             last = table["h"][-1].as_py()
             ends = int(np.searchsorted(np.asarray(table["h"]), last, "left"))  # the last region may go on
             held = table.slice(ends)
-            yield from _shared(table.slice(0, ends)).to_batches()
+            yield from pairs.take(table.slice(0, ends))
         if held is not None:
-            yield from _shared(held.combine_chunks()).to_batches()
+            yield from pairs.take(held.combine_chunks())
+        yield from pairs.flush()
 
     salt = F.when(F.col("hot"), F.pmod("k", F.lit(SALTS))).otherwise(F.lit(0))
-    return rows.repartition("h", salt).sortWithinPartitions("h", "k", "n").mapInArrow(run, rows.schema)
-
-
-def _shared(table: pa.Table) -> pa.Table:
-    if not len(table):
-        return table
-    h, k, n = (np.asarray(table[c]) for c in ("h", "k", "n"))
-    new_h = np.concatenate([[True], h[1:] != h[:-1]])
-    new = new_h | np.concatenate([[True], (k[1:] != k[:-1]) | (n[1:] != n[:-1])])
-    group = np.cumsum(new_h) - 1
-    classes = np.bincount(group, weights=new)
-    return table.filter(pa.array(new & ((classes[group] > 1) | np.asarray(table["hot"]))))
+    return rows.repartition("h", salt).sortWithinPartitions("h", "k", "n").mapInArrow(run, schema)
+
+
+class _Pairs:
+    """Meetings of the sets of one task, counted by pair before they leave it."""
+
+    names = ("k", "n", "w", "k2", "n2", "w2")
+    kinds = (np.int64, np.int32, np.int32, np.int64, np.int32, np.int32)
+
+    def __init__(self, percent: int):
+        self.percent, self.held, self.size = percent, [], 0
+
+    def take(self, table: pa.Table) -> Iterator[pa.RecordBatch]:
+        if not len(table):
+            return
+        h, k, n = (np.asarray(table[c]) for c in ("h", "k", "n"))
+        hot = np.asarray(table["hot"])
+        new_h = np.concatenate([[True], h[1:] != h[:-1]])
+        fresh = new_h | np.concatenate([[True], (k[1:] != k[:-1]) | (n[1:] != n[:-1])])  # copies of a set count once
+        if (warm := fresh & hot).any():
+            kept = table.filter(pa.array(warm))
+            empty = [pa.nulls(len(kept), t) for t in (pa.int64(), pa.int32(), pa.int32(), pa.int32())]
+            columns = [*(kept[c].combine_chunks() for c in ("h", "k", "n", "w", "plain")), *empty]
+            yield pa.RecordBatch.from_arrays(columns, ["h", "k", "n", "w", "plain", "k2", "n2", "w2", "c"])
+        cold = fresh & ~hot
+        h, k, n, w = h[cold], k[cold], n[cold], np.asarray(table["w"])[cold]
+        if not len(h):
+            return
+        edges = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1], [True]]))
+        sizes = np.diff(edges)
+        for size in np.unique(sizes[sizes > 1]).tolist():
+            starts = edges[:-1][sizes == size]
+            x, y = np.triu_indices(size, 1)
+            block = max(1, 2_000_000 // len(x))
+            for i in range(0, len(starts), block):
+                at = starts[i : i + block, None]
+                a, b = (at + x).ravel(), (at + y).ravel()
+                fits = np.minimum(n[a], n[b]).astype(np.int64) * 100 >= np.maximum(n[a], n[b]).astype(np.int64) * self.percent
+                a, b = a[fits], b[fits]
+                found = np.zeros(len(a), [*zip(self.names, self.kinds, strict=True), ("c", np.int32)])
+                for name, values in zip((*self.names, "c"), (k[a], n[a], w[a], k[b], n[b], w[b], 1), strict=True):
+                    found[name] = values
+                self.held.append(found)
+                self.size += len(found)
+                if self.size > 4_000_000:
+                    self._count()
+                    if self.size > 2_000_000:
+                        yield from self.flush()
+
+    def _count(self) -> None:
+        rows = np.concatenate(self.held)
+        order = np.lexsort((rows["n2"], rows["n"], rows["k2"], rows["k"]))
+        rows = rows[order]
+        new = np.ones(len(rows), bool)
+        new[1:] = np.any([rows[c][1:] != rows[c][:-1] for c in ("k", "k2", "n", "n2")], axis=0)
+        counts = np.add.reduceat(rows["c"], np.flatnonzero(new)) if len(rows) else rows["c"]
+        rows = rows[new]
+        rows["c"] = counts
+        self.held, self.size = [rows], len(rows)
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        if not self.held:
+            return
+        self._count()
+        rows, self.held, self.size = self.held[0], [], 0
+        for i in range(0, len(rows), 100_000):
+            part = rows[i : i + 100_000]
+            empty = [pa.nulls(len(part), pa.int64()), pa.nulls(len(part), pa.int32())]
+            columns = [empty[0], *(pa.array(part[c].copy()) for c in ("k", "n", "w")), empty[1], *(pa.array(part[c].copy()) for c in ("k2", "n2", "w2", "c"))]
+            yield pa.RecordBatch.from_arrays(columns, ["h", "k", "n", "w", "plain", "k2", "n2", "w2", "c"])
 
 
 def _sizes_fit(percent: int):
     return F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
 
 
-def _meet_enough(percent: int):
-    """Whether a pair that meets in c regions can have enough common shingles.
+def _meet_enough(percent: int, more):
+    """Whether a pair with c counted meetings, and at most ``more`` others, can have enough common shingles.
 
-    They meet in a region, or lie after the window of the set whose window ends first in the order.
+    Common shingles are met in a region, or lie after the window of the set whose window ends first in the order.
     """
     need = F.ceil((F.col("na") + F.col("nb")) * percent / F.lit(100 + percent) - F.lit(1e-9))
     beyond = lambda n: F.ceil(F.col(n) * percent / 100.0 - 1e-9) - 1
-    return F.col("c") + F.greatest(beyond("na"), beyond("nb")) >= need
+    return F.col("c") + more + F.greatest(beyond("na"), beyond("nb")) >= need
 
 
 def fetch_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -223,9 +287,11 @@ def fetch_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part["id"], pa.array([sets[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary()), pa.array(fingerprint(sets, bounds))], ["id", "s", "k"])
 
     given = _given(docs).where("doc_id is not null").withColumnRenamed("doc_id", "id").withColumn("cell", cell)
-    found = given.mapInArrow(run, "id long, s binary, k long").withColumn("n", F.floor(F.octet_length("s") / 8).cast("int"))
+    found = given.mapInArrow(run, "id long, s binary, k long")
     # an id that several texts have is known by its class too
-    return found.join(wanted, ["id", "k", "n"], "left_semi").select("id", "s").dropDuplicates(["id"])
+    named = wanted.select("id", F.col("k").alias("_k"), F.col("n").alias("_n"))
+    same = found.join(named, "id").where((F.col("k") == F.col("_k")) & (F.octet_length("s") == 8 * F.col("_n")))
+    return same.select("id", "s").dropDuplicates(["id"])
 
 
 def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -269,7 +335,7 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
 
 
-def classes_and_links(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame]:
+def classes_and_links(docs: DataFrame, percent: int = PERCENT, least: int = LEAST_FREQUENT) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(members, classes, links): (doc_id, k, n), (k, n, id, copies) and links between classes (a, b, common, total).
 
     ``id`` is the smallest doc_id of a class. The links join all classes of each component, though not every pair.
@@ -278,42 +344,68 @@ def classes_and_links(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFram
     members = summary.where("range is null").select("doc_id", "k", "n")
     classes = keep(members.where("n > 0 and doc_id is not null").groupBy("k", "n").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies")), "classes")
     total = members.agg(F.sum("n")).first()[0] or 0
-    frequent = frequent_cells(summary.where("range is not null").select("range", "counts"), total)
-    rows = shared_regions(replicate(docs, frequent, percent))
-    regions = keep(rows.join(classes.select("k", "n", "id"), ["k", "n"]).select("h", "id", "k", "n", "plain", "hot").dropDuplicates(["h", "id", "k"]), "regions")
-    sets = keep(fetch_sets(docs, regions.select("id", "k", "n").distinct()), "sets")
-
-    # each class with the pivot that it meets most
-    pivots = regions.groupBy("h").agg(F.min(F.struct("plain", "id", "n")).alias("p"), F.max("id").alias("most"), F.min("id").alias("least")).where("most <> least").select("h", "p")
-    met = regions.join(pivots, "h").where("id <> p.id").select(F.col("id").alias("a"), F.col("p.id").alias("b"), F.col("n").alias("na"), F.col("p.n").alias("nb"))
-    met = met.where(_sizes_fit(percent)).groupBy("a", "b").agg(F.count("*").alias("c"))
-    nearest = met.groupBy("a").agg(F.max(F.struct("c", -F.col("b"))).alias("x")).select("a", (-F.col("x")["col2"]).alias("b"))
-    stars = keep(distances(nearest, sets), "stars")
-    linked = stars.where(F.col("common") * 100 >= F.col("total") * percent)
-    first = keep(components(linked), "first-components")
-
-    # what is left to decide: pairs of different classes of the first round that meet in a region
-    told = regions.join(first, "id", "left").select("h", "id", "n", F.coalesce("component", "id").alias("comp"))
-    told = told.join(stars.select(F.col("a").alias("id"), F.col("b").alias("pivot"), (1 - F.col("common") / F.col("total")).alias("d")), "id", "left")
-    told = keep(told, "told")
+    frequent = frequent_cells(summary.where("range is not null").select("range", "counts"), total, least)
+    met = keep(join_rare(replicate(docs, frequent, percent), percent), "meetings")
+    name = classes.select("k", "n", "id")
+
+    # pairs that meet where rare shingles are: sets can have met as often again in other regions as both are there
+    rare = met.where("k2 is not null").groupBy("k", "n", "w", "k2", "n2", "w2").agg(F.sum("c").alias("c"))
+    rare = rare.withColumnsRenamed({"n": "na", "n2": "nb"}).where(_meet_enough(percent, F.least("w", "w2"))).select("k", "na", "k2", "nb")
+    rare = rare.join(name.select("k", F.col("n").alias("na"), F.col("id").alias("x")), ["k", "na"]).join(name.select(F.col("k").alias("k2"), F.col("n").alias("nb"), F.col("id").alias("y")), ["k2", "nb"])
+    rare = rare.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+
+    # elsewhere each set with the document pivot that it meets most
+    dense = keep(met.where("k2 is null").join(name, ["k", "n"]).select("h", "id", "n", "w", "plain"), "dense")
+    pivots = dense.groupBy("h").agg(F.min(F.struct("plain", "id", "n")).alias("p"), F.max("id").alias("most"), F.min("id").alias("least")).where("most <> least").select("h", "p")
+    star = dense.join(pivots, "h").where("id <> p.id").select("id", "p", F.col("n").alias("na"), F.col("p.n").alias("nb")).where(_sizes_fit(percent))
+    star = star.groupBy("id", F.col("p.id").alias("pivot")).agg(F.count("*").alias("c")).groupBy("id").agg(F.max(F.struct("c", -F.col("pivot"))).alias("x"))
+    star = keep(star.select("id", (-F.col("x")["col2"]).alias("pivot")), "nearest")
+    first = keep(rare.unionByName(star.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"))).distinct(), "pairs")
+    decided = keep(_decide(docs, first, classes), "decided")
+    within = F.col("common") * 100 >= F.col("total") * percent
+    linked = decided.where(within)
+    again = _between_components(dense, star, decided, linked, percent)
+    if again is None:
+        return members, classes, linked
+    later = keep(again.join(first, ["a", "b"], "left_anti"), "pairs")
+    if later.isEmpty():
+        return members, classes, linked
+    return members, classes, linked.unionByName(keep(_decide(docs, later, classes), "decided").where(within))
+
+
+def _decide(docs: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    wanted = keep(ids.join(classes.select("id", "k", "n"), "id"), "wanted")
+    return distances(pairs, keep(fetch_sets(docs, wanted), "sets"))
+
+
+def _between_components(dense: DataFrame, star: DataFrame, decided: DataFrame, linked: DataFrame, percent: int) -> DataFrame | None:
+    """(a, b): pairs that meet where frequent shingles are, aren't connected yet, and may link; None if there are no such regions."""
+    if dense.isEmpty():
+        return None
+    so_far = components(linked)
+    distance = decided.select("a", "b", (1 - F.col("common") / F.col("total")).alias("d"))
+    away = star.select("id", "pivot", F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).join(distance, ["a", "b"]).select("id", "pivot", "d")
+    told = dense.join(so_far, "id", "left").join(away, "id", "left").withColumn("comp", F.coalesce("component", "id"))
+    told = keep(told.select("h", "id", "n", "w", "comp", "pivot", "d"), "told")
     sizes = told.groupBy("h", "comp").agg(F.count("*").alias("c"))
     largest = sizes.groupBy("h").agg(F.max(F.struct("c", "comp")).alias("x"), F.count("*").alias("comps")).where("comps > 1").select("h", F.col("x.comp").alias("big"))
     mixed = keep(told.join(largest, "h"), "mixed")
-    left = mixed.where("comp <> big").select("h", F.col("id").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"), F.col("pivot").alias("va"), F.col("d").alias("da"))
-    right = mixed.select("h", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"), F.col("pivot").alias("vb"), F.col("d").alias("db"), "big")
-    radius = 1 - percent / 100
-    apart = (F.col("va") == F.col("vb")) & (F.abs(F.col("da") - F.col("db")) > radius + 1e-9) | (F.col("va") == F.col("b")) | (F.col("vb") == F.col("a"))
-    once = (F.col("cb") == F.col("big")) | (F.col("a") < F.col("b"))
+    named = lambda side: mixed.select("h", "big", *(F.col(c).alias(f"{c[0]}{side}") for c in ("id", "n", "w", "comp", "pivot", "d")))
+    left, right = named("a").where("ca <> big").drop("big"), named("b")
+    apart = ((F.col("pa") == F.col("pb")) & (F.abs(F.col("da") - F.col("db")) > 1 - percent / 100 + 1e-9)) | (F.col("pa") == F.col("ib")) | (F.col("pb") == F.col("ia"))
+    once = (F.col("cb") == F.col("big")) | (F.col("ia") < F.col("ib"))
     pairs = left.join(right, "h").where((F.col("ca") != F.col("cb")) & once & _sizes_fit(percent) & ~F.coalesce(apart, F.lit(False)))
-    pairs = pairs.groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.count("*").alias("c")).where(_meet_enough(percent))
-    decided = distances(keep(pairs.select("a", "b"), "pairs"), sets)
-    found = keep(decided.where(F.col("common") * 100 >= F.col("total") * percent), "links")
-    return members, classes, linked.unionByName(found)
+    counted = pairs.groupBy("ia", "ib", "na", "nb", "wa", "wb").agg(F.count("*").alias("c"))
+    # they may have met elsewhere as often as their windows have other regions
+    window = lambda n: F.col(n) - F.ceil(F.col(n) * percent / 100.0 - 1e-9) + 1
+    more = F.least(window("na") - F.col("wa"), window("nb") - F.col("wb"))
+    return counted.where(_meet_enough(percent, more)).select(F.least("ia", "ib").alias("a"), F.greatest("ia", "ib").alias("b")).distinct()
 
 
-def join_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def join_components(docs: DataFrame, percent: int = PERCENT, least: int = LEAST_FREQUENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, class_id, copies) of each document."""
-    members, classes, links = classes_and_links(docs, percent)
+    members, classes, links = classes_and_links(docs, percent, least)
     named = classes.join(components(links), "id", "left").select("k", "n", F.coalesce("component", "id").alias("component_id"), F.col("id").alias("class_id"), "copies")
     out = members.join(named, ["k", "n"], "left")
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"), F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("copies", F.lit(1)).alias("copies"))
