@@ -132,17 +132,22 @@ class Items:
         return found
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, chars_per_edit: int = CHARS_PER_EDIT, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(doc_id, item_id, distance, start, end): where each document holds a test item."""
+def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[int, str]]]:
+    """The items in blocks of about ``block_bytes``, the only part of the data that comes to the driver at a time."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = -(-size // block_bytes) or 1
+    count = -(-size // block_bytes) or 1
+    for block in range(count):
+        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == block).collect()
+        yield [(r["item_id"], r["text"]) for r in rows]
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, chars_per_edit: int = CHARS_PER_EDIT, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(doc_id, item_id, distance, start, end): where each document holds a test item."""
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    schema = "doc_id long, item_id long, distance int, start int, end int"
     out = None
-    for block in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
-        part = given.mapInArrow(_matcher([(r["item_id"], r["text"]) for r in rows], chars_per_edit), schema)
+    for rows in _blocks(benchmark, block_bytes):
+        part = given.mapInArrow(_matcher(rows, chars_per_edit), "doc_id long, item_id long, distance int, start int, end int")
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -161,7 +166,17 @@ def _matcher(rows: list[tuple[int, str]], chars_per_edit: int):
     return run
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The documents that hold no test item, with all their columns."""
-    found = matches(docs, benchmark, **options).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+def clean(docs: DataFrame, benchmark: DataFrame, chars_per_edit: int = CHARS_PER_EDIT, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The documents that hold no test item, with all their columns; no document is shuffled."""
+
+    def keeper(rows: list[tuple[int, str]]):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            block = Items(rows, chars_per_edit)
+            for batch in batches:
+                yield batch.filter(pa.array([not block.find(t.as_py() or "") for t in batch["text"]], pa.bool_()))
+
+        return run
+
+    for rows in _blocks(benchmark, block_bytes):
+        docs = docs.mapInArrow(keeper(rows), docs.schema)
+    return docs
