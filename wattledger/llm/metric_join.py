@@ -14,7 +14,9 @@ by pivots, level by level:
    whole documents as pivots. Each region takes the set with most frequent shingles as its pivot, each set goes to the
    pivot that it meets in most regions, and that distance is computed exactly. Sets that are linked by then need no
    comparison with each other for the components; pairs of different components that meet in such a region are listed,
-   unless the triangle inequality, by exact distances to a common pivot, rules them out.
+   unless the triangle inequality, by exact distances to a common pivot, rules them out, or their rare shingles do. All
+   rare shingles of a set that reaches such a region are in its window, so that a pair whose rare shingles meet has been
+   decided, and any other pair can have only frequent shingles in common.
 3. Listed pairs whose sizes and number of meetings leave room for enough common shingles are decided exactly.
 
 Documents as pivots can't come first: most pairs of documents share nothing and lie at distance 1, where the triangle
@@ -387,15 +389,16 @@ def _between_components(dense: DataFrame, star: DataFrame, decided: DataFrame, l
     distance = decided.select("a", "b", (1 - F.col("common") / F.col("total")).alias("d"))
     away = star.select("id", "pivot", F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).join(distance, ["a", "b"]).select("id", "pivot", "d")
     told = dense.join(so_far, "id", "left").join(away, "id", "left").withColumn("comp", F.coalesce("component", "id"))
-    told = keep(told.select("h", "id", "n", "w", "comp", "pivot", "d"), "told")
+    told = keep(told.select("h", "id", "n", "w", "plain", "comp", "pivot", "d"), "told")
     sizes = told.groupBy("h", "comp").agg(F.count("*").alias("c"))
     largest = sizes.groupBy("h").agg(F.max(F.struct("c", "comp")).alias("x"), F.count("*").alias("comps")).where("comps > 1").select("h", F.col("x.comp").alias("big"))
     mixed = keep(told.join(largest, "h"), "mixed")
-    named = lambda side: mixed.select("h", "big", *(F.col(c).alias(f"{c[0]}{side}") for c in ("id", "n", "w", "comp", "pivot", "d")))
+    named = lambda side: mixed.select("h", "big", *(F.col(c).alias(f"{c[0]}{side}") for c in ("id", "n", "w", "comp", "pivot", "d")), (F.col("n") - F.col("plain")).alias(f"f{side}"))
     left, right = named("a").where("ca <> big").drop("big"), named("b")
     apart = ((F.col("pa") == F.col("pb")) & (F.abs(F.col("da") - F.col("db")) > 1 - percent / 100 + 1e-9)) | (F.col("pa") == F.col("ib")) | (F.col("pb") == F.col("ia"))
     once = (F.col("cb") == F.col("big")) | (F.col("ia") < F.col("ib"))
-    pairs = left.join(right, "h").where((F.col("ca") != F.col("cb")) & once & _sizes_fit(percent) & ~F.coalesce(apart, F.lit(False)))
+    shared = F.least("fa", "fb") * (100 + percent) >= (F.col("na") + F.col("nb")) * percent  # with frequent shingles only
+    pairs = left.join(right, "h").where((F.col("ca") != F.col("cb")) & once & shared & _sizes_fit(percent) & ~F.coalesce(apart, F.lit(False)))
     counted = pairs.groupBy("ia", "ib", "na", "nb", "wa", "wb").agg(F.count("*").alias("c"))
     # they may have met elsewhere as often as their windows have other regions
     window = lambda n: F.col(n) - F.ceil(F.col(n) * percent / 100.0 - 1e-9) + 1
