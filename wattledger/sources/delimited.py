@@ -22,8 +22,7 @@ def file_digests(spark: SparkSession, path: str) -> DataFrame:
 
 def encoding_of(spark: SparkSession, path: str) -> str:
     """UTF-8 if every line of every file reads as such, else Latin-1."""
-    lines = spark.read.option("encoding", "ISO-8859-1").text(path)
-    bad = lines.where(~F.is_valid_utf8(F.encode("value", "ISO-8859-1").cast("string"))).limit(1)
+    bad = spark.read.text(path).where(~F.is_valid_utf8("value")).limit(1)  # lines are kept as the bytes they are
     return "UTF-8" if bad.isEmpty() else "ISO-8859-1"
 
 

@@ -25,7 +25,13 @@ def exists(spark: SparkSession, name: str) -> bool:
 
 
 def read_text(spark: SparkSession, name: str) -> str:
-    return spark.read.option("wholetext", True).text(name).first()[0]
+    """A small file; manifests have hidden names, which Spark's readers pass over."""
+    files, path = _path(spark, name)
+    stream = files.open(path)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 def write_text(spark: SparkSession, name: str, text: str, replace: bool = False) -> None:
