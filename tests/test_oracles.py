@@ -1,5 +1,6 @@
 """Every query with SQL gives the rows that DuckDB gives on the same tables."""
 
+import os
 from decimal import Decimal
 
 import duckdb
@@ -8,7 +9,7 @@ import pytest
 import __spark_entry__ as entry
 from wattledger.plans.registry import ORACLES, QUERIES
 
-FOLDER = "/root/testdata/sf0.001"
+FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
