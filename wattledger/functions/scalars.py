@@ -14,6 +14,14 @@ def _c(c: ColumnLike) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+_DECIMAL = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d{1,2})?$"
+
+
+def _once(value: Column, f) -> Column:
+    """``f(value)`` with the value evaluated once, however often ``f`` names it."""
+    return F.transform(F.array(value), f)[0]
+
+
 def clean_header(name: str) -> str:
     """A header without byte-order mark, with single spaces."""
     return " ".join(name.replace("\ufeff", "").split())
@@ -52,7 +60,7 @@ def raw_meter_no(c: ColumnLike) -> Column:
 def decimal_text(c: ColumnLike) -> Column:
     """Text that reads as a plain or scientific decimal, else null, so that a bad row is rejected and no job fails."""
     text = clean_text(c)
-    return F.when(text.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d{1,2})?$"), text)
+    return F.when(text.rlike(_DECIMAL), text)
 
 
 def money_cents(c: ColumnLike, drop_every_r: bool = True) -> Column:
@@ -61,12 +69,17 @@ def money_cents(c: ColumnLike, drop_every_r: bool = True) -> Column:
     Spaces go. With both separators the comma groups thousands; a comma alone is the decimal sign, so ``1,234`` is
     1.234. Raw exports may hold the currency sign anywhere, staged files only in front.
     """
-    text = F.regexp_replace(clean_text(c), "[ \u00a0]", "")
-    text = F.regexp_replace(text, "[Rr]" if drop_every_r else "^[Rr]", "")
-    both = text.contains(",") & text.contains(".")
-    text = F.when(both, F.replace(text, F.lit(","), F.lit(""))).otherwise(F.replace(text, F.lit(","), F.lit(".")))
-    number = decimal_text(text).try_cast("decimal(30,10)")
-    return F.round(number * 100, 0).try_cast("bigint")
+    text = F.regexp_replace(F.coalesce(_c(c), F.lit("")), r"(?U)^\s+|\s+$|[ \u00a0]" + ("|[Rr]" if drop_every_r else ""), "")
+    if not drop_every_r:
+        text = F.regexp_replace(text, "^[Rr]", "")
+
+    def signs(t: Column) -> Column:
+        return F.when(t.contains(",") & t.contains("."), F.replace(t, F.lit(","), F.lit(""))).otherwise(F.replace(t, F.lit(","), F.lit(".")))
+
+    def number(t: Column) -> Column:
+        return F.when(t.rlike(_DECIMAL), F.round(t.try_cast("decimal(30,10)") * 100, 0).try_cast("bigint"))
+
+    return _once(_once(text, signs), number)
 
 
 def cents(c: ColumnLike) -> Column:
