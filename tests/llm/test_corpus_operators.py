@@ -155,6 +155,36 @@ def test_metric_join_on_large_groups_of_near_copies(spark, least):
     assert joined(df, least) == brute_components(rows)
 
 
+def two_families(rng, first):
+    """Two equally large groups over one text, which differ in three of its slots and are joined by one link.
+
+    Slots are six words apart, so that each changes five of 104 shingles, and two sets link if they differ in two slots.
+    The first group hangs on its first row; in the second each row shares slots with the next.
+    """
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(8))
+    base, other = [word() for _ in range(108)], [word() for _ in range(18)]
+    one = [{}, {0: other[0]}] + [{i: word()} for i in range(4, 11)]
+    two = [{0: other[0], 1: other[1], 2: other[2]} | {i: other[i] for i in (11 + j, 11 + (j + 1) % 7)} for j in range(7)]
+    two += [{0: other[0], 2: other[2], 11: other[11]}, {0: other[0], 1: other[1], 2: other[2], 11: other[11]}]
+    out = []
+    for slots in one + two:
+        text = list(base)
+        for i, w in slots.items():
+            text[6 * i + 3] = w
+        out.append((first + len(out), " ".join(text)))
+    return out
+
+
+def test_metric_join_counts_a_pair_once_whichever_family_is_larger(spark):
+    rng = random.Random(1)
+    rows = []
+    for _ in range(20):
+        rows += two_families(rng, len(rows))
+    found, wanted = joined(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), 4), brute_components(rows)
+    assert len({c for *_, c in wanted}) == 20
+    assert found == wanted
+
+
 def brute_runs(rows, min_words):
     seen, out = {}, []
     for doc_id, text in sorted(rows):

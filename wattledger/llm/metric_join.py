@@ -399,11 +399,14 @@ def _between_components(dense: DataFrame, star: DataFrame, decided: DataFrame, l
     once = (F.col("cb") == F.col("big")) | (F.col("ia") < F.col("ib"))
     shared = F.least("fa", "fb") * (100 + percent) >= (F.col("na") + F.col("nb")) * percent  # with frequent shingles only
     pairs = left.join(right, "h").where((F.col("ca") != F.col("cb")) & once & shared & _sizes_fit(percent) & ~F.coalesce(apart, F.lit(False)))
-    counted = pairs.groupBy("ia", "ib", "na", "nb", "wa", "wb").agg(F.count("*").alias("c"))
+    # which side a set is on changes with the largest component of a region, so a pair is put in one order before it is counted
+    turned = F.col("ia") > F.col("ib")
+    ordered = [F.when(turned, F.col(f"{c}{y}")).otherwise(F.col(f"{c}{x}")).alias(f"{c}{x}") for c in "inw" for x, y in ("ab", "ba")]
+    counted = pairs.select(*ordered).groupBy("ia", "ib", "na", "nb", "wa", "wb").agg(F.count("*").alias("c"))
     # they may have met elsewhere as often as their windows have other regions
     window = lambda n: F.col(n) - F.ceil(F.col(n) * percent / 100.0 - 1e-9) + 1
     more = F.least(window("na") - F.col("wa"), window("nb") - F.col("wb"))
-    return counted.where(_meet_enough(percent, more)).select(F.least("ia", "ib").alias("a"), F.greatest("ia", "ib").alias("b")).distinct()
+    return counted.where(_meet_enough(percent, more)).select(F.col("ia").alias("a"), F.col("ib").alias("b"))
 
 
 def join_components(docs: DataFrame, percent: int = PERCENT, least: int = LEAST_FREQUENT) -> DataFrame:
