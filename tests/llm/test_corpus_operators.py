@@ -185,6 +185,22 @@ def test_metric_join_counts_a_pair_once_whichever_family_is_larger(spark):
     assert found == wanted
 
 
+def test_metric_join_keeps_texts_of_one_id_apart(spark, odd):
+    kept = sorted((r["doc_id"] or 0, r["text"] or "") for r in metric_join.one_of_each(odd).collect())
+    texts = [(r[0] or 0, r[1] or "") for r in ODD]
+    assert kept == sorted(texts[:5] + texts[7:])  # the copies under 6 go, the other text under 6 stays
+    word = lambda i: f"{'abcdefg'[i % 7]}{i}"
+    a, b = [word(i) for i in range(60)], [word(i) for i in range(100, 160)]
+    edit = lambda words, i: " ".join([*words[:i], "new", *words[i + 1 :]])
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (1, " ".join(b)), (2, edit(a, 0)), (3, edit(b, 0)), (4, edit(b, 59))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, metric_join.one_of_each(df).collect())) == sorted(rows[:2])
+    links = metric_join.classes_and_links(df)[2].select("a.k", "a.n", "b.k", "b.n").collect()
+    pairs = {frozenset([tuple(r[:2]), tuple(r[2:])]) for r in links}
+    name = {r["doc_id"]: (r["k"], r["n"]) for r in metric_join.classes_and_links(df)[0].where("doc_id > 1").collect()}
+    assert len(pairs) >= 3 and frozenset([name[2], name[3]]) not in pairs
+
+
 def brute_runs(rows, min_words):
     seen, out = {}, []
     for doc_id, text in sorted(rows):

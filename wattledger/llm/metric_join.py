@@ -24,11 +24,13 @@ inequality tells nothing and every window is the whole space.
 
 Rarity is a matter of speed and not of the result: shingles are counted in a table of ``2 ** CELL_BITS`` cells, and one
 bit for each cell, 1 MB in all, says which are frequent; only that goes to the tasks. Equal sets are one class from the
-start. A class is known by a 64-bit hash of its set and the set's size.
+start. A class is known by a 64-bit hash of its set and the set's size; the smallest doc_id goes before them in its name,
+(doc_id, k, n), so that names are in the order of documents and classes that share a doc_id stay apart.
 
 Defined results: null and empty texts, and texts of white space, have no shingles and link with nothing; rows that
 repeat a doc_id each give a row, and share a component only as their texts do; a null doc_id takes no part and gives a
-null component. Extra columns are ignored; an empty table gives no rows.
+null component. Extra columns are ignored; an empty table gives no rows. Components and classes are given by their
+smallest doc_id: if that has several texts, two of them can have the same number, but ``one_of_each`` keeps them apart.
 """
 
 from __future__ import annotations
@@ -38,8 +40,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
+from pyspark.sql.window import Window
 
 from .common import forget, keep, text_slices
 from .shingles import fingerprint, shingle_sets
@@ -49,6 +53,7 @@ CELL_BITS = 23
 RANGES = 1024
 SLICE = 512 << 10
 SALTS = 64
+NAME = "struct<doc_id: long, k: long, n: int>"
 LEAST_FREQUENT = 64  # so much above its share, at least, a cell holds frequent shingles
 
 
@@ -61,12 +66,17 @@ def _given(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+def _version(text) -> Column:
+    """What tells the texts of one doc_id apart."""
+    return F.xxhash64(F.col(text).cast("string"))
+
+
 def _cells(sets: np.ndarray) -> np.ndarray:
     return (sets >> np.uint64(64 - CELL_BITS)).astype(np.int64)
 
 
 def summarise(docs: DataFrame) -> DataFrame:
-    """A row (doc_id, k, n) for each document, and rows (range, counts) of how often each cell's shingles occur in a task."""
+    """A row (doc_id, version, k, n) for each document, and rows (range, counts) of how often each cell's shingles occur in a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(1 << CELL_BITS, np.uint8)
@@ -76,13 +86,13 @@ def summarise(docs: DataFrame) -> DataFrame:
                 cells, counts = np.unique(_cells(sets), return_counts=True)
                 table[cells] = np.minimum(table[cells] + counts, 255)
                 n = len(part)
-                yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(fingerprint(sets, bounds)), pa.array(np.diff(bounds).astype(np.int32)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
+                yield pa.RecordBatch.from_arrays([part["doc_id"], part["version"], pa.array(fingerprint(sets, bounds)), pa.array(np.diff(bounds).astype(np.int32)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
         rows = table.reshape(RANGES, -1)
         used = np.flatnonzero(rows.any(1))
-        yield pa.RecordBatch.from_arrays([pa.nulls(len(used), pa.int64()), pa.nulls(len(used), pa.int64()), pa.nulls(len(used), pa.int32()), pa.array(used.astype(np.int32)), pa.array([rows[i].tobytes() for i in used], pa.binary())], names)
+        yield pa.RecordBatch.from_arrays([*(pa.nulls(len(used), pa.int64()) for _ in range(3)), pa.nulls(len(used), pa.int32()), pa.array(used.astype(np.int32)), pa.array([rows[i].tobytes() for i in used], pa.binary())], names)
 
-    names = ["doc_id", "k", "n", "range", "counts"]
-    return _given(docs).mapInArrow(run, "doc_id long, k long, n int, range int, counts binary")
+    names = ["doc_id", "version", "k", "n", "range", "counts"]
+    return _given(docs).withColumn("version", _version("text")).mapInArrow(run, "doc_id long, version long, k long, n int, range int, counts binary")
 
 
 def frequent_cells(counts: DataFrame, total: int, least: int = LEAST_FREQUENT) -> np.ndarray:
@@ -257,11 +267,11 @@ def _meet_enough(percent: int, more):
 
 
 def fetch_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(id, s): the shingle sets of the documents whose ids are ``wanted``, as binary; equal ids have equal sets.
+    """(id, s): the shingle sets, as binary, of the classes whose names are ``wanted``; each from its first document.
 
     A table of ``2 ** CELL_BITS`` bits, filled in the tasks, keeps most other documents from being shuffled.
     """
-    cell = F.pmod(F.xxhash64("id"), F.lit(1 << CELL_BITS)).cast("int")
+    cell = lambda doc_id: F.pmod(F.xxhash64(doc_id), F.lit(1 << CELL_BITS)).cast("int")
     width = (1 << CELL_BITS) // RANGES
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,7 +283,7 @@ def fetch_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([np.packbits(row).tobytes()], pa.binary())], ["range", "bits"])
 
     bits = np.zeros((RANGES, width // 8), np.uint8)
-    cells = wanted.select(cell.alias("cell"), F.floor(cell / width).alias("r")).distinct().repartition("r").sortWithinPartitions("cell").select("cell")
+    cells = wanted.select(cell("id.doc_id").alias("cell")).withColumn("r", F.floor(F.col("cell") / width)).distinct().repartition("r").sortWithinPartitions("cell").select("cell")
     for row in cells.mapInArrow(pack, "range int, bits binary").toLocalIterator():
         bits[row["range"]] |= np.frombuffer(row["bits"], np.uint8)
     shared = docs.sparkSession.sparkContext.broadcast(bits.ravel())
@@ -286,13 +296,13 @@ def fetch_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             few = batch.filter(pa.array(hit.astype(bool)))
             for part in text_slices(few, "text", SLICE):
                 sets, bounds = shingle_sets(part["text"])
-                yield pa.RecordBatch.from_arrays([part["id"], pa.array([sets[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary()), pa.array(fingerprint(sets, bounds))], ["id", "s", "k"])
+                yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array([sets[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary()), pa.array(fingerprint(sets, bounds))], ["doc_id", "s", "k"])
 
-    given = _given(docs).where("doc_id is not null").withColumnRenamed("doc_id", "id").withColumn("cell", cell)
-    found = given.mapInArrow(run, "id long, s binary, k long")
-    # an id that several texts have is known by its class too
-    named = wanted.select("id", F.col("k").alias("_k"), F.col("n").alias("_n"))
-    same = found.join(named, "id").where((F.col("k") == F.col("_k")) & (F.octet_length("s") == 8 * F.col("_n")))
+    given = _given(docs).where("doc_id is not null").withColumn("cell", cell("doc_id"))
+    found = given.mapInArrow(run, "doc_id long, s binary, k long")
+    # a doc_id can have several texts, and a text can be there more than once under it
+    named = wanted.select("id", F.col("id.doc_id").alias("doc_id"), F.col("id.k").alias("k"), F.col("id.n").alias("_n"))
+    same = found.join(named, ["doc_id", "k"]).where(F.octet_length("s") == 8 * F.col("_n"))
     return same.select("id", "s").dropDuplicates(["id"])
 
 
@@ -314,11 +324,11 @@ def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     left = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
     both = left.join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
-    return both.select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long, common int, total int")
+    return both.select("a", "b", "sa", "sb").mapInArrow(run, f"a {NAME}, b {NAME}, common int, total int")
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(id, component): the smallest id that each linked id reaches, by alternating large and small stars."""
+    """(id, component): the smallest name that each linked class reaches, by alternating large and small stars."""
     edges = keep(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -338,13 +348,13 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def classes_and_links(docs: DataFrame, percent: int = PERCENT, least: int = LEAST_FREQUENT) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(members, classes, links): (doc_id, k, n), (k, n, id, copies) and links between classes (a, b, common, total).
+    """(members, classes, links): (doc_id, version, k, n), (k, n, id, copies) and links between classes (a, b, common, total).
 
-    ``id`` is the smallest doc_id of a class. The links join all classes of each component, though not every pair.
+    ``id`` is the name of a class, (smallest doc_id, k, n). The links join all classes of each component, though not every pair.
     """
     summary = keep(summarise(docs), "summary")
-    members = summary.where("range is null").select("doc_id", "k", "n")
-    classes = keep(members.where("n > 0 and doc_id is not null").groupBy("k", "n").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies")), "classes")
+    members = summary.where("range is null").select("doc_id", "version", "k", "n")
+    classes = keep(members.where("n > 0 and doc_id is not null").groupBy("k", "n").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies")).select("k", "n", F.struct("doc_id", "k", "n").alias("id"), "copies"), "classes")
     total = members.agg(F.sum("n")).first()[0] or 0
     frequent = frequent_cells(summary.where("range is not null").select("range", "counts"), total, least)
     met = keep(join_rare(replicate(docs, frequent, percent), percent), "meetings")
@@ -360,10 +370,10 @@ def classes_and_links(docs: DataFrame, percent: int = PERCENT, least: int = LEAS
     dense = keep(met.where("k2 is null").join(name, ["k", "n"]).select("h", "id", "n", "w", "plain"), "dense")
     pivots = dense.groupBy("h").agg(F.min(F.struct("plain", "id", "n")).alias("p"), F.max("id").alias("most"), F.min("id").alias("least")).where("most <> least").select("h", "p")
     star = dense.join(pivots, "h").where("id <> p.id").select("id", "p", F.col("n").alias("na"), F.col("p.n").alias("nb")).where(_sizes_fit(percent))
-    star = star.groupBy("id", F.col("p.id").alias("pivot")).agg(F.count("*").alias("c")).groupBy("id").agg(F.max(F.struct("c", -F.col("pivot"))).alias("x"))
-    star = keep(star.select("id", (-F.col("x")["col2"]).alias("pivot")), "nearest")
+    star = star.groupBy("id", F.col("p.id").alias("pivot")).agg(F.count("*").alias("c")).groupBy("id").agg(F.min(F.struct(-F.col("c"), "pivot")).alias("x"))
+    star = keep(star.select("id", F.col("x.pivot").alias("pivot")), "nearest")
     first = keep(rare.unionByName(star.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"))).distinct(), "pairs")
-    decided = keep(_decide(docs, first, classes), "decided")
+    decided = keep(_decide(docs, first), "decided")
     within = F.col("common") * 100 >= F.col("total") * percent
     linked = decided.where(within)
     again = _between_components(dense, star, decided, linked, percent)
@@ -372,12 +382,11 @@ def classes_and_links(docs: DataFrame, percent: int = PERCENT, least: int = LEAS
     later = keep(again.join(first, ["a", "b"], "left_anti"), "pairs")
     if later.isEmpty():
         return members, classes, linked
-    return members, classes, linked.unionByName(keep(_decide(docs, later, classes), "decided").where(within))
+    return members, classes, linked.unionByName(keep(_decide(docs, later), "decided").where(within))
 
 
-def _decide(docs: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    wanted = keep(ids.join(classes.select("id", "k", "n"), "id"), "wanted")
+def _decide(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    wanted = keep(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "wanted")
     return distances(pairs, keep(fetch_sets(docs, wanted), "sets"))
 
 
@@ -409,16 +418,33 @@ def _between_components(dense: DataFrame, star: DataFrame, decided: DataFrame, l
     return counted.where(_meet_enough(percent, more)).select(F.col("ia").alias("a"), F.col("ib").alias("b"))
 
 
+def _with_components(docs: DataFrame, percent: int, least: int) -> DataFrame:
+    """(doc_id, version, k, n, component, id, copies) of each document; the last three are null where there are no shingles."""
+    members, classes, links = classes_and_links(docs, percent, least)
+    named = classes.join(components(links), "id", "left").select("k", "n", F.coalesce("component", "id").alias("component"), "id", "copies")
+    return members.join(named, ["k", "n"], "left")
+
+
 def join_components(docs: DataFrame, percent: int = PERCENT, least: int = LEAST_FREQUENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, class_id, copies) of each document."""
-    members, classes, links = classes_and_links(docs, percent, least)
-    named = classes.join(components(links), "id", "left").select("k", "n", F.coalesce("component", "id").alias("component_id"), F.col("id").alias("class_id"), "copies")
-    out = members.join(named, ["k", "n"], "left")
-    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"), F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("copies", F.lit(1)).alias("copies"))
+    out = _with_components(docs, percent, least)
+    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component.doc_id", "doc_id")).alias("component_id"), F.coalesce("id.doc_id", "doc_id").alias("class_id"), F.coalesce("copies", F.lit(1)).alias("copies"))
 
 
 def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """One document of each component, that with the smallest doc_id; rows without shingles or doc_id all stay."""
-    found = join_components(docs, percent).where("doc_id <> component_id and n_shingles > 0").select("doc_id").distinct()
-    kept = docs.join(found, "doc_id", "left_anti").select(*docs.columns)
-    return kept
+    """One row of each component, the first by doc_id and class; rows without shingles or doc_id all stay."""
+    found = _with_components(docs, percent, LEAST_FREQUENT).where("doc_id is not null and n > 0")
+    found = keep(found.groupBy("doc_id", "version", "k", "n", "component").agg(F.count("*").alias("rows")), "members")
+    first = found.groupBy("component").agg(F.min(F.struct("doc_id", "k", "n", "version")).alias("x")).select("x.doc_id", "x.version")
+    key = ["doc_id", "version"]
+    own = [F.col(c).alias(f"_{c}") for c in key]
+    same = (docs["doc_id"].cast("long") == F.col("_doc_id")) & (_version("text") == F.col("_version"))
+    kept = docs.join(found.join(first, key, "left_anti").select(*own), same, "left_anti").select(*docs.columns)
+    # rows can repeat both the doc_id and the text of the one that stays
+    again = keep(found.where("rows > 1").join(first, key, "left_semi").select(*own), "repeated")
+    if again.isEmpty():
+        return kept
+    flat = [c for c in docs.columns if not isinstance(docs.schema[c].dataType, (MapType, VariantType))]
+    order = Window.partitionBy("_doc_id", "_version").orderBy(F.xxhash64(*flat))
+    one = docs.join(again, same).withColumn("_place", F.row_number().over(order)).where("_place = 1").select(*docs.columns)
+    return kept.join(again, (kept["doc_id"].cast("long") == F.col("_doc_id")) & (_version("text") == F.col("_version")), "left_anti").select(*docs.columns).unionByName(one)
