@@ -304,6 +304,29 @@ def test_neighbours_reach_recall(spark):
     assert hits >= 0.9 * total
 
 
+def test_neighbours_among_more_near_copies_than_the_shortlist(spark):
+    """Vectors so close that rounding decides among their scores: exact copies and true neighbours aren't lost among them."""
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=16)
+    x = base + 1e-6 * rng.normal(size=(400, 16))
+    far = rng.normal(size=(200, 16))
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([x, far]))]
+    rows += [(1001, rows[350][1]), (1003, rows[300][1])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {}
+    for r in additive_ann.search(df, shortlist=16).where("query_id < 400").collect():
+        found.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert 1001 in found[350] and 1003 in found[300]
+    ids, y = np.array([i for i, _ in rows]), np.array([v for _, v in rows])
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    hits = 0
+    for q, own in found.items():
+        away = ((y - y[q]) ** 2).sum(1)
+        away[q] = np.inf
+        hits += len(set(own) & set(ids[np.argsort(away)[:5]].tolist()))
+    assert len(found) == 8 and hits >= 0.9 * 40
+
+
 def test_neighbours_of_odd_vectors(spark):
     rows = [(0, [1.0, 0.0]), (50, [0.0, 1.0]), (1, [1.0, 1.0]), (2, None), (3, [0.0, 0.0]), (4, [float("nan"), 1.0]), (5, [1.0, None]), (None, [1.0, 2.0]), (7, [2.0, 2.0]), (8, [2.0, 2.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")

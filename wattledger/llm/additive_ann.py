@@ -5,7 +5,8 @@ begin as k-means of residuals and are then refitted together by least squares, o
 vectors. Codes come from a beam search over the books. A vector is stored as one byte for each book and the norm of
 its approximation. A query makes a table of its products with all codewords; the score of a stored vector is a sum of
 table entries over its norm, an estimate of the cosine. The best ``SHORTLIST`` of each query are ranked again by
-their exact cosine.
+their exact cosine, and with them all whose score is within ``TIE`` of the last, which rounding alone tells apart: among
+more near copies than that the shortlist grows. The class of the query itself is always ranked.
 
 Queries are taken in blocks of at most ``BLOCK`` vectors, each of which goes to the tasks and runs against all codes.
 Equal vectors are one class: only its first is encoded, and only as many copies as can be returned are looked at, those
@@ -34,6 +35,7 @@ WORDS = 64
 BEAM = 6
 MOST_SAMPLE = 16_384
 SHORTLIST = 256
+TIE = 4e-6  # sums of BOOKS float32 products differ by less than this for the same cosine
 BLOCK = 4096
 CODES_PER_TASK = 1 << 15
 
@@ -117,11 +119,14 @@ def valid_vectors(table: DataFrame) -> DataFrame:
     return kept.groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
+def _keyed(vectors: DataFrame) -> DataFrame:
+    return vectors.withColumn("key", F.concat_ws("-", F.xxhash64("v"), F.hash("v")))
+
+
 def _classes(vectors: DataFrame, copies: int) -> DataFrame:
     """(key, vec_id, v, place): the first ``copies`` ids of each class of equal vectors."""
-    keyed = vectors.withColumn("key", F.concat_ws("-", F.xxhash64("v"), F.hash("v")))
     order = Window.partitionBy("key").orderBy("vec_id")
-    return keyed.withColumn("place", F.row_number().over(order)).where(F.col("place") <= copies)
+    return _keyed(vectors).withColumn("place", F.row_number().over(order)).where(F.col("place") <= copies)
 
 
 def build_index(firsts: DataFrame, books: np.ndarray, beam: int = BEAM) -> DataFrame:
@@ -148,7 +153,7 @@ def scan(index: DataFrame, queries: list[tuple[int, list[float]]], books: np.nda
         ids, unit, books = shared.value
         tables = np.einsum("qd,mwd->mqw", unit, books, optimize=True).astype(np.float32)
         best = np.full((len(ids), 0), 0, np.float32)
-        names = np.full((len(ids), 0), 0, np.int64)
+        held = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32))  # query, vector, score
         for batch in batches:
             for i in range(0, len(batch), 4096):
                 part = batch.slice(i, 4096)
@@ -157,29 +162,37 @@ def scan(index: DataFrame, queries: list[tuple[int, list[float]]], books: np.nda
                 for m in range(1, len(books)):
                     scores += np.take(tables[m], codes[:, m], axis=1)
                 scores /= np.asarray(part["norm"], np.float32)
-                own = np.broadcast_to(np.asarray(part["vec_id"], np.int64), scores.shape)
-                scores, own = np.concatenate([best, scores], 1), np.concatenate([names, own], 1)
-                if scores.shape[1] > shortlist:
-                    top = np.argpartition(-scores, shortlist - 1, axis=1)[:, :shortlist]
-                    scores, own = np.take_along_axis(scores, top, 1), np.take_along_axis(own, top, 1)
-                best, names = scores, own
-        if best.shape[1]:
-            yield _lists(ids, names, best)
+                best = np.concatenate([best, scores], 1)
+                least = np.full(len(ids), -np.inf, np.float32)
+                if best.shape[1] > shortlist:
+                    best = -np.partition(-best, shortlist - 1, axis=1)[:, :shortlist]
+                    least = best[:, -1] - np.float32(TIE)
+                q, v = np.nonzero(scores >= least[:, None])
+                still = held[2] >= least[held[0]]
+                new = (q, np.asarray(part["vec_id"], np.int64)[v], scores[q, v])
+                held = tuple(np.concatenate([x[still], y]) for x, y in zip(held, new, strict=True))
+        yield from _lists(ids, *held)
 
     return index.mapInArrow(run, "query_id long, ids array<long>, scores array<float>")
 
 
-def _lists(ids: np.ndarray, names: np.ndarray, scores: np.ndarray) -> pa.RecordBatch:
-    at = pa.array(np.arange(len(ids) + 1, dtype=np.int32) * names.shape[1])
-    lists = [pa.ListArray.from_arrays(at, pa.array(x.ravel())) for x in (names, scores)]
-    return pa.RecordBatch.from_arrays([pa.array(ids), *lists], ["query_id", "ids", "scores"])
+def _lists(ids: np.ndarray, q: np.ndarray, names: np.ndarray, scores: np.ndarray) -> Iterator[pa.RecordBatch]:
+    order = np.argsort(q, kind="stable")
+    bounds = np.searchsorted(q[order], np.arange(len(ids) + 1))
+    for i in range(0, len(ids) if len(q) else 0, 64):
+        own = bounds[i : i + 65]
+        at, some = pa.array((own - own[0]).astype(np.int32)), order[own[0] : own[-1]]
+        lists = [pa.ListArray.from_arrays(at, pa.array(x[some])) for x in (names, scores)]
+        yield pa.RecordBatch.from_arrays([pa.array(ids[i : i + 64]), *lists], ["query_id", "ids", "scores"])
 
 
 def shortlists(scanned: DataFrame, shortlist: int) -> DataFrame:
-    """(query_id, vec_id): the best of all tasks for each query."""
+    """(query_id, vec_id): the best of all tasks for each query, and what ties with the last of them."""
     pairs = scanned.select("query_id", F.explode(F.arrays_zip("ids", "scores")).alias("x")).select("query_id", "x.ids", "x.scores")
-    order = Window.partitionBy("query_id").orderBy(F.desc("scores"), "ids")
-    return pairs.withColumn("place", F.row_number().over(order)).where(F.col("place") <= shortlist).select("query_id", F.col("ids").alias("vec_id"))
+    own = Window.partitionBy("query_id")
+    placed = pairs.withColumn("place", F.row_number().over(own.orderBy(F.desc("scores"), "ids")))
+    least = F.max(F.when(F.col("place") == shortlist, F.col("scores"))).over(own) - F.lit(TIE)
+    return placed.withColumn("least", least).where((F.col("place") <= shortlist) | (F.col("scores") >= F.col("least"))).select("query_id", F.col("ids").alias("vec_id"))
 
 
 def cosines(pairs: DataFrame) -> DataFrame:
@@ -223,7 +236,9 @@ def search(table: DataFrame, every: int = 50, k: int = 5, shortlist: int = SHORT
     if scanned is None:
         return spark.createDataFrame([], out)
     pairs = shortlists(keep(scanned, "scans"), shortlist)
-    # a class that holds the query itself is always looked at, for the query's copies
+    # the class that holds the query itself is always looked at, for the query's copies
+    own = _keyed(asked).select("key", F.col("vec_id").alias("query_id")).join(firsts.select("key", "vec_id"), "key").select("query_id", "vec_id")
+    pairs = pairs.unionByName(own).distinct()
     full = pairs.join(firsts.select("vec_id", "v", "key"), "vec_id").join(asked.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q")), "query_id")
     scored = cosines(full)
     copies = held.select("key", F.col("vec_id").alias("copy"))
