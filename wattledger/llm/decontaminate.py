@@ -26,25 +26,35 @@ BLOCK_BYTES = 8 << 20
 CHARS_PER_EDIT = 25
 _GAPS = re.compile(r"[\W_]+")
 _WORD = re.compile(r"[^\W_]+")
+# lower-casing these depends on what stands around them, or gives two characters; everything else keeps its place
+_STEADY = str.maketrans({"İ": "i", "Σ": "σ", "ς": "σ"})
+
+
+def lower(text: str) -> str:
+    """Lower case of the same length as ``text``, so that a place in one is that place in the other."""
+    return text.translate(_STEADY).lower()
 
 
 def words_of(text: str) -> str:
     """The text as it is compared, with a space at either end."""
-    return _GAPS.sub(" ", f" {text.lower()} ")
+    return _GAPS.sub(" ", f" {lower(text)} ")
+
+
+def word_places(text: str) -> list[int]:
+    """For each character of ``words_of(text)`` the place in ``text`` that it comes from; for a space, where the word before it ends."""
+    places = [0]
+    for found in _WORD.finditer(lower(text)):
+        places.extend(range(found.start(), found.end() + 1))
+    return places
 
 
-def word_places(text: str) -> tuple[str, list[int]]:
-    """The same, and for each of its characters the place in ``text`` that it comes from."""
-    out, places = [" "], [0]
-    for found in _WORD.finditer(text):
-        for i in range(found.start(), found.end()):
-            low = text[i].lower()
-            kept = _GAPS.sub("", low)
-            out.append(kept)
-            places += [i] * len(kept)
-        out.append(" ")
-        places.append(found.end())
-    return "".join(out), places
+def span_of(words: str, first: int, last: int, places: list[int]) -> tuple[int, int]:
+    """Where the characters ``first`` to ``last`` of the words stand in the text, without spaces at either end."""
+    while first < last and words[first] == " ":
+        first += 1
+    while last > first and words[last - 1] == " ":
+        last -= 1
+    return (places[first], places[last - 1] + 1) if last > first else (places[first], places[first])
 
 
 def best_match(pattern: str, window: str, most: int, codes: dict[str, int] | None = None) -> tuple[int, int] | None:
@@ -126,9 +136,8 @@ class Items:
                     done = first + end
                     found.append((item_id, distance, done - size, done))
         if found:
-            places = word_places(text)[1]
-            places.append(len(text))
-            found = [(i, d, places[min(a + 1, len(places) - 1)], places[max(b - 1, 0)]) for i, d, a, b in found]
+            places = word_places(text)
+            found = [(i, d, *span_of(words, a, b, places)) for i, d, a, b in found]
         return found
 
 
