@@ -10,8 +10,8 @@ Writing: of records with equal payloads the one with the smallest page_id is a r
 
 Defined results: null html is an empty payload; an empty payload is revisited like any other unless
 ``least_bytes`` says more; rows that repeat the smallest page_id of a payload are all responses; a null page_id is
-written as a response and never referred to; a null url leaves the target header out; an empty table writes no
-archive and reads as no rows. Extra columns are ignored.
+written as a response and never referred to; a null url leaves the target header out, and one of any length is
+written and read whole; an empty table writes no archive and reads as no rows. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,9 +32,10 @@ from pyspark.sql import functions as F
 from .common import forget, keep, scratch_path
 
 MAGIC = b"WARC/1.1\r\n"
-HEAD_BYTES = 1 << 16  # no header is longer
+HEAD_BYTES = 1 << 12  # what is read at first of a header; more follows until it ends
 ARCHIVE_BYTES = 32 << 20
 RANGE_BYTES = 8 << 20
+TASK_BYTES = 64 << 20  # what a task reads back, about
 BROADCAST_ROWS = 200_000  # revisit rows of at most about 60 bytes that are sent to every task
 _SPACE = uuid.UUID(int=0)
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
@@ -70,8 +71,11 @@ def revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     digests = keep(pages.select(F.col("page_id").cast("long").alias("page_id"), F.unhex(F.sha1(payload)).alias("digest"), F.octet_length(payload).alias("size")), "digests")
     first = digests.where(F.col("size") >= least_bytes).groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1")
+    # read from a table, so that a payload with very many copies can be split over tasks where it meets its first page
+    first = keep(first.select("digest", "refers_to"), "first-pages")
     found = keep(digests.join(first, "digest").where("page_id > refers_to").select("page_id", F.hex("digest").alias("sha1"), "refers_to").distinct(), "revisits")
     forget(digests)
+    forget(first)
     return found
 
 
@@ -120,34 +124,61 @@ def write_warc(pages: DataFrame, folder: str | None = None, least_bytes: int = 0
     return keep(typed.mapInArrow(run, "path string, size long, records long"), "warc-manifest")
 
 
-def parse_head(data: bytes, at: int = 0) -> tuple[dict[str, str], int] | None:
-    """The header fields of a record at ``at``, and where its block begins; None if there is no whole header."""
+_NAME = re.compile(rb"[A-Za-z0-9-]+:")
+
+
+class _More:
+    """The header may go on behind the bytes at hand."""
+
+
+MORE = _More()
+
+
+def parse_head(data: bytes, at: int = 0) -> tuple[dict[str, str], int] | _More | None:
+    """The header fields of a record at ``at``, and where its block begins; None if no header stands there.
+
+    A header ends at its first blank line, however long it is; the first line that isn't a field tells that there is none.
+    """
     if not data.startswith(MAGIC, at):
-        return None
-    end = data.find(b"\r\n\r\n", at, at + HEAD_BYTES)
-    if end < 0:
-        return None
+        return MORE if MAGIC.startswith(data[at:]) else None
     fields = {}
-    for line in data[at + len(MAGIC) : end].split(b"\r\n"):
-        name, colon, value = line.partition(b":")
-        if not colon or not re.fullmatch(rb"[A-Za-z0-9-]+", name):
+    line = at + len(MAGIC)
+    while True:
+        end = data.find(b"\r\n", line)
+        if end == line:
+            break
+        named = _NAME.match(data, line, len(data) if end < 0 else end)
+        if named is None:
+            return MORE if end < 0 and re.fullmatch(rb"[A-Za-z0-9-]*|\r", data[line:]) else None
+        if end < 0:
+            return MORE
+        fields[data[line : named.end() - 1].decode().lower()] = data[named.end() : end].strip().decode("utf-8", "replace")
+        line = end + 2
+    return (fields, end + 2) if fields.get("content-length", "").isdecimal() else None
+
+
+def read_head(source, at: int, size: int, data: bytes = b"") -> tuple[dict[str, str], int] | None:
+    """``parse_head`` at byte ``at`` of an open archive of ``size`` bytes, of which ``data`` has been read from there."""
+    while isinstance(found := parse_head(data), _More):
+        if at + len(data) >= size:
             return None
-        fields[name.decode().lower()] = value.strip().decode("utf-8", "replace")
-    if not fields.get("content-length", "").isdecimal():
-        return None
-    return fields, end + 4
-
-
-def _successor(data: bytes, at: int) -> int | None:
-    found = parse_head(data, at)
-    return None if found is None else found[1] + int(found[0]["content-length"]) + 4
+        source.seek(at + len(data))
+        data += source.read(max(HEAD_BYTES, len(data)))
+    return found
 
 
 def ranges(archives: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """(path, size, first, last): byte ranges of the archives, dealt out over the tasks."""
     start = F.explode(F.sequence(F.lit(0), F.greatest(F.col("size") - 1, F.lit(0)), F.lit(range_bytes)).cast("array<long>"))
     cut = archives.select("path", "size", start.alias("first"))
-    return cut.withColumn("last", F.least(F.col("first") + range_bytes, "size")).repartition("path", "first")
+    return cut.withColumn("last", F.least(F.col("first") + range_bytes, "size"))
+
+
+def _tasks(archives: DataFrame, range_bytes: int) -> int:
+    """In how many tasks the archives are read: rows here are tiny, so that Spark would gather them all in one."""
+    found = archives.agg(F.sum("size").alias("bytes"), F.sum(F.ceil(F.col("size") / range_bytes)).alias("ranges")).first()
+    many = max(4 * archives.sparkSession.sparkContext.defaultParallelism, -(-(found["bytes"] or 0) // TASK_BYTES))
+    return max(1, min(found["ranges"] or 1, many))
 
 
 def candidates(cut: DataFrame) -> DataFrame:
@@ -164,12 +195,15 @@ def candidates(cut: DataFrame) -> DataFrame:
                 with files.open_input_file(name) as source:
                     source.seek(first)
                     data = source.read(min(row["size"], last + HEAD_BYTES) - first)
-                after: dict[int, int] = {}
-                at = data.find(MAGIC)
-                while 0 <= at < last - first:
-                    if (to := _successor(data, at)) is not None:
-                        after[at] = to
-                    at = data.find(MAGIC, at + 1)
+                    after: dict[int, int] = {}
+                    at = data.find(MAGIC)
+                    while 0 <= at < last - first:
+                        if isinstance(found := parse_head(data, at), _More):
+                            found = read_head(source, first + at, row["size"], data[at:])
+                            found = found and (found[0], at + found[1])
+                        if found is not None:
+                            after[at] = found[1] + int(found[0]["content-length"]) + 4
+                        at = data.find(MAGIC, at + 1)
                 leaves: dict[int, int] = {}
                 for at in sorted(after, reverse=True):  # a successor lies behind, so its exit is known
                     leaves[at] = leaves.get(after[at], after[at])
@@ -199,9 +233,11 @@ def read_records(archives: DataFrame, range_bytes: int = RANGE_BYTES, payloads:
     Size and digest are computed from a response's payload, and read from the header of a revisit. The payload is
     null for revisits, and for all records without ``payloads``. An archive whose chain breaks raises an error.
     """
-    cut = keep(ranges(archives, range_bytes), "warc-ranges")
-    links = keep(candidates(cut), "warc-links")
-    entries = _entries(cut, links)
+    tasks = _tasks(archives, range_bytes)
+    cut = ranges(archives, range_bytes)
+    links = keep(candidates(cut.repartition(tasks, "path", "first")), "warc-links")
+    # a number that is given isn't coalesced
+    entries = _entries(cut, links, range_bytes).repartition(tasks, "path", "at")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -209,9 +245,9 @@ def read_records(archives: DataFrame, range_bytes: int = RANGE_BYTES, payloads:
                 files, name = pafs.FileSystem.from_uri(row["path"])
                 rows, held, at = [], 0, row["at"]
                 with files.open_input_file(name) as source:
+                    size = source.size()
                     while at < row["last"]:
-                        source.seek(at)
-                        if (found := parse_head(head := source.read(4096))) is None and (found := parse_head(head + source.read(HEAD_BYTES))) is None:
+                        if (found := read_head(source, at, size)) is None:
                             raise ValueError(f"{row['path']}: no record at byte {at}, where one must begin")
                         fields, begin = found
                         length = int(fields["content-length"])
@@ -241,7 +277,7 @@ def _row(path: str, at: int, fields: dict[str, str], block: bytes, payloads: boo
     return row | {"payload_bytes": len(payload), "payload_digest": payload_digest(payload), "payload": payload if payloads else None}
 
 
-def _entries(cut: DataFrame, links: DataFrame) -> DataFrame:
+def _entries(cut: DataFrame, links: DataFrame, range_bytes: int) -> DataFrame:
     """(path, at, last): where the first true record of each range begins; ranges inside one record have none."""
     met = links.select("path", F.col("exit").alias("at")).distinct()
     doors = keep(links.join(met, ["path", "at"], "left_semi").unionByName(links.where("at = 0")).distinct(), "warc-doors")
@@ -250,12 +286,10 @@ def _entries(cut: DataFrame, links: DataFrame) -> DataFrame:
     whole = found.join(doors, ["path", "at"]).select("path", F.col("exit").alias("size"))
     if broken := cut.where("size > 0").select("path", "size").distinct().join(whole, ["path", "size"], "left_anti").first():
         raise ValueError(f"{broken['path']}: no chain of records leads from its start to its end")
-    return found.alias("f").join(cut.alias("c"), (F.col("f.path") == F.col("c.path")) & (F.col("f.at") >= F.col("c.first")) & (F.col("f.at") < F.col("c.last"))).select("f.path", "f.at", "c.last").repartition("path", "at")
+    return found.withColumn("first", F.col("at") - F.col("at") % range_bytes).join(cut, ["path", "first"]).select("path", "at", "last")
 
 
 def page_records(archives: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to) of every page record in the archives."""
     number = lambda name: F.col("fields")[name].cast("long")
     return read_records(archives, range_bytes, payloads=False).select(number("x-page-id").alias("page_id"), "payload_bytes", "payload_digest", F.col("fields")["warc-type"].alias("record_type"), number("x-refers-to-page-id").alias("refers_to"))
-
-
