@@ -3,6 +3,7 @@
 A shard is one file: a header, the ascending doc ids and the document boundaries, both as Elias-Fano
 sequences with a sampled select structure, and the concatenated ids as 16- or 32-bit little-endian integers.
 Documents go to shards by ranges of doc_id, so that shard order and order inside a shard make one global order.
+Reading goes through the select structure, a few hundred documents at a time.
 
 Defined results: a null text counts as empty and yields the end id alone; rows that repeat a doc_id are all
 kept, ordered by their ids; rows whose doc_id is null come first and read back as null; an empty table gives
@@ -14,6 +15,7 @@ from __future__ import annotations
 import io
 import os
 import struct
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -30,7 +32,9 @@ from .common import SegmentEncoder, cut_at, keep, scratch_path, string_bytes, te
 MAGIC = b"EFTOKEN1"
 HEADER = struct.Struct("<8sBxxxIQQ")  # magic, bytes an id, rows without doc id, documents, ids
 SAMPLE = 256  # one select sample for so many set bits
-DOCS_PER_SHARD = 4096
+SHARD_BYTES = 16 << 20  # of ids, about
+MOST_RANGES = 1 << 16  # of ids, each sorted in one task
+TASK_BYTES = 64 << 20  # what a task reads back, about
 
 
 class EliasFano:
@@ -88,14 +92,33 @@ class EliasFano:
         raw = int.from_bytes(self.low[first // 8 : (first + self.low_bits) // 8 + 1].tobytes(), "little")
         return self.base + (((at - i) << self.low_bits) | ((raw >> first % 8) & ((1 << self.low_bits) - 1)))
 
-    def values(self) -> np.ndarray:
-        """All values in one pass."""
-        at = np.flatnonzero(np.unpackbits(self.high.view(np.uint8), bitorder="little"))
-        upper = (at - np.arange(self.n)).astype(np.uint64)
-        bits = np.unpackbits(self.low, bitorder="little")[: self.n * self.low_bits].reshape(self.n, self.low_bits)
+    def select_run(self, first: int, count: int) -> np.ndarray:
+        """The values from place ``first`` on, ``count`` at most; only their own words and bits are unpacked."""
+        count = min(count, self.n - first)
+        if count <= 0:
+            return np.zeros(0, np.int64)
+        sample, last = first // SAMPLE, (first + count - 1) // SAMPLE + 1
+        begin = int(self.samples[sample]) // 64
+        end = int(self.samples[last]) // 64 + 1 if last < len(self.samples) else len(self.high)
+        at = np.flatnonzero(np.unpackbits(self.high[begin:end].view(np.uint8), bitorder="little")) + 64 * begin
+        skip = int(np.searchsorted(at, int(self.samples[sample]))) + first - sample * SAMPLE
+        upper = (at[skip : skip + count] - np.arange(first, first + count)).astype(np.uint64)
+        bit = first * self.low_bits
+        bits = np.unpackbits(self.low[bit // 8 : (bit + count * self.low_bits + 7) // 8], bitorder="little")[bit % 8 :][: count * self.low_bits].reshape(count, self.low_bits)
         lower = (bits.astype(np.uint64) << np.arange(self.low_bits, dtype=np.uint64)).sum(1, dtype=np.uint64)
         return ((upper << np.uint64(self.low_bits)) + lower + np.uint64(self.base % (1 << 64))).astype(np.int64)
 
+    def find(self, value: int) -> int:
+        """The first place with a value of at least ``value``, by halving."""
+        low, high = 0, self.n
+        while low < high:
+            middle = (low + high) // 2
+            if self.select(middle) < value:
+                low = middle + 1
+            else:
+                high = middle
+        return low
+
 
 _encoders: dict[str, SegmentEncoder] = {}
 
@@ -180,62 +203,129 @@ class Shard:
         self.bounds = EliasFano.read(source)
         self.source, self.begin = source, source.tell()
 
-    def ids(self, i: int) -> np.ndarray:
-        first, last = self.bounds.select(i), self.bounds.select(i + 1)
+    def _read(self, first: int, last: int) -> np.ndarray:
         self.source.seek(self.begin + first * self.width)
         return np.frombuffer(self.source.read((last - first) * self.width), f"<u{self.width}")
 
+    def ids(self, i: int) -> np.ndarray:
+        return self._read(self.bounds.select(i), self.bounds.select(i + 1))
+
+    def documents(self, step: int = SAMPLE) -> Iterator[tuple[list[int | None], np.ndarray, np.ndarray]]:
+        """(doc ids, bounds, ids) of ``step`` documents at a time, in order; bounds count from the start of the shard."""
+        for i in range(0, self.n_docs, step):
+            bounds = self.bounds.select_run(i, step + 1)
+            nulls = min(max(0, self.nulls - i), len(bounds) - 1)
+            named = self.doc_ids.select_run(max(0, i - self.nulls), len(bounds) - 1 - nulls)
+            yield [None] * nulls + named.tolist(), bounds, self._read(int(bounds[0]), int(bounds[-1]))
 
-def _cuts(keys: DataFrame, shards: int) -> list[int]:
-    if shards < 2:
-        return []
-    at = [i / shards for i in range(1, shards)]
-    found = keys.agg(F.percentile_approx("doc_id", F.array(*map(F.lit, at)), F.lit(100 * shards)).alias("q")).first()["q"]
-    return sorted({int(x) for x in found or []})
+    def places(self, doc_id: int) -> range:
+        """Where the documents of this id are in the shard."""
+        return range(self.nulls + self.doc_ids.find(doc_id), self.nulls + self.doc_ids.find(doc_id + 1))
 
 
-def write_archive(encoded: DataFrame, cuts: list[int], folder: str, width: int = 2) -> DataFrame:
-    """Write (doc_id, ids) as shards in ``folder``, cut at the doc ids ``cuts``; one manifest row for each shard.
+def _cuts(docs: DataFrame, least_bytes: int) -> list[int]:
+    """Ascending ids where ranges end, at most about ``MOST_RANGES``, so that between two of them lie about ``least_bytes`` of text, or one id alone.
 
-    A shard is written under a temporary name and then moved to a name that its range fixes, so that a
-    repeated task leaves the same file.
+    Text is summed by equal ranges of ids. A range that holds too much is divided again, so that gaps and clusters
+    of ids don't matter; what comes to the driver is a row for each range, a few for each cut.
+    """
+    sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.octet_length(F.col("text").cast("string")), F.lit(0)).alias("size")).where("doc_id is not null")
+    low, high, total = sized.agg(F.min("doc_id"), F.max("doc_id"), F.sum("size")).first()
+    if low is None:
+        return []
+    most = max(least_bytes, total // MOST_RANGES)
+    done: list[tuple[int, int]] = []  # last id of a range, and its bytes
+    todo = [(low, high, total)]
+    while todo:
+        edges = np.array([r[:2] for r in sorted(todo)], np.int64).reshape(-1, 2)
+        widths = [-(-(b - a + 1) // max(16, 4 * -(-size // most))) for a, b, size in sorted(todo)]
+
+        def part(batches: Iterator[pa.RecordBatch], edges=edges, widths=np.array(widths, np.uint64)) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                ids, sizes = np.asarray(batch["doc_id"], np.int64), np.asarray(batch["size"], np.int64)
+                own = np.searchsorted(edges[:, 0], ids, "right") - 1
+                inside = (own >= 0) & (ids <= edges[np.maximum(own, 0), 1])
+                own, ids, sizes = own[inside], ids[inside], sizes[inside]
+                # unsigned, as ids can be further apart than a signed number tells
+                cell = (ids.astype(np.uint64) - edges[own, 0].astype(np.uint64)) // widths[own]
+                yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), pa.array(cell.astype(np.int32)), pa.array(sizes)], ["own", "cell", "size"])
+
+        found = sized.mapInArrow(part, "own int, cell int, size long").groupBy("own", "cell").agg(F.sum("size").alias("size")).collect()
+        todo = []
+        for r in found:
+            first = int(edges[r["own"], 0]) + r["cell"] * widths[r["own"]]
+            last = min(first + widths[r["own"]] - 1, int(edges[r["own"], 1]))
+            if r["size"] > most and last > first:
+                todo.append((first, last, r["size"]))
+            else:
+                done.append((last, r["size"]))
+    cuts, held, before = [], 0, low
+    for last, size in sorted(done):
+        if held and held + size > most:
+            cuts.append(before)
+            held = 0
+        held += size
+        before = last
+    return cuts
+
+
+def write_archive(encoded: DataFrame, cuts: list[int], folder: str, width: int = 2, most_bytes: int = SHARD_BYTES) -> DataFrame:
+    """Write (doc_id, ids) as shards in ``folder``; one manifest row for each shard, with its place in the order.
+
+    A task takes the ids between two of ``cuts``, sorted, and closes a shard at ``most_bytes`` of ids, so that it holds
+    no more than a shard, however often an id is repeated. A shard is written under a temporary name and then moved to
+    the name of its range and number, so that a repeated task leaves the same files.
     """
+
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edges = np.array(cuts, np.int64)
         for batch in batches:
             ids = np.asarray(pc.fill_null(batch["doc_id"], np.iinfo(np.int64).min), dtype=np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.searchsorted(edges, ids, "left").astype(np.int32)), *batch.columns], ["shard", *batch.schema.names])
+            yield pa.RecordBatch.from_arrays([pa.array(np.searchsorted(edges, ids, "left").astype(np.int32)), *batch.columns], ["range", *batch.schema.names])
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, root = pafs.FileSystem.from_uri(folder)
         files.create_dir(root, recursive=True)
 
-        def finish(shard, ids, blobs):
-            data, name = write_shard(ids, blobs, width), f"{root}/shard-{shard:08d}.eft"
-            hidden = f"{root}/.{os.getpid()}-{id(data)}-{shard:08d}"
+        def finish():
+            name = f"shard-{own:06d}-{number:05d}.eft"
+            hidden = f"{root}/.{uuid.uuid4().hex}"
             with files.open_output_stream(hidden) as out:
-                out.write(data)
-            files.move(hidden, name)
-            n_ids = sum(map(len, blobs)) // width
-            return pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "path": [f"{folder}/shard-{shard:08d}.eft"], "n_docs": pa.array([len(ids)], pa.int64()), "n_ids": pa.array([n_ids], pa.int64())})
+                out.write(write_shard(ids, blobs, width))
+            files.move(hidden, f"{root}/{name}")
+            values = {"range": own, "number": number, "path": f"{folder}/{name}", "n_docs": len(ids), "n_ids": size // width}
+            return pa.RecordBatch.from_pylist([values], _MANIFEST)
 
-        open_shard, ids, blobs = None, [], []
+        own, number, size, ids, blobs = None, 0, 0, [], []
         for batch in batches:
-            for shard, doc_id, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if shard != open_shard and open_shard is not None:
-                    yield finish(open_shard, ids, blobs)
-                    ids, blobs = [], []
-                open_shard = shard
+            for i, doc_id, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if ids and (i != own or size + len(blob) > most_bytes):
+                    yield finish()
+                    number, size, ids, blobs = (number + 1 if i == own else 0), 0, [], []
+                own = i
                 ids.append(doc_id)
                 blobs.append(blob)
-        if open_shard is not None:
-            yield finish(open_shard, ids, blobs)
+                size += len(blob)
+        if ids:
+            yield finish()
+
+    placed = encoded.mapInArrow(place, "range int, doc_id long, ids binary")
+    dealt = placed.repartitionById(len(cuts) + 1, F.col("range")).sortWithinPartitions("range", F.col("doc_id").asc_nulls_first(), "ids")
+    manifest = keep(dealt.mapInArrow(store, "range int, number int, path string, n_docs long, n_ids long"), "token-manifest")
+    order = Window.orderBy("range", "number")  # a row for each shard, not for each document
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    return manifest.withColumn("shard", (F.row_number().over(order) - 1).cast("int")).withColumn("base", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
+
+
+_MANIFEST = pa.schema([("range", pa.int32()), ("number", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
+
 
-    placed = encoded.mapInArrow(place, "shard int, doc_id long, ids binary")
-    dealt = placed.repartitionById(len(cuts) + 1, F.col("shard")).sortWithinPartitions("shard", F.col("doc_id").asc_nulls_first(), "ids")
-    manifest = keep(dealt.mapInArrow(store, "shard int, path string, n_docs long, n_ids long"), "token-manifest")
-    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # a row for each shard, not for each document
-    return manifest.withColumn("base", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
+def _spread(manifest: DataFrame, width: int = 4) -> DataFrame:
+    """The shards dealt evenly over tasks that read about ``TASK_BYTES`` each; a number that is given isn't coalesced."""
+    found = manifest.agg(F.count("*").alias("shards"), F.sum("n_ids").alias("ids")).first()
+    many = max(4 * manifest.sparkSession.sparkContext.defaultParallelism, -(-(found["ids"] or 0) * width // TASK_BYTES))
+    tasks = max(1, min(found["shards"], many))
+    return manifest.repartitionById(tasks, F.pmod("shard", F.lit(tasks)))
 
 
 def read_archive(manifest: DataFrame) -> DataFrame:
@@ -244,21 +334,46 @@ def read_archive(manifest: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, base in zip(batch["path"].to_pylist(), batch["base"].to_pylist(), strict=True):
+                files, name = pafs.FileSystem.from_uri(path)
+                with files.open_input_file(name) as source:
+                    for doc_ids, bounds, ids in Shard(source).documents():
+                        at = (bounds - bounds[0]).tolist()
+                        crcs = [zlib.crc32(ids[a:b].astype("<u4")) for a, b in zip(at[:-1], at[1:], strict=True)]
+                        yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), pa.array(bounds[:-1] + base), pa.array(np.diff(bounds)), pa.array(crcs, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
+
+    return _spread(manifest).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+
+
+def fetch(manifest: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(doc_id, ids) of the documents whose ids are ``wanted``, by select in the shards of their ranges."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, asked in zip(batch["path"].to_pylist(), batch["asked"].to_pylist(), strict=True):
                 files, name = pafs.FileSystem.from_uri(path)
                 with files.open_input_file(name) as source:
                     shard = Shard(source)
-                    bounds = shard.bounds.values()
-                    data = np.frombuffer(source.read(), f"<u{shard.width}")
-                crcs = [zlib.crc32(data[a:b].astype("<u4")) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-                ids = pa.concat_arrays([pa.nulls(shard.nulls, pa.int64()), pa.array(shard.doc_ids.values())])
-                yield pa.RecordBatch.from_arrays([ids, pa.array(bounds[:-1] + base), pa.array(np.diff(bounds)), pa.array(crcs, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
+                    rows = [(i, shard.ids(at).astype(np.int64)) for i in asked for at in shard.places(i)]
+                yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int64()), pa.array([x for _, x in rows], pa.list_(pa.int64()))], ["doc_id", "ids"])
+
+    def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for path in batch["path"].to_pylist():
+                files, name = pafs.FileSystem.from_uri(path)
+                with files.open_input_file(name) as source:
+                    own = Shard(source).doc_ids
+                    rows.append((own.select(0), own.select(own.n - 1)) if own.n else (None, None))
+            yield pa.RecordBatch.from_arrays([batch["path"], *(pa.array([r[i] for r in rows], pa.int64()) for i in (0, 1))], ["path", "low", "high"])
 
-    return manifest.repartition("path").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    edges = keep(_spread(manifest).mapInArrow(spans, "path string, low long, high long"), "shard-spans")
+    asked = wanted.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+    met = asked.join(edges, F.col("doc_id").between(F.col("low"), F.col("high")))
+    return met.groupBy("path").agg(F.collect_list("doc_id").alias("asked")).mapInArrow(run, "doc_id long, ids array<long>")
 
 
-def archive_documents(docs: DataFrame, tokenizer_path: str, end_id: int, folder: str | None = None, width: int = 2, docs_per_shard: int = DOCS_PER_SHARD) -> DataFrame:
+def archive_documents(docs: DataFrame, tokenizer_path: str, end_id: int, folder: str | None = None, width: int = 2, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Encode ``docs`` and write the shards; returns the manifest for ``read_archive``."""
-    keys = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
-    shards = max(1, -(-keys.count() // docs_per_shard))
     encoded = encode_documents(docs, tokenizer_path, end_id, width)
-    return write_archive(encoded, _cuts(keys, shards), folder or scratch_path(docs.sparkSession, "token-archive"), width)
+    # a text has fewer bytes of ids than of characters
+    return write_archive(encoded, _cuts(docs, 2 * shard_bytes), folder or scratch_path(docs.sparkSession, "token-archive"), width, shard_bytes)
