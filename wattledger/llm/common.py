@@ -9,7 +9,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -48,6 +49,11 @@ def forget(df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def as_row(df: DataFrame) -> Column:
+    """The whole row as one struct, so that an operator's own columns can't clash with the given ones."""
+    return F.struct(*(F.col(f"`{c}`") for c in df.columns))
+
+
 def text_slices(batch: pa.RecordBatch, column: str, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch into slices of about ``most_bytes`` of text, one row at least, so that memory stays bounded."""
     sizes = np.asarray(pc.fill_null(pc.binary_length(batch[column]), 0), dtype=np.int64)

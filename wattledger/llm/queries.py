@@ -12,6 +12,9 @@ from . import additive_ann, decontaminate, html_main, metric_join, piece_codec,
 from .common import scratch_path
 
 
+PASSAGE_WORDS = 20  # repeats of fewer words in a row are stock phrases, which clean documents share
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -41,8 +44,9 @@ def op4_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A row for each removed run: documents without one don't appear."""
-    return unit_dedup.repeated_runs(_table(spark, sf_dir, "documents")).drop("version")
+    """A row for each repeated passage: documents without one don't appear. The operator itself reports shorter repeats too."""
+    runs = unit_dedup.repeated_runs(_table(spark, sf_dir, "documents"), PASSAGE_WORDS)
+    return runs.withColumn("kept_in", F.array_join("kept_in", "|")).drop("version")
 
 
 def op6_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,15 +2,16 @@
 
 A text is cut into units: lines, and inside them sentences. A unit is normalised (lower case, single spaces) and hashed
 to 128 bits. Digests are grouped over all documents; the occurrence with the lowest rank, by doc_id and place, is kept
-and every other one is a repeat. Repeats that follow each other form a run, and runs of at least ``min_words`` words
-are removed; shorter ones, such as a stock phrase, stay. Each removed run carries its place in the original text.
+and every other one is a repeat. Repeats that follow each other form a run, with its place in the original text. All runs
+are reported and removed, unless the caller asks for a least number of words, to leave stock phrases alone.
 
 Digests are combined before the shuffle, so that a line in a third of all documents costs a row for each task. Only
-repeated digests are joined back, by a join that splits large keys.
+repeated digests are joined back. Those of more than a thousandth of all repeats, which are at most a thousand, are
+dealt over many tasks by a salt.
 
 Defined results: null and empty texts have no units; rows with a null doc_id are left as they are and count for
 nothing; rows that repeat both doc_id and text are one document; rows that share a doc_id but not the text are
-ranked by their text's hash. Extra columns are kept by ``remove_repeats``. An empty table gives no rows.
+ranked by their text's hash. Extra columns, of any name, are kept by ``remove_repeats``. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -21,14 +22,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import text_slices
+from .common import as_row, keep, text_slices
 
-MIN_WORDS = 20
-_UNIT = re.compile(r"[^\s][^\n.!?]*(?:[.!?]+(?![\s])[^\n.!?]*)*[.!?]*")
+SHARE = 1000  # a digest of more than one in so many repeats is dealt over several tasks
+LEAST_SHARE = 1000
+_UNIT = re.compile(r"(?=\S)(?:[^\n.!?]+|[.!?](?!\s))*[.!?]?")
 
 
 def unit_spans(text: str) -> list[tuple[int, int]]:
@@ -64,12 +66,19 @@ def units(docs: DataFrame) -> DataFrame:
     return given.mapInArrow(run, "doc_id long, version long, hi long, lo long, place int, start int, end int, words int")
 
 
-def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def repeated_runs(docs: DataFrame, min_words: int = 1) -> DataFrame:
     """(doc_id, version, start, end, n_units, n_words, kept_in): each run to remove, and the documents that keep its units."""
     found = units(docs)
     ranked = found.select("hi", "lo", F.struct("doc_id", "version", "place").alias("rank"))
-    first = ranked.groupBy("hi", "lo").agg(F.min("rank").alias("first"), F.max("rank").alias("last")).where("first <> last").select("hi", "lo", "first")
-    later = found.join(first, ["hi", "lo"]).where("struct(doc_id, version, place) > first")
+    first = ranked.groupBy("hi", "lo").agg(F.min("rank").alias("first"), F.max("rank").alias("last"), F.count("*").alias("n"))
+    first = keep(first.where("first <> last").select("hi", "lo", "first", "n"), "repeated-units")
+    share = max(LEAST_SHARE, (first.agg(F.sum("n")).first()[0] or 0) // SHARE)
+    salts = F.ceil(F.col("n") / share).cast("int")
+    hot = F.broadcast(first.where(F.col("n") > share).select("hi", "lo", salts.alias("salts")))  # SHARE rows at most
+    salt = F.when(F.col("salts").isNull(), 0).otherwise(F.pmod(F.xxhash64("doc_id", "version", "place"), F.col("salts"))).cast("int")
+    dealt = found.join(hot, ["hi", "lo"], "left").withColumn("salt", salt).drop("salts")
+    copies = F.when(F.col("n") > share, F.sequence(F.lit(0), salts - 1)).otherwise(F.array(F.lit(0)))
+    later = dealt.join(first.select("hi", "lo", "first", F.explode(copies).alias("salt")), ["hi", "lo", "salt"]).where("struct(doc_id, version, place) > first")
     # the same document twice in the table gives the same unit twice
     later = later.select("doc_id", "version", "place", "start", "end", "words", F.col("first.doc_id").alias("kept")).dropDuplicates(["doc_id", "version", "place"])
     order = Window.partitionBy("doc_id", "version").orderBy("place")
@@ -78,19 +87,23 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return whole.where(F.col("n_words") >= min_words).drop("run")
 
 
-def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def remove_repeats(docs: DataFrame, min_words: int = 1) -> DataFrame:
     """The documents without their repeated runs; one that nothing is left of goes. ``n_chars`` follows if there is one."""
-    spans = repeated_runs(docs, min_words).groupBy("doc_id", "version").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_spans"))
-    spans = spans.select(F.col("doc_id").alias("_id"), F.col("version").alias("_version"), "_spans")
-    text = F.col("text").cast("string")
-    joined = docs.join(spans, (docs["doc_id"].cast("long") == spans["_id"]) & (F.xxhash64(text) == spans["_version"]), "left")
+    spans = repeated_runs(docs, min_words).groupBy("doc_id", "version").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    text = F.col("row.text").cast("string")
+    given = docs.select(as_row(docs).alias("row")).select("row", F.col("row.doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("version"))
+    joined = given.join(spans, ["doc_id", "version"], "left")
     # what stands between the runs, in order; places are counted in code points on both sides
-    edges = F.concat(F.array(F.lit(0)), F.transform("_spans", lambda s: s["end"]))
-    ends = F.concat(F.transform("_spans", lambda s: s["start"]), F.array(F.length(text)))
+    edges = F.concat(F.array(F.lit(0)), F.transform("spans", lambda s: s["end"]))
+    ends = F.concat(F.transform("spans", lambda s: s["start"]), F.array(F.length(text)))
     between = F.array_join(F.zip_with(edges, ends, lambda a, b: F.substring(text, a + 1, b - a)), "")
-    out = joined.withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(between))
-    out = out.where(F.col("_spans").isNull() | F.col("text").rlike(r"\S"))
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(kind))
-    return out.select(*docs.columns)
+    cut = joined.withColumn("left", F.when(F.col("spans").isNotNull(), between)).where(F.col("left").isNull() | F.col("left").rlike(r"\S"))
+
+    def value(c: str) -> Column:
+        old = F.col("row").getField(c)
+        if c not in ("text", "n_chars"):
+            return old.alias(c)
+        new = F.col("left") if c == "text" else F.length("left")
+        return F.when(F.col("left").isNull(), old).otherwise(new.cast(docs.schema[c].dataType)).alias(c)
+
+    return cut.select(*map(value, docs.columns))
