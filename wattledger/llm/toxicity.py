@@ -11,7 +11,7 @@ calibration and the others the trees. Scoring is one pass over the documents.
 
 Defined results: null and empty texts get the score of a text without any feature; a labelled row without a document
 or with a null label is not used; with labels of one kind only, every score is that kind's share; repeated rows are
-scored alike; extra columns are kept out of the features. An empty table gives no rows.
+scored alike; extra columns, of any name, are kept out of the features. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,8 +28,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import keep, text_slices
+from .common import as_row, keep, text_slices
 
 MOST_ROWS = 20_000
 MOST_TERMS = 4_000  # of the lexicon
@@ -69,6 +70,31 @@ class Lexicon:
         return cls({r["term"]: math.log(r["odds"]) for r in found if not r["begins"]}, beginnings)
 
 
+_marks: list[np.ndarray] = []
+
+
+def _signs() -> np.ndarray:
+    """For each code point: 1 for a letter, 2 more for a capital, 4 more for what can be in a word. Made once in each worker."""
+    if not _marks:
+        every = [chr(i) for i in range(0x110000)]
+        of = lambda f: np.fromiter(map(f, every), np.uint8, len(every))
+        _marks.append(of(str.isalpha) + 2 * of(str.isupper) + 4 * of(lambda c: c.isalnum() or c == "_"))
+    return _marks[0]
+
+
+def capitals_of(text: str) -> tuple[int, int, int]:
+    """(letters, capitals, words of three and more letters that are all capitals)."""
+    kind = _signs()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
+    upper = np.zeros(len(kind) + 2, bool)
+    upper[1:-1] = kind & 2
+    word = np.zeros(len(kind) + 2, bool)
+    word[1:-1] = kind & 4
+    edge = np.flatnonzero(upper[1:] != upper[:-1])
+    starts, ends = edge[::2] + 1, edge[1::2] + 1
+    shouted = (ends - starts >= 3) & ~word[starts - 1] & ~word[ends]
+    return int((kind & 1).sum()), int(upper.sum()), int(shouted.sum())
+
+
 def features(text: str, lexicon: Lexicon) -> list[float]:
     """The dense features of one whole text, in the order of ``FEATURES``."""
     low = text.lower()
@@ -85,7 +111,7 @@ def features(text: str, lexicon: Lexicon) -> list[float]:
         at = np.searchsorted(second, places)
         right = np.abs(np.take([*second, 10**9], at) - places)
         left = np.abs(np.array(places) - np.take([-(10**9), *second], at))
-        near = float((1 / np.minimum(left, right)).sum())
+        near = float((1 / np.maximum(1, np.minimum(left, right))).sum())
     sentences = hit = 0
     densest = 0.0
     if bad or begun:
@@ -97,9 +123,7 @@ def features(text: str, lexicon: Lexicon) -> list[float]:
                 densest = max(densest, k / len(own))
     mixed = [t for t in _TOKEN.findall(low) if _MIXED.search(t)] if _MIXED.search(low) else []
     hidden = sum(t.translate(_LEET).strip(",;:()\"'?") in table for t in mixed)
-    letters = sum(map(str.isalpha, text)) if len(text) < 2000 else len(low) - low.count(" ")
-    capitals = sum(map(str.isupper, text)) if len(text) < 2000 else len(re.findall(r"[A-ZÀ-ÖØ-Þ]", text))
-    shouted = len(re.findall(r"\b[A-ZÀ-ÖØ-Þ]{3,}\b", text)) if capitals > 0.05 * letters else 0
+    letters, capitals, shouted = capitals_of(text)
     bangs = text.count("!")
     signs = bangs + sum(text.count(c) for c in "?*#$%&@~")
     weight = sum(table[w] for w in bad)
@@ -109,47 +133,39 @@ def features(text: str, lexicon: Lexicon) -> list[float]:
     ]
 
 
-def with_features(docs: DataFrame, lexicon: Lexicon, keep_columns: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, one double for each feature) and the columns asked for."""
+def with_features(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """(row, one double for each feature); ``row`` is the given row, and its ``text`` is what is read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch, "_text"):
-                rows = np.array([features(t or "", lexicon) for t in part["_text"].to_pylist()], np.float64).reshape(len(part), len(FEATURES))
-                named = {c: part[c] for c in ("_doc_id", *keep_columns)}
-                yield pa.RecordBatch.from_pydict(named | {f"_f_{f}": rows[:, i].copy() for i, f in enumerate(FEATURES)})
+            texts = pa.RecordBatch.from_arrays([batch["text"], pa.array(range(len(batch)))], ["text", "at"])
+            for part in text_slices(texts, "text"):
+                rows = np.array([features(t or "", lexicon) for t in part["text"].to_pylist()], np.float64).reshape(len(part), len(FEATURES))
+                own = batch["row"].slice(part["at"][0].as_py(), len(part))
+                yield pa.RecordBatch.from_arrays([own, *(pa.array(rows[:, i].copy()) for i in range(len(FEATURES)))], ["row", *FEATURES])
 
-    given = docs.select(F.col("doc_id").cast("long").alias("_doc_id"), F.col("text").cast("string").alias("_text"), *keep_columns)
-    kinds = "".join(f", `{c}` {given.schema[c].dataType.simpleString()}" for c in keep_columns)
-    return given.mapInArrow(run, "_doc_id long" + kinds + "".join(f", _f_{f} double" for f in FEATURES))
+    given = docs.select(as_row(docs).alias("row")).select("row", F.col("row.text").cast("string").alias("text"))
+    return given.mapInArrow(run, T.StructType([given.schema["row"], *(T.StructField(f, T.DoubleType()) for f in FEATURES)]))
 
 
 class ToxicityModel:
-    def __init__(self, lexicon: Lexicon, trees, steps: tuple[list[float], list[float]]):
-        self.lexicon, self.trees, self.steps = lexicon, trees, steps
+    def __init__(self, lexicon: Lexicon, trees, steps, share: float = 0.0):
+        self.lexicon, self.trees, self.steps, self.share = lexicon, trees, steps, share
 
-    def score(self, docs: DataFrame, keep_columns: tuple[str, ...] = ()) -> DataFrame:
-        """(_doc_id, score) and the columns asked for; the score is the calibrated chance of label 1."""
-        found = with_features(docs, self.lexicon, keep_columns)
+    def score(self, docs: DataFrame) -> DataFrame:
+        """(row, score): the given row, and the calibrated chance of label 1."""
+        found = with_features(docs, self.lexicon)
         if self.trees is None:
-            return found.select("_doc_id", *keep_columns, F.lit(self.steps[1][0]).alias("score"))
-        raw = _raw(self.trees, found)
-        return raw.select("_doc_id", *keep_columns, _calibrated(F.col("_raw"), *self.steps).alias("score"))
+            return found.select("row", F.lit(self.share).alias("score"))
+        return self.steps.transform(_raw(self.trees, found)).select("row", "score")
 
 
-def _raw(trees, found: DataFrame) -> DataFrame:
-    put = VectorAssembler(inputCols=[f"_f_{f}" for f in FEATURES], outputCol="_features").transform(found)
-    return trees.transform(put).withColumn("_raw", vector_to_array("_p")[1])
+def _assembled(found: DataFrame) -> DataFrame:
+    return VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(found)
 
 
-def _calibrated(raw, edges: list[float], values: list[float]):
-    """Linear between the steps of the isotonic fit, constant beyond them."""
-    out = F.lit(values[-1])
-    for i in range(len(edges) - 1, 0, -1):
-        width = edges[i] - edges[i - 1]
-        between = F.lit(values[i - 1]) + (raw - F.lit(edges[i - 1])) * F.lit((values[i] - values[i - 1]) / width if width else 0.0)
-        out = F.when(raw < F.lit(edges[i]), between).otherwise(out)
-    return F.when(raw <= F.lit(edges[0]), F.lit(values[0])).otherwise(out)
+def _raw(trees, found: DataFrame) -> DataFrame:
+    return trees.transform(_assembled(found)).withColumn("raw", vector_to_array("p")[1])
 
 
 def train(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS, trees: int = 20, depth: int = 3, seed: int = 7) -> ToxicityModel:
@@ -162,20 +178,19 @@ def train(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS, trees:
     fit = rows.where("part <> 0")
     counts = {r["toxic"]: r["n"] for r in fit.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(counts) < 2:
-        return ToxicityModel(Lexicon({}, {}), None, ([0.0], [float(counts.get(1, 0) > 0)]))
+        return ToxicityModel(Lexicon({}, {}), None, None, float(counts.get(1, 0) > 0))
     lexicon = Lexicon.learn(fit, counts[1], counts[0])
-    put = keep(with_features(rows, lexicon, ("toxic", "part")), "training-features").cache()
-    ready = VectorAssembler(inputCols=[f"_f_{f}" for f in FEATURES], outputCol="_features").transform(put.where("part <> 0").coalesce(4)).withColumn("toxic", F.col("toxic").cast("double")).cache()
-    booster = GBTClassifier(featuresCol="_features", labelCol="toxic", maxIter=trees, maxDepth=depth, stepSize=0.2, seed=seed, minInstancesPerNode=5, predictionCol="_y")
-    booster = booster.setProbabilityCol("_p").setRawPredictionCol("_r")
+    put = keep(with_features(rows.select("text", "toxic", "part"), lexicon).select(F.col("row.toxic").cast("double").alias("toxic"), "row.part", *FEATURES), "training-features").cache()
+    ready = _assembled(put.where("part <> 0").coalesce(4)).cache()
+    booster = GBTClassifier(featuresCol="features", labelCol="toxic", maxIter=trees, maxDepth=depth, stepSize=0.2, seed=seed, minInstancesPerNode=5, predictionCol="y")
+    booster = booster.setProbabilityCol("p").setRawPredictionCol("r")
     model = booster.fit(ready)
-    held = _raw(model, put.where("part = 0")).select("_raw", F.col("toxic").cast("double").alias("toxic")).cache()
+    held = _raw(model, put.where("part = 0")).select("raw", "toxic").cache()
     if held.count() < 50:
-        held = _raw(model, put).select("_raw", F.col("toxic").cast("double").alias("toxic"))
-    steps = IsotonicRegression(featuresCol="_raw", labelCol="toxic").fit(held)
-    edges, values = steps.boundaries.toArray().tolist(), steps.predictions.toArray().tolist()
+        held = _raw(model, put).select("raw", "toxic")
+    steps = IsotonicRegression(featuresCol="raw", labelCol="toxic", predictionCol="score").fit(held)
     put.unpersist(), ready.unpersist(), held.unpersist()
-    return ToxicityModel(lexicon, model, (edges, values))
+    return ToxicityModel(lexicon, model, steps)
 
 
 def held_out(doc_id):
@@ -186,5 +201,5 @@ def held_out(doc_id):
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted) of each document, learned from the rows that aren't held out."""
     model = train(docs, labels.where(~held_out(F.col("doc_id"))))
-    scored = model.score(docs)
-    return scored.select(F.col("_doc_id").alias("doc_id"), F.coalesce(held_out(F.col("_doc_id")), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    scored = model.score(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    return scored.select("row.doc_id", F.coalesce(held_out(F.col("row.doc_id")), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
