@@ -2,6 +2,10 @@
 
 Toxic documents go, one document of each group of near copies stays, repeated passages are cut from the others, documents
 that hold benchmark items go, and what is left is encoded and decoded.
+
+Odd rows: a null or empty text is scored as a text without any feature, has no copies, repeats or items, and encodes to the
+begin and end ids; a row without doc_id stays in every stage; rows that repeat doc_id and text are copies of each other;
+of equal texts the smallest doc_id stays; extra columns, of any name, reach the last stage; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -18,7 +22,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a score below one half; learned from the labelled rows that aren't held out."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = toxicity.train(docs, labels.where(~toxicity.held_out(F.col("doc_id"))))
-    return model.score(docs, tuple(docs.columns)).where("score < 0.5").select(*docs.columns)
+    return model.score(docs).where("score < 0.5").select("row.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,7 +30,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return unit_dedup.remove_repeats(docs)
+    return unit_dedup.remove_repeats(docs, PASSAGE_WORDS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,6 +41,9 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return piece_codec.round_trip(docs, public_tokenizers.path("piece_bpe_32k.model"), ("lang", "source"))
 
 
+PASSAGE_WORDS = 20  # repeats of fewer words in a row, such as stock phrases, stay
+
+
 STAGES = [
     ("toxicity", drop_toxic),
     ("n-gram Jaccard join", drop_near_copies),
