@@ -9,20 +9,22 @@ by pivots, level by level:
    shingles before frequent ones. Its Voronoi region is that of its first shingle. Sets near a boundary are replicated:
    a set of n shingles goes to the regions of its first n - ceil(percent n / 100) + 1 shingles. Two linked sets always
    meet in a region, because those beyond that window alone are too few to bring them within r. The region of a rare
-   shingle holds few sets, and its pairs are listed at once.
-2. Regions of frequent shingles can hold any number of sets, such as thousands of near copies, and are joined again with
-   whole documents as pivots. Each region takes the set with most frequent shingles as its pivot, each set goes to the
+   shingle holds few sets, ``REGION`` at most, and its pairs are listed at once.
+2. Regions of frequent shingles, and all others that hold more sets than that, such as thousands of near copies, are
+   joined again with whole documents as pivots. Each region takes the set with most frequent shingles as its pivot, each set goes to the
    pivot that it meets in most regions, and that distance is computed exactly. Sets that are linked by then need no
    comparison with each other for the components; pairs of different components that meet in such a region are listed,
-   unless the triangle inequality, by exact distances to a common pivot, rules them out, or their rare shingles do. All
-   rare shingles of a set that reaches such a region are in its window, so that a pair whose rare shingles meet has been
-   decided, and any other pair can have only frequent shingles in common.
+   unless the triangle inequality, by exact distances to a common pivot, rules them out, or their rare shingles do. A
+   set with all its rare shingles in its window, as any in the region of a frequent shingle, can have only frequent ones
+   in common with a set that it hasn't met elsewhere. Such regions are cut by size first: linked sets lie in the same band
+   of sizes, each a quarter above the last, or in neighbouring ones.
 3. Listed pairs whose sizes and number of meetings leave room for enough common shingles are decided exactly.
 
 Documents as pivots can't come first: most pairs of documents share nothing and lie at distance 1, where the triangle
 inequality tells nothing and every window is the whole space.
 
-Rarity is a matter of speed and not of the result: shingles are counted in a table of ``2 ** CELL_BITS`` cells, and one
+Rarity is a matter of speed and not of the result; the bound on a region is on the sets in it, whatever the data's size.
+Shingles are counted in a table of ``2 ** CELL_BITS`` cells, and one
 bit for each cell, 1 MB in all, says which are frequent; only that goes to the tasks. Equal sets are one class from the
 start. A class is known by a 64-bit hash of its set and the set's size; the smallest doc_id goes before them in its name,
 (doc_id, k, n), so that names are in the order of documents and classes that share a doc_id stay apart.
@@ -45,7 +47,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, VariantType
 from pyspark.sql.window import Window
 
-from .common import forget, keep, text_slices
+from .common import as_row, forget, keep, text_slices
 from .shingles import fingerprint, shingle_sets
 
 PERCENT = 80
@@ -55,6 +57,7 @@ SLICE = 512 << 10
 SALTS = 64
 NAME = "struct<doc_id: long, k: long, n: int>"
 LEAST_FREQUENT = 64  # so much above its share, at least, a cell holds frequent shingles
+REGION = 128  # no more sets than this are compared pair by pair
 
 
 def window_size(n: np.ndarray, percent: int) -> np.ndarray:
@@ -159,16 +162,17 @@ def replicate(docs: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
     return _given(docs).mapInArrow(run, "h long, k long, n int, w int, plain int, hot boolean")
 
 
-def join_rare(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs (k, n, w, k2, n2, w2, c) that meet c times in regions of rare shingles, and rows of the other regions.
+def join_rare(rows: DataFrame, percent: int, region: int = REGION) -> DataFrame:
+    """Pairs (k, n, w, k2, n2, w2, c) that meet c times in small regions of rare shingles, and rows of the other regions.
 
-    The latter are (h, k, n, w, plain), with k2 null; ``w`` is how many regions of frequent shingles a set is in. A rare
-    region is small and is joined in one task; rows of frequent shingles are spread over ``SALTS`` tasks and pass.
+    The latter are (h, k, n, w, plain, hot), with k2 null; ``w`` is how many regions of frequent shingles a set is in. A
+    region of at most ``region`` sets is joined in one task; rows of frequent shingles are spread over ``SALTS`` tasks and
+    pass, and so do those of larger regions of rare ones.
     """
-    schema = "h long, k long, n int, w int, plain int, k2 long, n2 int, w2 int, c int"
+    schema = "h long, k long, n int, w int, plain int, hot boolean, k2 long, n2 int, w2 int, c int"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, pairs = None, _Pairs(percent)
+        held, pairs = None, _Pairs(percent, region)
         for batch in batches:
             table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])]).combine_chunks()
             last = table["h"][-1].as_py()
@@ -189,8 +193,8 @@ class _Pairs:
     names = ("k", "n", "w", "k2", "n2", "w2")
     kinds = (np.int64, np.int32, np.int32, np.int64, np.int32, np.int32)
 
-    def __init__(self, percent: int):
-        self.percent, self.held, self.size = percent, [], 0
+    def __init__(self, percent: int, region: int):
+        self.percent, self.region, self.held, self.size = percent, region, [], 0
 
     def take(self, table: pa.Table) -> Iterator[pa.RecordBatch]:
         if not len(table):
@@ -199,12 +203,14 @@ class _Pairs:
         hot = np.asarray(table["hot"])
         new_h = np.concatenate([[True], h[1:] != h[:-1]])
         fresh = new_h | np.concatenate([[True], (k[1:] != k[:-1]) | (n[1:] != n[:-1])])  # copies of a set count once
-        if (warm := fresh & hot).any():
+        held = np.add.reduceat(fresh.astype(np.int64), np.flatnonzero(new_h))
+        warm = fresh & (hot | np.repeat(held > self.region, np.diff(np.flatnonzero(np.append(new_h, True)))))
+        if warm.any():
             kept = table.filter(pa.array(warm))
             empty = [pa.nulls(len(kept), t) for t in (pa.int64(), pa.int32(), pa.int32(), pa.int32())]
-            columns = [*(kept[c].combine_chunks() for c in ("h", "k", "n", "w", "plain")), *empty]
-            yield pa.RecordBatch.from_arrays(columns, ["h", "k", "n", "w", "plain", "k2", "n2", "w2", "c"])
-        cold = fresh & ~hot
+            columns = [*(kept[c].combine_chunks() for c in ("h", "k", "n", "w", "plain", "hot")), *empty]
+            yield pa.RecordBatch.from_arrays(columns, ["h", "k", "n", "w", "plain", "hot", "k2", "n2", "w2", "c"])
+        cold = fresh & ~warm
         h, k, n, w = h[cold], k[cold], n[cold], np.asarray(table["w"])[cold]
         if not len(h):
             return
@@ -247,9 +253,9 @@ class _Pairs:
         rows, self.held, self.size = self.held[0], [], 0
         for i in range(0, len(rows), 100_000):
             part = rows[i : i + 100_000]
-            empty = [pa.nulls(len(part), pa.int64()), pa.nulls(len(part), pa.int32())]
-            columns = [empty[0], *(pa.array(part[c].copy()) for c in ("k", "n", "w")), empty[1], *(pa.array(part[c].copy()) for c in ("k2", "n2", "w2", "c"))]
-            yield pa.RecordBatch.from_arrays(columns, ["h", "k", "n", "w", "plain", "k2", "n2", "w2", "c"])
+            empty = [pa.nulls(len(part), t) for t in (pa.int64(), pa.int32(), pa.bool_())]
+            columns = [empty[0], *(pa.array(part[c].copy()) for c in ("k", "n", "w")), *empty[1:], *(pa.array(part[c].copy()) for c in ("k2", "n2", "w2", "c"))]
+            yield pa.RecordBatch.from_arrays(columns, ["h", "k", "n", "w", "plain", "hot", "k2", "n2", "w2", "c"])
 
 
 def _sizes_fit(percent: int):
@@ -347,27 +353,41 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
 
 
-def classes_and_links(docs: DataFrame, percent: int = PERCENT, least: int = LEAST_FREQUENT) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(members, classes, links): (doc_id, version, k, n), (k, n, id, copies) and links between classes (a, b, common, total).
+def classes_and_links(docs: DataFrame, percent: int = PERCENT, least: int = LEAST_FREQUENT, region: int = REGION) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(members, classes, links, edges): (doc_id, version, k, n), (k, n, id, copies), links between classes (a, b, common, total), and (a, b).
 
-    ``id`` is the name of a class, (smallest doc_id, k, n). The links join all classes of each component, though not every pair.
+    ``id`` is the name of a class, (smallest doc_id, k, n). The links join all classes of each component, though not every
+    pair; ``edges`` join the same classes and are fewer, where components have been found on the way.
     """
     summary = keep(summarise(docs), "summary")
     members = summary.where("range is null").select("doc_id", "version", "k", "n")
     classes = keep(members.where("n > 0 and doc_id is not null").groupBy("k", "n").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies")).select("k", "n", F.struct("doc_id", "k", "n").alias("id"), "copies"), "classes")
     total = members.agg(F.sum("n")).first()[0] or 0
     frequent = frequent_cells(summary.where("range is not null").select("range", "counts"), total, least)
-    met = keep(join_rare(replicate(docs, frequent, percent), percent), "meetings")
+    met = keep(join_rare(replicate(docs, frequent, percent), percent, region), "meetings")
     name = classes.select("k", "n", "id")
 
-    # pairs that meet where rare shingles are: sets can have met as often again in other regions as both are there
-    rare = met.where("k2 is not null").groupBy("k", "n", "w", "k2", "n2", "w2").agg(F.sum("c").alias("c"))
-    rare = rare.withColumnsRenamed({"n": "na", "n2": "nb"}).where(_meet_enough(percent, F.least("w", "w2"))).select("k", "na", "k2", "nb")
+    # large regions of rare shingles are left to document pivots, too: ``over`` counts those that a set is in
+    dense = met.where("k2 is null")
+    over = keep(dense.where("not hot").groupBy("k", "n").agg(F.count("*").cast("int").alias("over")), "large-regions")
+    counted = not over.isEmpty()
+
+    # pairs that meet where small regions are: sets can have met as often again in other regions as both are there
+    rare = met.where("k2 is not null").groupBy("k", "n", "w", "k2", "n2", "w2").agg(F.sum("c").alias("c")).withColumnsRenamed({"n": "na", "n2": "nb"})
+    more = F.least("w", "w2")
+    if counted:
+        rare = rare.join(over.select("k", F.col("n").alias("na"), F.col("over").alias("o")), ["k", "na"], "left").join(over.select(F.col("k").alias("k2"), F.col("n").alias("nb"), F.col("over").alias("o2")), ["k2", "nb"], "left")
+        more = F.least(F.col("w") + F.coalesce("o", F.lit(0)), F.col("w2") + F.coalesce("o2", F.lit(0)))
+    rare = rare.where(_meet_enough(percent, more)).select("k", "na", "k2", "nb")
     rare = rare.join(name.select("k", F.col("n").alias("na"), F.col("id").alias("x")), ["k", "na"]).join(name.select(F.col("k").alias("k2"), F.col("n").alias("nb"), F.col("id").alias("y")), ["k2", "nb"])
     rare = rare.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
     # elsewhere each set with the document pivot that it meets most
-    dense = keep(met.where("k2 is null").join(name, ["k", "n"]).select("h", "id", "n", "w", "plain"), "dense")
+    dense = dense.join(name, ["k", "n"])
+    dense = dense.join(over, ["k", "n"], "left").withColumn("over", F.coalesce("over", F.lit(0))) if counted else dense.withColumn("over", F.lit(0))
+    # common shingles of sets that haven't met in a small region: frequent ones and those of large regions, if no rare one lies behind the window
+    common = F.when(F.col("plain") <= _window("n", percent), F.col("n") - F.col("plain") + F.col("over")).otherwise(F.col("n"))
+    dense = keep(dense.select("h", "id", "n", (F.col("w") + F.col("over")).alias("w"), "plain", common.cast("int").alias("f")), "dense")
     pivots = dense.groupBy("h").agg(F.min(F.struct("plain", "id", "n")).alias("p"), F.max("id").alias("most"), F.min("id").alias("least")).where("most <> least").select("h", "p")
     star = dense.join(pivots, "h").where("id <> p.id").select("id", "p", F.col("n").alias("na"), F.col("p.n").alias("nb")).where(_sizes_fit(percent))
     star = star.groupBy("id", F.col("p.id").alias("pivot")).agg(F.count("*").alias("c")).groupBy("id").agg(F.min(F.struct(-F.col("c"), "pivot")).alias("x"))
@@ -376,13 +396,16 @@ def classes_and_links(docs: DataFrame, percent: int = PERCENT, least: int = LEAS
     decided = keep(_decide(docs, first), "decided")
     within = F.col("common") * 100 >= F.col("total") * percent
     linked = decided.where(within)
-    again = _between_components(dense, star, decided, linked, percent)
-    if again is None:
-        return members, classes, linked
+    if dense.isEmpty():
+        return members, classes, linked, linked.select("a", "b")
+    so_far = keep(components(linked), "components")
+    again = _between_components(dense, star, decided, so_far, percent)
     later = keep(again.join(first, ["a", "b"], "left_anti"), "pairs")
+    edges = so_far.select(F.col("component").alias("a"), F.col("id").alias("b"))
     if later.isEmpty():
-        return members, classes, linked
-    return members, classes, linked.unionByName(keep(_decide(docs, later), "decided").where(within))
+        return members, classes, linked, edges
+    more_links = keep(_decide(docs, later), "decided").where(within)
+    return members, classes, linked.unionByName(more_links), edges.unionByName(more_links.select("a", "b"))
 
 
 def _decide(docs: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -390,61 +413,64 @@ def _decide(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return distances(pairs, keep(fetch_sets(docs, wanted), "sets"))
 
 
-def _between_components(dense: DataFrame, star: DataFrame, decided: DataFrame, linked: DataFrame, percent: int) -> DataFrame | None:
-    """(a, b): pairs that meet where frequent shingles are, aren't connected yet, and may link; None if there are no such regions."""
-    if dense.isEmpty():
-        return None
-    so_far = components(linked)
+def _window(n: str, percent: int) -> Column:
+    """``window_size`` of a column."""
+    return F.col(n) - F.ceil(F.col(n) * percent / 100.0 - 1e-9) + 1
+
+
+def _between_components(dense: DataFrame, star: DataFrame, decided: DataFrame, so_far: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs that meet in regions left to document pivots, aren't connected yet, and may link."""
     distance = decided.select("a", "b", (1 - F.col("common") / F.col("total")).alias("d"))
     away = star.select("id", "pivot", F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).join(distance, ["a", "b"]).select("id", "pivot", "d")
     told = dense.join(so_far, "id", "left").join(away, "id", "left").withColumn("comp", F.coalesce("component", "id"))
-    told = keep(told.select("h", "id", "n", "w", "plain", "comp", "pivot", "d"), "told")
+    told = keep(told.select("h", "id", "n", "w", "f", "comp", "pivot", "d"), "told")
     sizes = told.groupBy("h", "comp").agg(F.count("*").alias("c"))
-    largest = sizes.groupBy("h").agg(F.max(F.struct("c", "comp")).alias("x"), F.count("*").alias("comps")).where("comps > 1").select("h", F.col("x.comp").alias("big"))
-    mixed = keep(told.join(largest, "h"), "mixed")
-    named = lambda side: mixed.select("h", "big", *(F.col(c).alias(f"{c[0]}{side}") for c in ("id", "n", "w", "comp", "pivot", "d")), (F.col("n") - F.col("plain")).alias(f"f{side}"))
-    left, right = named("a").where("ca <> big").drop("big"), named("b")
+    largest = keep(sizes.groupBy("h").agg(F.max(F.struct("c", "comp")).alias("x"), F.count("*").alias("comps")).where("comps > 1").select("h", F.col("x.comp").alias("big")), "largest")
+    # sizes of linked sets differ by one band at most; a little more is allowed for rounding
+    place = F.log("n") / math.log(100 / percent)
+    mixed = keep(told.join(largest, "h").withColumn("place", place), "mixed")
+    named = lambda side: [F.col(c).alias(f"{c[0]}{side}") for c in ("id", "n", "w", "comp", "f")] + [F.col("pivot").alias(f"p{side}"), F.col("d").alias(f"d{side}")]
+    left = mixed.where("comp <> big").select("h", "big", F.floor("place").alias("band"), *named("a"))
+    right = mixed.select("h", F.explode(F.sequence(F.floor(F.col("place") - 1 - 1e-9), F.floor(F.col("place") + 1 + 1e-9))).alias("band"), *named("b"))
     apart = ((F.col("pa") == F.col("pb")) & (F.abs(F.col("da") - F.col("db")) > 1 - percent / 100 + 1e-9)) | (F.col("pa") == F.col("ib")) | (F.col("pb") == F.col("ia"))
     once = (F.col("cb") == F.col("big")) | (F.col("ia") < F.col("ib"))
-    shared = F.least("fa", "fb") * (100 + percent) >= (F.col("na") + F.col("nb")) * percent  # with frequent shingles only
-    pairs = left.join(right, "h").where((F.col("ca") != F.col("cb")) & once & shared & _sizes_fit(percent) & ~F.coalesce(apart, F.lit(False)))
+    shared = F.least("fa", "fb") * (100 + percent) >= (F.col("na") + F.col("nb")) * percent
+    pairs = left.join(right, ["h", "band"]).where((F.col("ca") != F.col("cb")) & once & shared & _sizes_fit(percent) & ~F.coalesce(apart, F.lit(False)))
     # which side a set is on changes with the largest component of a region, so a pair is put in one order before it is counted
     turned = F.col("ia") > F.col("ib")
     ordered = [F.when(turned, F.col(f"{c}{y}")).otherwise(F.col(f"{c}{x}")).alias(f"{c}{x}") for c in "inw" for x, y in ("ab", "ba")]
     counted = pairs.select(*ordered).groupBy("ia", "ib", "na", "nb", "wa", "wb").agg(F.count("*").alias("c"))
     # they may have met elsewhere as often as their windows have other regions
-    window = lambda n: F.col(n) - F.ceil(F.col(n) * percent / 100.0 - 1e-9) + 1
-    more = F.least(window("na") - F.col("wa"), window("nb") - F.col("wb"))
+    more = F.least(_window("na", percent) - F.col("wa"), _window("nb", percent) - F.col("wb"))
     return counted.where(_meet_enough(percent, more)).select(F.col("ia").alias("a"), F.col("ib").alias("b"))
 
 
-def _with_components(docs: DataFrame, percent: int, least: int) -> DataFrame:
+def _with_components(docs: DataFrame, percent: int, least: int, region: int) -> DataFrame:
     """(doc_id, version, k, n, component, id, copies) of each document; the last three are null where there are no shingles."""
-    members, classes, links = classes_and_links(docs, percent, least)
-    named = classes.join(components(links), "id", "left").select("k", "n", F.coalesce("component", "id").alias("component"), "id", "copies")
+    members, classes, _, edges = classes_and_links(docs, percent, least, region)
+    named = classes.join(components(edges), "id", "left").select("k", "n", F.coalesce("component", "id").alias("component"), "id", "copies")
     return members.join(named, ["k", "n"], "left")
 
 
-def join_components(docs: DataFrame, percent: int = PERCENT, least: int = LEAST_FREQUENT) -> DataFrame:
+def join_components(docs: DataFrame, percent: int = PERCENT, least: int = LEAST_FREQUENT, region: int = REGION) -> DataFrame:
     """(doc_id, n_shingles, component_id, class_id, copies) of each document."""
-    out = _with_components(docs, percent, least)
+    out = _with_components(docs, percent, least, region)
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component.doc_id", "doc_id")).alias("component_id"), F.coalesce("id.doc_id", "doc_id").alias("class_id"), F.coalesce("copies", F.lit(1)).alias("copies"))
 
 
 def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One row of each component, the first by doc_id and class; rows without shingles or doc_id all stay."""
-    found = _with_components(docs, percent, LEAST_FREQUENT).where("doc_id is not null and n > 0")
+    found = _with_components(docs, percent, LEAST_FREQUENT, REGION).where("doc_id is not null and n > 0")
     found = keep(found.groupBy("doc_id", "version", "k", "n", "component").agg(F.count("*").alias("rows")), "members")
     first = found.groupBy("component").agg(F.min(F.struct("doc_id", "k", "n", "version")).alias("x")).select("x.doc_id", "x.version")
     key = ["doc_id", "version"]
-    own = [F.col(c).alias(f"_{c}") for c in key]
-    same = (docs["doc_id"].cast("long") == F.col("_doc_id")) & (_version("text") == F.col("_version"))
-    kept = docs.join(found.join(first, key, "left_anti").select(*own), same, "left_anti").select(*docs.columns)
+    given = docs.select(as_row(docs).alias("row")).select("row", F.col("row.doc_id").cast("long").alias("doc_id"), _version("row.text").alias("version"))
+    kept = given.join(found.join(first, key, "left_anti").select(*key), key, "left_anti")
     # rows can repeat both the doc_id and the text of the one that stays
-    again = keep(found.where("rows > 1").join(first, key, "left_semi").select(*own), "repeated")
+    again = keep(found.where("rows > 1").join(first, key, "left_semi").select(*key), "repeated")
     if again.isEmpty():
-        return kept
-    flat = [c for c in docs.columns if not isinstance(docs.schema[c].dataType, (MapType, VariantType))]
-    order = Window.partitionBy("_doc_id", "_version").orderBy(F.xxhash64(*flat))
-    one = docs.join(again, same).withColumn("_place", F.row_number().over(order)).where("_place = 1").select(*docs.columns)
-    return kept.join(again, (kept["doc_id"].cast("long") == F.col("_doc_id")) & (_version("text") == F.col("_version")), "left_anti").select(*docs.columns).unionByName(one)
+        return kept.select("row.*")
+    flat = [F.col("row").getField(c) for c in docs.columns if not isinstance(docs.schema[c].dataType, (MapType, VariantType))]
+    order = Window.partitionBy(*key).orderBy(F.xxhash64(*flat))
+    one = given.join(again, key).withColumn("place", F.row_number().over(order)).where("place = 1").select("row.*")
+    return kept.join(again, key, "left_anti").select("row.*").unionByName(one)
