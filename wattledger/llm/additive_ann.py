@@ -8,7 +8,8 @@ table entries over its norm, an estimate of the cosine. The best ``SHORTLIST`` o
 their exact cosine, and with them all whose score is within ``TIE`` of the last, which rounding alone tells apart: among
 more near copies than that the shortlist grows. The class of the query itself is always ranked.
 
-Queries are taken in blocks of at most ``BLOCK`` vectors, each of which goes to the tasks and runs against all codes.
+Queries are taken in blocks of about ``BLOCK`` vectors, each of which goes to the tasks, runs against all codes and is
+released before the next. The scan of all codes for each query is the method's cost: a byte and an addition for a book.
 Equal vectors are one class: only its first is encoded, and only as many copies as can be returned are looked at, those
 with the smallest ids.
 
@@ -34,7 +35,7 @@ BOOKS = 24
 WORDS = 64
 BEAM = 6
 MOST_SAMPLE = 16_384
-SHORTLIST = 256
+SHORTLIST = 256  # and all that ties with its last
 TIE = 4e-6  # sums of BOOKS float32 products differ by less than this for the same cosine
 BLOCK = 4096
 CODES_PER_TASK = 1 << 15
@@ -144,10 +145,10 @@ def build_index(firsts: DataFrame, books: np.ndarray, beam: int = BEAM) -> DataF
 
 
 def scan(index: DataFrame, queries: list[tuple[int, list[float]]], books: np.ndarray, shortlist: int) -> DataFrame:
-    """(query_id, ids, scores): the best codes of each task for each query of a block."""
+    """(query_id, ids, scores): the best codes of each task for each query of a block; written, so that the block can go."""
     ids = np.array([q for q, _ in queries], np.int64)
     unit = _unit(np.array([v for _, v in queries], np.float64)).astype(np.float32)
-    shared = index.sparkSession.sparkContext.broadcast((ids, unit, books))
+    shared = index.sparkSession.sparkContext.broadcast((ids, unit, books))  # BLOCK vectors at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, unit, books = shared.value
@@ -173,7 +174,9 @@ def scan(index: DataFrame, queries: list[tuple[int, list[float]]], books: np.nda
                 held = tuple(np.concatenate([x[still], y]) for x, y in zip(held, new, strict=True))
         yield from _lists(ids, *held)
 
-    return index.mapInArrow(run, "query_id long, ids array<long>, scores array<float>")
+    out = keep(index.mapInArrow(run, "query_id long, ids array<long>, scores array<float>"), "scans")
+    shared.destroy()
+    return out
 
 
 def _lists(ids: np.ndarray, q: np.ndarray, names: np.ndarray, scores: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -229,13 +232,14 @@ def search(table: DataFrame, every: int = 50, k: int = 5, shortlist: int = SHORT
     blocks = -(-asked.count() // BLOCK)
     scanned = None
     for block in range(blocks):
+        # one block of queries is on the driver at a time
         rows = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == block).collect()
         if rows:
             part = scan(dealt, [(r["vec_id"], r["v"]) for r in rows], books, shortlist)
             scanned = part if scanned is None else scanned.unionByName(part)
     if scanned is None:
         return spark.createDataFrame([], out)
-    pairs = shortlists(keep(scanned, "scans"), shortlist)
+    pairs = shortlists(scanned, shortlist)
     # the class that holds the query itself is always looked at, for the query's copies
     own = _keyed(asked).select("key", F.col("vec_id").alias("query_id")).join(firsts.select("key", "vec_id"), "key").select("query_id", "vec_id")
     pairs = pairs.unionByName(own).distinct()
