@@ -1,5 +1,6 @@
 """Rules, folds, plans, sources and sinks on small tables."""
 
+import hashlib
 import zipfile
 from decimal import Decimal
 
@@ -9,8 +10,8 @@ from pyspark.sql import functions as F
 from wattledger.functions import maps as M
 from wattledger.functions import numbering
 from wattledger.functions import scalars as S
-from wattledger.operators import address, entities, facts, linkage, population, reconcile, upsert, validate, wide
-from wattledger.operators import aggregates
+from wattledger.operators import address, aggregates, entities, facts, linkage, population, profiling, reconcile, upsert, validate, wide
+from wattledger.plans import reports
 from wattledger.sources import delimited, sinks, workbook
 from wattledger.streaming import windows
 
@@ -106,20 +107,23 @@ def test_npr_duplicates(spark):
     assert fold(spark, [("C", "", "", "2026-01-01"), ("D", "", "", "2026-01-01")], entities.fold_npr)["errors"] == 1
 
 
-# made-up and public example lines with what they must give
-ADDRESSES = [
-    ("34 BULWER", "", "34", "Bulwer", "-"), ("MC KENZIE 45B", "SHOP NO 2", "45B", "Mc Kenzie", "-"), ("42 MC KENZIE STREET", "SHOP 2", "42", "Mc Kenzie", "Street"), ("42 MCKENZIE", "STREET", "42", "Mckenzie", "Street"),
-    ("45 GLADSTONE STR", "FLAT NO 3", "45", "Gladstone", "Street"), ("12 ALBATROSS CR", "", "12", "Albatross", "Crescent"), ("EVENTIDE MEWS H24", "103 MCKENZIE", "103", "Mckenzie", "-"), ("51 A WILLSON", "", "51A", "Willson", "-"),
-    ("MBASA 13TH 506", "SIBONGILE", "506", "Mbasa 13th", "-"), ("17 PH0LI", "", "17", "Ph0li", "-"), ("41 & 43 MAGNOLIA", "", None, None, address.CONFLICT), ("MGADI 577-1", "", None, None, address.CONFLICT),
-    ("0 ZIGA SITHOLE", "", None, None, address.ZERO), ("FAMILY UNIT NO 9", "", None, None, address.UNIT_ONLY), ("AIRFIELD HANGER", "VICTORIA STREET", None, None, address.NO_NUMBER), (None, None, None, None, address.NO_NUMBER),
+# more lines beside those of the registered query
+MORE_ADDRESSES = [
+    ("12 SMITH STREET, FLAT 3", "", "12", "Smith", "Street"), ("12 SMITH FLAT 3", "", "12", "Smith", "-"), ("12 SMITH ROAD", "STREET", "12", "Smith", "Road"), ("PLOT 5 FARM", "", "", "", address.ROLE), ("5 AND 7 MAIN", "", "", "", address.CONFLICT),
+    ("WHITE HOUSE 5", "7 MAIN", "7", "Main", "-"), ("  12b   o'neil-smith ", "", "12B", "O'neil-smith", "-"), ("12 MAIN", "PHASE 3", "12", "Main", "-"), ("12 MAIN", "3 PHASE TWO", "", "", address.CONFLICT), (None, None, "", "", address.NO_NUMBER), ("5", "", "", "", address.NO_NUMBER), ("", "SHOP 4", "4", "Shop", "-"),
 ]
 
 
 def test_addresses(spark):
-    df = spark.createDataFrame([(i, a, b) for i, (a, b, *_) in enumerate(ADDRESSES)], "i int, addressLine1 string, addressLine2 string")
-    found = [(r["strNo"], r["strName"], r["strType"] or r["reason"]) for r in address.enrich(df).orderBy("i").select("adr.*").collect()]
-    assert found == [tuple(x[2:]) for x in ADDRESSES]
-    assert sum(r["n"] for r in address.report(address.enrich(df)).collect()) == len(ADDRESSES)
+    lines = [*reports.ADDRESSES, *MORE_ADDRESSES]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b, *_) in enumerate(lines)], "i int, addressLine1 string, addressLine2 string")
+    rows = address.enrich(df, places=reports.PLACES).orderBy("i").select("adr.*")
+    found = [(r["strNo"], r["strName"], r["reason"] or r["strType"]) for r in rows.collect()]
+    assert found == [tuple(x[2:]) for x in lines]
+    assert sum(r["n"] for r in address.report(address.enrich(df)).collect()) == len(lines)
+    assert rows.select(address.address_valid(F.col("strNo"), F.col("strName"), F.col("strType")).alias("ok")).where("ok").count() == len(lines)
+    wrong = spark.createDataFrame([("42", "", "-"), ("", "", "Street"), ("x", "Main", "-"), ("42", "Main", "Alley")], "a string, b string, c string")
+    assert wrong.where(address.address_valid(F.col("a"), F.col("b"), F.col("c"))).count() == 0
 
 
 def test_append_only_histories(spark):
@@ -129,6 +133,31 @@ def test_append_only_histories(spark):
     assert r["b"]["value"] == {"a": 1, "b": 2} and r["b"]["conflicts"] == ["a"] and r["k"] == ["a", "b"] and r["t"] == 6 and r["e"]
 
 
+def test_fields_at_any_depth(spark):
+    df = spark.createDataFrame([(1, '{"a":{"b":[{"c":{"d":{"e":{"f":[[1,"x"],null]}}}}]}}'), (2, '{"a":1}'), (3, "no json"), (4, None)], "id int, doc string")
+    found = {(r["path"], r["type"], r["value"]) for r in profiling.paths(df, "doc", "id").collect()}
+    assert ("a.b[].c.d.e.f[][]", "BIGINT", "1") in found and ("a.b[].c.d.e.f[][]", "STRING", "x") in found and ("a.b[].c.d.e.f[]", "VOID", None) in found
+    assert {r["path"]: r["documents"] for r in profiling.field_inventory(df, "doc", "id").collect()}["a"] == 2
+
+
+def test_digests_tell_values_apart(spark):
+    digest = lambda rows: reconcile.digest(spark.createDataFrame(rows, "a string, b string"), ["a", "b"]).first()["digest"]
+    rows = [("a", "b"), (None, "b"), ("", "b"), ("a1:b", ""), ("-", "b"), ("␀", "b")]
+    assert len({digest([r]) for r in rows}) == len(rows)
+    assert digest(rows) == digest(rows[::-1]) != digest(rows[:-1])
+
+
+def test_recovery_wants_the_same_ids_everywhere(spark):
+    before = spark.createDataFrame([("a", {"x": "1"}, "v"), ("b", {"x": "1"}, "v")], "masterId string, fields map<string,string>, token string")
+    plan = spark.createDataFrame([("a", "UPDATED", "v", {"x": "2"}), ("c", "UPDATED", "v", {"x": "2"})], "masterId string, classification string, token string, patch map<string,string>")
+    now = spark.createDataFrame([("a", {"x": "2"}), ("b", {"x": "1"}), ("c", {"x": "2"})], "masterId string, fields map<string,string>")
+    found = upsert.recovery(before, plan, now)
+    assert {r["masterId"]: r["outcome"] for r in found.collect()} == {"a": "RESTORE", "b": "NOT_IN_PLAN", "c": "BEFORE_IMAGE_MISSING"}
+    with pytest.raises(validate.ContractError):
+        upsert.require_recoverable(found)
+    upsert.require_recoverable(found.where("masterId = 'a'"))
+
+
 def test_type_strict_equality(spark):
     r = spark.sql("select parse_json('{\"a\":1}') as a, parse_json('{\"a\":1.0}') as b, parse_json('{\"a\":true}') as c").select(M.same_variant(F.col("a"), F.col("a")), M.same_variant(F.col("a"), F.col("b")), M.same_variant(F.col("a"), F.col("c"))).first()
     assert tuple(r) == (True, False, False)
@@ -154,6 +183,10 @@ def test_waves_and_numbers(spark):
     sizes = {r["wave"]: r["count"] for r in numbering.waves(df, "id").groupBy("wave").count().collect()}
     assert sizes == {i: 400 for i in range(1, 26)} | {26: 216}
     assert numbering.global_row_number(df.limit(0), "id").count() == 0
+    odd = df.unionByName(spark.range(30).select(F.lit(None).cast("string").alias("id"))).unionByName(df.limit(5)).repartition(7)
+    found = numbering.global_row_number(odd, "id", rows=500).orderBy("rn").collect()
+    assert [r["rn"] for r in found] == list(range(1, len(found) + 1))
+    assert [r["id"] or "" for r in found] == sorted(r["id"] or "" for r in found)
 
 
 def test_snapshots(spark):
@@ -190,7 +223,33 @@ def test_csv_sources(spark, tmp_path):
         delimited.read_csv(spark, str(latin), ["B"])
     months = delimited.discover_months(spark, str(tmp_path), "2026-05", "2026-06")
     assert {r["ym"]: r["files"] for r in months.collect()} == {"2026-05": 0, "2026-06": 1}
-    assert len(delimited.file_digests(spark, str(path)).first()["sha256"]) == 64
+    before = delimited.file_digests(spark, str(path))
+    assert len(before.first()["sha256"]) == 64
+    before = spark.createDataFrame(before.collect(), before.schema)
+    delimited.require_unchanged(spark, str(path), before)
+    broken = tmp_path / "broken.csv"
+    broken.write_text('A,B\n1,"two\nlines"\n3,4\n')
+    assert delimited.has_broken_lines(spark, str(broken)) and not delimited.has_broken_lines(spark, str(path))
+    assert [tuple(r) for r in delimited.read_csv(spark, str(broken), row_number="n").orderBy("n").collect()] == [("1", "two\nlines", 1), ("3", "4", 2)]
+    digests, rows = delimited.snapshot(spark, str(broken))
+    path.write_text("other")
+    with pytest.raises(validate.ContractError, match="changed"):
+        delimited.require_unchanged(spark, str(path), before)
+    assert digests.first()["sha256"] == hashlib.sha256(broken.read_bytes()).hexdigest()
+    assert [r["record"] for r in rows.orderBy("row").collect()] == [["A", "B"], ["1", "two\nlines"], ["3", "4"]]
+
+
+def test_rows_of_a_file_in_many_tasks_keep_their_numbers(spark, tmp_path):
+    path = tmp_path / "many.csv"
+    path.write_text("A,B\n" + "".join(f"{i},x{i}\n" for i in range(1, 40_001)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        df = delimited.read_csv(spark, str(path), row_number="n")
+        assert df.where("cast(A as bigint) <> n").count() == 0 and df.count() == 40_000
+        assert spark.read.text(str(path)).rdd.getNumPartitions() > 4
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
 def test_json_lines(spark, tmp_path):
@@ -198,7 +257,8 @@ def test_json_lines(spark, tmp_path):
     path.write_text('{"a":1}\n\n[2]\n{"a":')
     good, bad = delimited.split_json_lines(spark, str(path), "a int")
     assert [r["a"] for r in good.collect()] == [1] and sorted(r["code"] for r in bad.collect()) == ["INVALID_JSON", "NOT_AN_OBJECT"]
-    with pytest.raises(Exception, match="blank line"):
+    assert sorted((r["line"], r["code"]) for r in bad.collect()) == [(3, "NOT_AN_OBJECT"), (4, "INVALID_JSON")]
+    with pytest.raises(Exception, match="line 2: blank line"):
         delimited.read_json_lines(spark, str(path), "a int").collect()
     path.write_text('{"a":1}\n\n{"a":2}\n')
     assert delimited.read_json_lines(spark, str(path), "a int", "lenient").count() == 2
@@ -225,18 +285,52 @@ def test_workbooks(spark, tmp_path):
     assert spark.read.format("workbook").option("columns", "A").load(path).count() == 3
 
 
-def test_guarded_writes_and_publishing(spark, tmp_path):
+def test_guarded_writes_and_publishing(spark, tmp_path, monkeypatch):
     df, other = spark.range(5), spark.range(6)
     path = f"file://{tmp_path}/t"
     assert [sinks.guarded_write(df, path), sinks.guarded_write(df.repartition(3), path)] == ["MISSING", "IDENTICAL"]
     with pytest.raises(validate.ContractError):
         sinks.guarded_write(other, path)
-    assert sinks.guarded_write(other, path, replace=True) == "DIFFERENT" and spark.read.parquet(path).count() == 6
+    assert sinks.read_table(spark, path).count() == 5
+    with monkeypatch.context() as broken:  # a crash before the last step loses nothing
+        broken.setattr(sinks, "move", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            sinks.guarded_write(other, path, replace=True)
+    assert sinks.read_table(spark, path).count() == 5
+    assert sinks.guarded_write(other, path, replace=True, evidence={"month": "2024-01"}) == "DIFFERENT" and sinks.read_table(spark, path).count() == 6
+    assert sinks.pointer(spark, f"{path}/_entries")[1]["month"] == "2024-01"
     folder = f"file://{tmp_path}/pub"
     first = sinks.publish({"t": df}, folder, None)
     assert sinks.publish({"t": other}, folder, first) != first
     with pytest.raises(validate.ContractError):
         sinks.publish({"t": df}, folder, first)
+    seen = sinks.pointer(spark, f"{folder}/current")
+    with monkeypatch.context() as late:  # two publishers have seen the same pointer: the second fails
+        late.setattr(sinks, "pointer", lambda s, f, real=sinks.pointer: (seen[0] - 1, {"version": first}) if f.endswith("/current") else real(s, f))
+        with pytest.raises(validate.ContractError, match="another writer"):
+            sinks.publish({"t": df}, folder, first)
+    assert sinks.pointer(spark, f"{folder}/current") == seen
+
+
+def test_verified_csv_and_reports(spark, tmp_path):
+    df = spark.createDataFrame([(1, 'a "quoted", text\nof lines', ["x"]), (2, None, []), (3, "", None)], "a int, b string, c array<string>")
+    path = f"file://{tmp_path}/out"
+    assert sinks.write_verified_csv(df, path)
+    assert spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path).where("a = 1").first()["b"] == 'a "quoted", text\nof lines'
+    with pytest.raises(validate.ContractError, match="there already"):
+        sinks.write_verified_csv(df, path)
+    assert sinks.write_rejections(df.withColumn("rejectReason", F.lit("r")).limit(0), f"file://{tmp_path}/none") == 0 and not (tmp_path / "none").exists()
+    assert sinks.write_rejections(df.withColumn("rejectReason", F.lit("r")), f"file://{tmp_path}/bad") == 3
+    told = {r["output"]: r["rows"] for r in sinks.run_summary({"x": df, "y": df.limit(1)}, month="2024-01").collect()}
+    assert told == {"x": 3, "y": 1}
+    sinks.write_json_lines(df, f"file://{tmp_path}/lines")
+    assert delimited.read_json_lines(spark, f"{tmp_path}/lines", "a int, b string, c array<string>").orderBy("a").collect() == df.orderBy("a").collect()
+    (tmp_path / "m.json").write_text('{"rows": 3}')
+    manifests = delimited.read_manifest(spark, f"{tmp_path}/m.json")
+    ok = manifests.select("path", "sha256")
+    assert delimited.verified(manifests, ok).count() == 1
+    with pytest.raises(validate.ContractError, match="evidence"):
+        delimited.verified(manifests, ok.withColumn("sha256", F.lit("0")))
 
 
 def test_stream_windows(spark, tmp_path):

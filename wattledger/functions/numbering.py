@@ -4,26 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
 from pyspark.sql.window import Window
 
-BUCKETS = 256
+from wattledger.scratch import keep
 
+ROWS = 1_000_000  # about so many in a range
+_INSIDE = (1 << 33) - 1  # monotonically_increasing_id counts the rows of a partition in these bits
 
-def global_row_number(df: DataFrame, key: str, name: str = "rn", buckets: int = BUCKETS) -> DataFrame:
-    """Number all rows from 1 by ``key``, which is unique, in order.
 
-    A window over the whole table runs in one task. Here at most ``buckets`` split points, the keys with the lowest
-    hashes, cut the order into ranges; ranges are numbered side by side and start where the counts before them end.
-    Split points are taken from the data by a rule, so that a task that runs again finds the same ranges.
+def global_row_number(df: DataFrame, key: str, name: str = "rn", rows: int = ROWS) -> DataFrame:
+    """Number all rows from 1 by ``key``, nulls first.
+
+    A window over the whole table runs in one task. Here the table is split into sorted ranges, as many as its size asks
+    for; rows are counted inside their range, and ranges start where the counts before them end. The numbered ranges are
+    written before they are counted, so that both steps see the same ones. Rows with equal keys, or none, are ordered by
+    a hash of the row, and are split over ranges too.
     """
-    points = sorted(r[0] for r in df.select(key).where(F.col(key).isNotNull()).orderBy(F.xxhash64(key), key).limit(buckets - 1).collect())
-    cuts = F.array(*map(F.lit, points)) if points else None
-    part = F.lit(0) if cuts is None else F.size(F.filter(cuts, lambda p: p <= F.col(key)))
-    split = df.withColumn("_part", F.coalesce(part, F.lit(0)))
+    tasks = max(1, -(-df.count() // rows))
+    flat = [c for c in df.columns if not isinstance(df.schema[c].dataType, (MapType, VariantType))]
+    order = [F.col(key).asc_nulls_first(), F.xxhash64(*flat)]
+    ranged = df.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+    numbered = keep(ranged.select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().bitwiseAND(F.lit(_INSIDE)).alias("_in")), "numbered")
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
-    starts = split.groupBy("_part").agg(F.count("*").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    inside = F.row_number().over(Window.partitionBy("_part").orderBy(key))
-    return split.withColumn("_in", inside).join(F.broadcast(starts), "_part").withColumn(name, (F.col("_start") + F.col("_in")).cast("bigint")).drop("_part", "_in", "_start")
+    starts = numbered.groupBy("_part").agg(F.count("*").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    return numbered.join(F.broadcast(starts), "_part").withColumn(name, F.col("_start") + F.col("_in") + 1).drop("_part", "_in", "_start")
 
 
 def waves(df: DataFrame, key: str, size: int = 400, name: str = "wave") -> DataFrame:

@@ -17,11 +17,6 @@ def _c(c: ColumnLike) -> Column:
 _DECIMAL = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d{1,2})?$"
 
 
-def _once(value: Column, f) -> Column:
-    """``f(value)`` with the value evaluated once, however often ``f`` names it."""
-    return F.transform(F.array(value), f)[0]
-
-
 def clean_header(name: str) -> str:
     """A header without byte-order mark, with single spaces."""
     return " ".join(name.replace("\ufeff", "").split())
@@ -73,13 +68,9 @@ def money_cents(c: ColumnLike, drop_every_r: bool = True) -> Column:
     if not drop_every_r:
         text = F.regexp_replace(text, "^[Rr]", "")
 
-    def signs(t: Column) -> Column:
-        return F.when(t.contains(",") & t.contains("."), F.replace(t, F.lit(","), F.lit(""))).otherwise(F.replace(t, F.lit(","), F.lit(".")))
-
-    def number(t: Column) -> Column:
-        return F.when(t.rlike(_DECIMAL), F.round(t.try_cast("decimal(30,10)") * 100, 0).try_cast("bigint"))
-
-    return _once(_once(text, signs), number)
+    plain = F.when(text.contains("."), F.translate(text, ",", "")).otherwise(F.translate(text, ",", "."))
+    # what is no number leaves nothing to cast
+    return F.round(F.regexp_extract(plain, _DECIMAL, 0).try_cast("decimal(30,10)") * 100, 0).try_cast("bigint")
 
 
 def cents(c: ColumnLike) -> Column:

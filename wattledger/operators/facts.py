@@ -9,7 +9,7 @@ from pyspark.sql.window import Window
 from wattledger.functions import scalars as S
 from wattledger.operators import validate
 
-# fixed values: the columns of an atomic fact, in order
+# fixed values: the columns of an atomic fact and of a staged row, in order, and those that name a purchase
 ATOMIC_COLUMNS = (
     "atomicId", "vendingProviderId", "lmPcode", "meterNo", "txAtISO", "txAtMs", "ym", "y", "m", "amountTotalC", "costC",
     "vatC", "currency", "sourceFileId", "sourceRow", "ingestedAtISO", "ingestedAtMs",
@@ -20,14 +20,14 @@ BUSINESS_KEY = ("vendingProviderId", "lmPcode", "meterNo", "txAtISO", "amountTot
 
 def stage_portal(raw: DataFrame, lm: str, month: str) -> validate.Split:
     """A portal export to staged rows, money as rand text again; rejected rows keep their source values."""
-    found = validate.split(raw, validate.portal_rules(month))
-    rand = lambda c: F.format_string("%d.%02d", F.floor(S.money_cents(c) / 100).cast("bigint"), F.pmod(S.money_cents(c), F.lit(100)))
+    found = validate.split(raw, validate.portal_rules(month), parsed=True)
+    rand = lambda c: F.format_string("%d.%02d", F.floor(F.col(f"_{c}") / 100).cast("bigint"), F.pmod(f"_{c}", F.lit(100)))
     valid = found.valid.select(
-        F.lit(lm).alias("lmPcode"), F.col("TransactionDateTime_2").alias("txAt"), S.raw_meter_no("VendingNo_3").alias("meterNo"),
+        F.lit(lm).alias("lmPcode"), F.col("TransactionDateTime_2").alias("txAt"), F.col("_meter").alias("meterNo"),
         rand("Amount").alias("amountTotalC"), rand("CostOfUnits_2").alias("costC"), rand("VAT").alias("vatC"),
         *(c for c in raw.columns if c == "sourceRow"),
     )
-    return validate.Split(valid, found.rejected)
+    return validate.Split(valid, found.rejected.select(*raw.columns, "rejectReason"))
 
 
 def with_atomic_ids(df: DataFrame, order: list[str | Column], key: tuple[str, ...] = BUSINESS_KEY) -> DataFrame:
@@ -42,16 +42,16 @@ def with_atomic_ids(df: DataFrame, order: list[str | Column], key: tuple[str, ..
 
 def atomic_facts(staged: DataFrame, provider: str, lm: str, month: str, file_id: str, ingested_ms: int) -> validate.Split:
     """Staged rows with ``sourceRow`` to atomic facts."""
-    found = validate.split(staged, validate.staging_rules(lm, month))
-    time = S.day_first_time("txAt")
+    found = validate.split(staged, validate.staging_rules(lm, month), parsed=True)
+    time = F.col("_time")
     typed = found.valid.select(
-        F.lit(provider).alias("vendingProviderId"), S.clean_text("lmPcode").alias("lmPcode"), S.raw_meter_no("meterNo").alias("meterNo"),
+        F.lit(provider).alias("vendingProviderId"), F.col("_place").alias("lmPcode"), F.col("_meter").alias("meterNo"),
         S.iso_text(time).alias("txAtISO"), S.wall_clock_ms(time).alias("txAtMs"), S.month_of(time).alias("ym"), F.year(time).cast("bigint").alias("y"), F.month(time).cast("bigint").alias("m"),
-        *(S.money_cents(c, drop_every_r=False).alias(c) for c in ("amountTotalC", "costC", "vatC")),
+        *(F.col(f"_{c}").alias(c) for c in ("amountTotalC", "costC", "vatC")),
         F.lit("ZAR").alias("currency"), F.lit(file_id).alias("sourceFileId"), F.col("sourceRow").cast("bigint").alias("sourceRow"),
         S.ms_to_iso_z(F.lit(ingested_ms)).alias("ingestedAtISO"), F.lit(ingested_ms).cast("bigint").alias("ingestedAtMs"),
     )
-    return validate.Split(with_atomic_ids(typed, ["sourceRow"]).select(*ATOMIC_COLUMNS), found.rejected)
+    return validate.Split(with_atomic_ids(typed, ["sourceRow"]).select(*ATOMIC_COLUMNS), found.rejected.select(*staged.columns, "rejectReason"))
 
 
 def id_mismatches(facts: DataFrame) -> DataFrame:

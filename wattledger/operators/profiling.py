@@ -6,29 +6,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattledger.operators.validate import reasons
+from wattledger.scratch import keep
 
-LEVELS = 4
 
-
-def paths(df: DataFrame, json: str, key: str, levels: int = LEVELS) -> DataFrame:
+def paths(df: DataFrame, json: str, key: str) -> DataFrame:
     """(key, path, type, value) of every scalar, empty or nested field; array entries share the path ``a[]``.
 
-    Nesting is unfolded level by level, down to ``levels``.
+    Nesting is unfolded level by level until nothing nested is left; each level is written, so that none is parsed twice.
     """
     spark = df.sparkSession
-    level = df.select(F.col(key).alias("_id"), F.lit("").alias("path"), F.try_parse_json(json).alias("v")).where("v is not null")
+    level = df.select(F.col(key).alias("_id"), F.lit("").alias("path"), F.col(json).alias("json"))
     out = None
-    for _ in range(levels):
+    while True:
+        level = level.select("_id", "path", F.try_parse_json("json").alias("v")).where("v is not null")
         opened = spark.sql("select _id, path, e.key as step, e.value as v from {level}, lateral variant_explode(v) as e", level=level)
         name = F.when(F.col("step").isNull(), "[]").otherwise(F.concat(F.when(F.col("path") == "", "").otherwise("."), F.col("step")))
         child = opened.select("_id", F.concat("path", name).alias("path"), "v")
         kind = F.schema_of_variant("v")
         nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
         type_ = F.when(kind.startswith("OBJECT"), "OBJECT").when(kind.startswith("ARRAY"), "ARRAY").otherwise(kind)
-        found = child.select(F.col("_id").alias(key), "path", type_.alias("type"), F.when(~nested, F.col("v").cast("string")).alias("value"))
+        told = keep(child.select("_id", "path", type_.alias("type"), F.when(~nested, F.col("v").cast("string")).alias("value"), F.when(nested, F.to_json("v")).alias("json")), "fields")
+        found = told.select(F.col("_id").alias(key), "path", "type", "value")
         out = found if out is None else out.unionByName(found)
-        level = child.where(nested)
-    return out
+        level = told.where("json is not null").select("_id", "path", "json")
+        if level.isEmpty():
+            return out
 
 
 def field_inventory(df: DataFrame, json: str, key: str) -> DataFrame:

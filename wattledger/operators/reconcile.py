@@ -43,12 +43,23 @@ def require_equal_rollups(monthly: DataFrame, municipalities: DataFrame, groups:
 
 
 def digest(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row (rows, digest) that doesn't depend on the order of rows: sums of parts of each row's SHA-1.
+    """One row (rows, digest) that doesn't depend on the order of rows: sums of the eight parts of each row's SHA-256.
 
-    Repeated rows count each time. The sums run in the tasks, so that no list of ids is gathered.
+    Repeated rows count each time. A value goes with its length before it, so that no text can pass for two, and a null as
+    a dash. The sums run in the tasks, so that no list of ids is gathered.
     """
-    cell = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("␀"))  # noqa: E731  a sign for null
-    row = F.sha1(F.concat_ws("␟", *map(cell, columns)).cast("binary"))
-    part = lambda at: F.conv(F.substring(row, at, 8), 16, 10).cast("decimal(20,0)")
-    sums = df.select(*(part(8 * i + 1).alias(f"p{i}") for i in range(3))).agg(F.count("*").alias("rows"), *(F.coalesce(F.sum(f"p{i}"), F.lit(0)).cast("decimal(38,0)").alias(f"p{i}") for i in range(3)))
-    return sums.select("rows", F.concat_ws("-", *(F.col(f"p{i}").cast("string") for i in range(3))).alias("digest"))
+    text = lambda c: F.to_json(F.struct(c)) if dict(df.dtypes)[c].startswith(("array", "map", "struct")) else F.col(c).cast("string")
+    cell = lambda c: F.coalesce(F.concat(F.length(text(c)).cast("string"), F.lit(":"), text(c)), F.lit("-"))
+    hashed = df.select(F.sha2(F.concat(*map(cell, columns)).cast("binary"), 256).alias("h"))
+    part = lambda at: F.conv(F.substring("h", at, 8), 16, 10).cast("decimal(20,0)")
+    sums = hashed.agg(F.count("*").alias("rows"), *(F.coalesce(F.sum(part(8 * i + 1)), F.lit(0)).cast("decimal(38,0)").alias(f"p{i}") for i in range(8)))
+    return sums.select("rows", F.concat_ws("-", *(F.col(f"p{i}").cast("string") for i in range(8))).alias("digest"))
+
+
+def sorted_id_digest(df: DataFrame, key: str) -> DataFrame:
+    """One row (ids, sha256) of the sorted distinct ids as a compact JSON list, as small scopes are named in reports.
+
+    The list is gathered: use ``digest`` for tables of more than some hundred thousand ids.
+    """
+    ids = F.sort_array(F.collect_set(F.col(key).cast("string")))
+    return df.agg(ids.alias("_ids")).select(F.size("_ids").cast("bigint").alias("ids"), F.sha2(F.to_json("_ids"), 256).alias("sha256"))

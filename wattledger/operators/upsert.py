@@ -169,12 +169,16 @@ def recovery(before: DataFrame, plan: DataFrame, current: DataFrame, key: str =
 
     before and current: (key, fields map of dotted path to text, token), no fields if the document isn't there;
     plan: (key, classification, token, patch). A field is restored if it still holds what the plan wrote, and deleted
-    if it wasn't there before; one that differs blocks its document. Created documents are never deleted.
+    if it wasn't there before; one that differs blocks its document. Created documents are never deleted. The three must
+    hold the same ids; one that any of them lacks has an outcome that says so, and ``require_recoverable`` refuses it.
     """
-    joined = plan.join(before.select(key, F.col("fields").alias("_old"), F.col("token").alias("_old_token")), key).join(current.select(key, F.col("fields").alias("_now")), key)
+    there = F.lit(True)
+    joined = plan.withColumn("_in_plan", there).join(before.select(key, F.col("fields").alias("_old"), F.col("token").alias("_old_token"), there.alias("_in_before")), key, "full_outer")
+    joined = joined.join(current.select(key, F.col("fields").alias("_now"), there.alias("_in_current")), key, "full_outer")
     moved = F.array_sort(F.filter(F.map_keys("patch"), lambda p: ~F.try_element_at("_now", p).eqNullSafe(F.element_at("patch", p))))
     outcome = (
-        F.when(F.col("classification").isin("UNCHANGED", "CONFLICT"), "NOTHING_WRITTEN").when(F.col("classification") == "CREATED", "CREATED_DOCUMENT_REQUIRES_MANUAL_REVIEW_NO_DELETE")
+        F.when(F.col("_in_plan").isNull(), "NOT_IN_PLAN").when(F.col("_in_before").isNull(), "BEFORE_IMAGE_MISSING").when(F.col("_in_current").isNull(), "CURRENT_STATE_MISSING")
+        .when(F.col("classification").isin("UNCHANGED", "CONFLICT"), "NOTHING_WRITTEN").when(F.col("classification") == "CREATED", "CREATED_DOCUMENT_REQUIRES_MANUAL_REVIEW_NO_DELETE")
         .when(F.col("_old").isNull() | F.col("_now").isNull(), "EXISTENCE_CHANGED").when(F.col("_old_token") != F.col("token"), "BEFORE_IMAGE_VERSION_MISMATCH")
         .when(M.overlapping_paths(F.map_keys("patch")), "OVERLAPPING_PATHS").when(F.size(moved) > 0, "CURRENT_STATE_DIFFERS_FROM_PLANNED_WRITE").otherwise("RESTORE")
     )
@@ -185,6 +189,14 @@ def recovery(before: DataFrame, plan: DataFrame, current: DataFrame, key: str =
     return out.select(key, "outcome", F.when(ok, restore).alias("restore"), F.when(ok, deletes).alias("deletes"), F.when(F.col("outcome") == "CURRENT_STATE_DIFFERS_FROM_PLANNED_WRITE", moved).alias("paths"))
 
 
+def require_recoverable(recovered: DataFrame) -> DataFrame:
+    """The recovery plan, if before image, plan and current state hold the same ids."""
+    lost = recovered.where(F.col("outcome").isin("NOT_IN_PLAN", "BEFORE_IMAGE_MISSING", "CURRENT_STATE_MISSING")).limit(5).collect()
+    if lost:
+        raise ContractError(f"ids that not all of before, plan and current hold: {[tuple(r)[:2] for r in lost]}")
+    return recovered
+
+
 def create_only(new: DataFrame, store: DataFrame, key: str) -> DataFrame:
     """The new rows, if none of their ids is in the store."""
     there = new.select(key).join(store.select(key), key, "left_semi").limit(5).collect()

@@ -40,11 +40,30 @@ class Split:
         return self.valid
 
 
-def split(df: DataFrame, rules: Rules, name: str = "rejectReason") -> Split:
-    """Valid rows, and rejected ones with their codes joined by semicolons."""
-    judged = df.withColumn("_reasons", reasons(rules))
-    bad = F.size("_reasons") > 0
-    return Split(judged.where(~bad).drop("_reasons"), judged.where(bad).withColumn(name, F.array_join("_reasons", ";")).drop("_reasons"))
+def computed(df: DataFrame, **columns: Column) -> DataFrame:
+    """The rows with more columns, each evaluated once.
+
+    A filter on them would else be pushed below, and every expression be evaluated again in it; a generator stands between.
+    """
+    hidden = {f"_{name}": c for name, c in columns.items()}
+    return df.withColumns(hidden).select(*df.columns, F.inline(F.array(F.struct(*(F.col(h).alias(name) for h, name in zip(hidden, columns, strict=True))))))
+
+
+@dataclass(frozen=True)
+class Contract:
+    """Fields that are parsed once for each row, and rules that compare them."""
+
+    fields: dict[str, Column]
+    rules: Rules
+
+
+def split(df: DataFrame, rules: Rules | Contract, name: str = "rejectReason", parsed: bool = False) -> Split:
+    """Valid rows, and rejected ones with their codes joined by semicolons; with ``parsed``, the contract's fields stay."""
+    fields = rules.fields if isinstance(rules, Contract) else {}
+    given = computed(df, **fields) if fields else df
+    judged = computed(given, _reasons=reasons(rules.rules if isinstance(rules, Contract) else rules))
+    bad, extra = F.size("_reasons") > 0, ["_reasons", *([] if parsed else fields)]
+    return Split(judged.where(~bad).drop(*extra), judged.where(bad).withColumn(name, F.array_join("_reasons", ";")).drop(*extra))
 
 
 def require_columns(df: DataFrame, columns: Sequence[str], exact: bool = True) -> DataFrame:
@@ -67,14 +86,16 @@ def money_rules(amount: Column, cost: Column, vat: Column, name: str = "amount")
     ]
 
 
-def portal_rules(month: str | Column) -> list[tuple[str, Column]]:
-    """The thirteen rules of a raw portal export, in their order."""
+def portal_rules(month: str | Column) -> Contract:
+    """The thirteen rules of a raw portal export, in their order; every field is parsed once."""
     month = F.lit(month) if isinstance(month, str) else month
-    time = S.day_first_time("TransactionDateTime_2")
-    meter, group = S.raw_meter_no("VendingNo_3"), S.raw_meter_no("CDUToggle")
-    amount, cost, vat, refund = (S.money_cents(c) for c in ("Amount", "CostOfUnits_2", "VAT", "RefundAmount"))
+    fields = {
+        "_time": S.day_first_time("TransactionDateTime_2"), "_meter": S.raw_meter_no("VendingNo_3"), "_group": S.raw_meter_no("CDUToggle"),
+        **{f"_{c}": S.money_cents(c) for c in ("Amount", "CostOfUnits_2", "VAT", "RefundAmount")},
+    }
+    time, meter, group, amount, cost, vat, refund = map(F.col, fields)
     money = dict(money_rules(amount, cost, vat))
-    return [
+    rules = [
         ("invalid_transaction_datetime", time.isNull()),
         ("transaction_month_mismatch", S.month_of(time) != month),
         ("blank_meter_number", meter == ""),
@@ -85,14 +106,16 @@ def portal_rules(month: str | Column) -> list[tuple[str, Column]]:
         ("non_zero_refund_requires_separate_design", refund != 0),
         ("amount_cost_vat_reconciliation_failed", money["amount_cost_vat_reconciliation_failed"]),
     ]
+    return Contract(fields, rules)
 
 
-def staging_rules(lm: str | Column, month: str | Column) -> list[tuple[str, Column]]:
+def staging_rules(lm: str | Column, month: str | Column) -> Contract:
     """The thirteen rules of a staged file; a blank municipality breaks two of them."""
     lm, month = (F.lit(x) if isinstance(x, str) else x for x in (lm, month))
-    place, time, meter = S.clean_text("lmPcode"), S.day_first_time("txAt"), S.raw_meter_no("meterNo")
-    money = money_rules(*(S.money_cents(c, drop_every_r=False) for c in ("amountTotalC", "costC", "vatC")), name="amountTotal")
-    return [
+    fields = {"_place": S.clean_text("lmPcode"), "_time": S.day_first_time("txAt"), "_meter": S.raw_meter_no("meterNo"), **{f"_{c}": S.money_cents(c, drop_every_r=False) for c in ("amountTotalC", "costC", "vatC")}}
+    place, time, meter, *sums = map(F.col, fields)
+    money = money_rules(*sums, name="amountTotal")
+    rules = [
         ("blank_lmPcode", place == ""),
         ("lmPcode_filename_or_argument_mismatch", place != lm),
         ("invalid_txAt", time.isNull()),
@@ -101,6 +124,7 @@ def staging_rules(lm: str | Column, month: str | Column) -> list[tuple[str, Colu
         ("invalid_meter_characters", (meter != "") & ~meter.rlike("^[A-Z0-9]+$")),
         *money,
     ]
+    return Contract(fields, rules)
 
 
 def assertions(df: DataFrame, checks: dict[str, Column]) -> DataFrame:

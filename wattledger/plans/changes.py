@@ -312,18 +312,22 @@ def visibility_pairs(spark: SparkSession, folder: str) -> DataFrame:
     return upsert.reconcile_visibility(masters, sales)
 
 
-@query(f"""with {METERS} select meter as "masterId", case when segment = 'BUILDING' then 'CREATED_DOCUMENT_REQUIRES_MANUAL_REVIEW_NO_DELETE' when segment = 'HOUSEHOLD' then 'NOTHING_WRITTEN' when balance > 900000 then 'EXISTENCE_CHANGED'
-  when balance < -50000 then 'BEFORE_IMAGE_VERSION_MISMATCH' when segment = 'FURNITURE' then 'CURRENT_STATE_DIFFERS_FROM_PLANNED_WRITE' else 'RESTORE' end as outcome,
-  case when segment in ('BUILDING', 'HOUSEHOLD', 'FURNITURE') or balance > 900000 or balance < -50000 then null else 'monthlyTotalsC.{CUT}' end as deletes from meters""")
+@query(f"""with {METERS}, judged as (select meter as "masterId", segment, case when c_custkey % 50 = 8 then 'NOT_IN_PLAN' when c_custkey % 50 = 7 then 'BEFORE_IMAGE_MISSING' when c_custkey % 50 = 9 then 'CURRENT_STATE_MISSING' when segment = 'BUILDING' then 'CREATED_DOCUMENT_REQUIRES_MANUAL_REVIEW_NO_DELETE' when segment = 'HOUSEHOLD' then 'NOTHING_WRITTEN' when balance > 900000 then 'EXISTENCE_CHANGED'
+  when balance < -50000 then 'BEFORE_IMAGE_VERSION_MISMATCH' when balance between 400000 and 700000 then 'OVERLAPPING_PATHS' when segment = 'FURNITURE' then 'CURRENT_STATE_DIFFERS_FROM_PLANNED_WRITE' else 'RESTORE' end as outcome from meters)
+select "masterId", outcome, case when outcome = 'RESTORE' then 'lastMonth={BEFORE}' end as restore, case when outcome = 'RESTORE' then 'monthlyTotalsC.{CUT}' end as deletes, case when outcome like 'CURRENT_STATE_DIFFERS%' then 'monthlyTotalsC.{CUT}' end as paths from judged""")
 def recovery_plan(spark: SparkSession, folder: str) -> DataFrame:
     known = meters(spark, folder).withColumnRenamed("meterNo", "masterId")
     text = lambda **kv: F.create_map(*(x for k, v in kv.items() for x in (F.lit(k.replace("__", ".").replace("MM", CUT)), v)))
     before = known.select("masterId", text(lastMonth=F.lit(BEFORE)).alias("fields"), F.when(F.col("balanceC") < -50000, "v0").otherwise("v1").alias("token"))
     kind = F.when(F.col("segment") == "BUILDING", "CREATED").when(F.col("segment") == "HOUSEHOLD", "UNCHANGED").otherwise("UPDATED")
-    plan = known.select("masterId", kind.alias("classification"), F.lit("v1").alias("token"), text(lastMonth=F.lit(CUT), monthlyTotalsC__MM=F.lit("5")).alias("patch"))
+    plain, over = text(lastMonth=F.lit(CUT), monthlyTotalsC__MM=F.lit("5")), text(lastMonth=F.lit(CUT), monthlyTotalsC__MM=F.lit("5"), monthlyTotalsC=F.lit("{}"))
+    plan = known.select("masterId", kind.alias("classification"), F.lit("v1").alias("token"), F.when(F.col("balanceC").between(400000, 700000), over).otherwise(plain).alias("patch"), "c_custkey")
     now = text(lastMonth=F.lit(CUT), monthlyTotalsC__MM=F.when(F.col("segment") == "FURNITURE", "6").otherwise("5"))
     current = known.select("masterId", F.when(F.col("balanceC") <= 900000, now).alias("fields"))
-    return upsert.recovery(before, plan, current).select("masterId", "outcome", F.array_join("deletes", "|").alias("deletes"))
+    without = lambda df, rest: df.join(known.where(F.col("c_custkey") % 50 == rest).select("masterId"), "masterId", "left_anti")  # noqa: E731  each side lacks some ids
+    found = upsert.recovery(without(before, 7), without(plan.drop("c_custkey"), 8), without(current, 9))
+    restore = F.array_join(F.transform(F.array_sort(F.map_entries("restore")), lambda e: F.concat(e["key"], F.lit("="), e["value"])), "|")
+    return found.select("masterId", "outcome", restore.alias("restore"), F.array_join("deletes", "|").alias("deletes"), F.array_join("paths", "|").alias("paths"))
 
 
 @query(f"""with {FACTS}, o as (select meter, sum(amount) as v from facts where ym < '{CUT}' group by meter), n as (select meter, sum(amount) as v from facts where ym <= '2000-01' and segment <> 'BUILDING' group by meter)

@@ -238,8 +238,8 @@ def grouping_sets_rollup(spark: SparkSession, folder: str) -> DataFrame:
     return purchases(spark, folder).groupingSets([["lmPcode", "ym"], ["lmPcode"], []], "lmPcode", "ym").agg(F.count("*").alias("n"), F.sum("amountTotalC").cast("bigint").alias("amountTotalC"))
 
 
-@query(f"""with {FACTS}, h as (select sha1(concat_ws('␟', lm, meter, iso, amount)) as h from facts)
-select count(*) as rows, concat_ws('-', {", ".join(f"cast(sum(cast(('0x' || substr(h, {8 * i + 1}, 8)) as bigint)) as varchar)" for i in range(3))}) as digest from h""")
+@query(f"""with {FACTS}, h as (select sha256({" || ".join(f"length({c}) || ':' || {c}" for c in ("lm", "meter", "iso", "cast(amount as varchar)"))}) as h from facts)
+select count(*) as rows, concat_ws('-', {", ".join(f"cast(sum(cast(('0x' || substr(h, {8 * i + 1}, 8)) as bigint)) as varchar)" for i in range(8))}) as digest from h""")
 def dataset_digest(spark: SparkSession, folder: str) -> DataFrame:
     return reconcile.digest(purchases(spark, folder), ["lmPcode", "meterNo", "txAtISO", "amountTotalC"])
 

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import csv
+import io
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from wattledger.functions import scalars as S
 from wattledger.operators.validate import ContractError
+from wattledger.scratch import keep
 
 # fixed values: texts that stand for a missing value
 MISSING = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
@@ -26,24 +31,67 @@ def encoding_of(spark: SparkSession, path: str) -> str:
     return "UTF-8" if bad.isEmpty() else "ISO-8859-1"
 
 
+def _numbered(rows: DataFrame, name: str) -> DataFrame:
+    """Number the rows (.., _file, _block, _at) of each file in file order, from 1, by the counts of the blocks that tasks read."""
+    inside = F.row_number().over(Window.partitionBy("_file", "_block").orderBy("_at"))
+    before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy("_file", "_block").agg(F.count("*").alias("_n")).select("_file", "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    return rows.withColumn("_in", inside).join(starts, ["_file", "_block"]).withColumn(name, (F.col("_start") + F.col("_in")).cast("bigint")).drop("_in", "_start", "_block", "_at")
+
+
+def _place() -> list:
+    return [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at")]
+
+
+def has_broken_lines(spark: SparkSession, path: str) -> bool:
+    """Whether a quoted field goes on over a line's end: some line has an odd number of quotes."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not spark.read.text(path).where(quotes % 2 == 1).limit(1).isEmpty()
+
+
 def read_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None, row_number: str | None = None) -> DataFrame:
     """All columns as text, headers cleaned, missing markers as null; ``columns`` is an exact contract.
 
-    ``row_number`` numbers the data rows of each file in file order, before anything is shuffled: files are numbered
-    by path and offset in one pass over the text.
+    Files are split over tasks, unless a quoted field holds a line's end, when a file is one task's. ``row_number``
+    numbers the data rows of each file in file order.
     """
-    reader = spark.read.option("header", True).option("encoding", encoding_of(spark, path)).option("inferSchema", False).option("multiLine", True).option("escape", '"')
+    reader = spark.read.option("header", True).option("encoding", encoding_of(spark, path)).option("inferSchema", False).option("multiLine", has_broken_lines(spark, path)).option("escape", '"')
     df = reader.csv(path)
     df = df.toDF(*(S.clean_header(c) for c in df.columns))
     if columns is not None and list(df.columns) != list(columns):
         raise ContractError(f"{path}: columns {df.columns} are not {list(columns)}")
-    named = df.select(*(F.when(~F.col(f"`{c}`").isin(*MISSING), F.col(f"`{c}`")).alias(c) for c in df.columns), *([F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_at")] if row_number else []))
-    if not row_number:
-        return named
-    from pyspark.sql.window import Window
+    named = df.select(*(F.when(~F.col(f"`{c}`").isin(*MISSING), F.col(f"`{c}`")).alias(c) for c in df.columns), *(_place() if row_number else []))
+    return _numbered(named, row_number).drop("_file") if row_number else named
+
+
+def snapshot(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(digests, rows) of small CSV files from one read of their bytes, so that the digest is that of the rows.
+
+    digests: (path, bytes, sha256); rows: (path, row, record array<string>), the header being row 0. The bytes are kept
+    once, and both are taken from there; a file is one task's.
+    """
+    bytes_ = keep(spark.read.format("binaryFile").load(path).select("path", "content"), "snapshot")
 
-    # a file read as multi-line text is one task's, so its rows carry rising ids
-    return named.withColumn(row_number, F.row_number().over(Window.partitionBy("_file").orderBy("_at")).cast("bigint")).drop("_file", "_at")
+    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, content in zip(batch["path"].to_pylist(), batch["content"].to_pylist(), strict=True):
+                try:
+                    text = content.decode("utf-8-sig")
+                except UnicodeDecodeError:
+                    text = content.decode("latin-1")
+                rows = list(csv.reader(io.StringIO(text, newline="")))
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(rows), pa.string()), pa.array(range(len(rows)), pa.int64()), pa.array(rows, pa.list_(pa.string()))], ["path", "row", "record"])
+
+    digests = bytes_.select("path", F.octet_length("content").cast("bigint").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    return digests, bytes_.mapInArrow(records, "path string, row long, record array<string>")
+
+
+def require_unchanged(spark: SparkSession, path: str, before: DataFrame) -> None:
+    """The files still hold what they held when ``before``, the result of ``file_digests``, was taken."""
+    now = file_digests(spark, path)
+    changed = before.join(now, ["path", "sha256"], "left_anti").select("path").unionByName(now.join(before, ["path", "sha256"], "left_anti").select("path")).limit(5).collect()
+    if changed:
+        raise ContractError(f"changed while they were read: {sorted({r[0] for r in changed})}")
 
 
 def file_identity(path: str = "_metadata.file_path") -> list:
@@ -66,28 +114,43 @@ def require_complete(months: DataFrame) -> DataFrame:
     return months
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line, value): the lines of text files with their numbers, from 1."""
+    lines = spark.read.text(path).select("value", *_place())
+    return _numbered(lines, "line").select(F.col("_file").alias("file"), "line", "value")
+
+
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | str, mode: str = "strict") -> DataFrame:
-    """JSON lines. ``strict`` fails on a blank or bad line, ``lenient`` skips blank lines and fails on bad ones."""
-    lines = spark.read.text(path)
+    """JSON lines. ``strict`` fails on a blank or bad line, ``lenient`` skips blank lines and fails on bad ones; the error names file and line."""
+    if mode not in ("strict", "lenient"):
+        raise ValueError(mode)
+    lines = numbered_lines(spark, path)
     blank = F.trim("value") == ""
-    if mode == "strict":
-        lines = lines.where(F.when(blank, F.raise_error(F.lit("blank line"))).otherwise(F.lit(True)))
-    elif mode == "lenient":
+    if mode == "lenient":
         lines = lines.where(~blank)
-    else:
-        raise ValueError(mode)
-    return lines.select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("_r")).select("_r.*")
+    is_object = F.coalesce(F.schema_of_variant(F.try_parse_json("value")).startswith("OBJECT"), F.lit(False))
+    place = lambda what: F.raise_error(F.concat(F.col("file"), F.lit(" line "), F.col("line").cast("string"), F.lit(": " + what)))
+    checked = lines.select(F.when(blank, place("blank line")).when(~is_object, place("not a JSON object")).otherwise(F.col("value")).alias("value"))
+    return checked.select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("_r")).select("_r.*")
 
 
 def split_json_lines(spark: SparkSession, path: str, schema: T.StructType | str) -> tuple[DataFrame, DataFrame]:
-    """(records, exceptions): lines that hold a JSON object, and the others with a code and the file they are in."""
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file")).where(F.trim("value") != "")
-    known = lines.withColumn("_v", F.try_parse_json("value"))
+    """(records, exceptions): lines that hold a JSON object, and the others with a code, the file they are in and their line."""
+    known = numbered_lines(spark, path).where(F.trim("value") != "").withColumn("_v", F.try_parse_json("value"))
     is_object = F.coalesce(F.schema_of_variant("_v").startswith("OBJECT"), F.lit(False))
     good = known.where(is_object).select(F.from_json("value", schema).alias("_r")).select("_r.*")
-    bad = known.where(~is_object).select("file", "value", F.when(F.col("_v").isNull(), "INVALID_JSON").otherwise("NOT_AN_OBJECT").alias("code"))
+    bad = known.where(~is_object).select("file", "line", "value", F.when(F.col("_v").isNull(), "INVALID_JSON").otherwise("NOT_AN_OBJECT").alias("code"))
     return good, bad
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("multiLine", True).json(path)
+    """A JSON report with the digest of the bytes it was read from: (path, sha256, report variant)."""
+    return spark.read.format("binaryFile").load(path).select("path", F.sha2("content", 256).alias("sha256"), F.parse_json(F.decode("content", "UTF-8")).alias("report"))
+
+
+def verified(manifests: DataFrame, expected: DataFrame) -> DataFrame:
+    """The manifests, if each has the digest that ``expected`` (path, sha256) names, and none is missing."""
+    bad = expected.join(manifests.select("path", F.col("sha256").alias("_found")), "path", "left").where(~F.col("_found").eqNullSafe(F.col("sha256"))).limit(5).collect()
+    if bad:
+        raise ContractError(f"evidence that is missing or was changed: {[r['path'] for r in bad]}")
+    return manifests.join(expected.select("path"), "path", "left_semi")
