@@ -1,16 +1,18 @@
 """Rules, folds, plans, sources and sinks on small tables."""
 
 import hashlib
+import json
 import zipfile
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
+from wattledger import pipelines
 from wattledger.functions import maps as M
 from wattledger.functions import numbering
 from wattledger.functions import scalars as S
-from wattledger.operators import address, aggregates, entities, facts, linkage, population, profiling, reconcile, upsert, validate, wide
+from wattledger.operators import address, aggregates, entities, evidence, execution, facts, linkage, population, profiling, reconcile, records, upsert, validate, wide
 from wattledger.plans import reports
 from wattledger.sources import delimited, sinks, workbook
 from wattledger.streaming import windows
@@ -178,6 +180,90 @@ def test_one_conflict_blocks_the_plan(spark):
     assert [r["classification"] for r in again.select("classification").distinct().collect()] == ["UNCHANGED"]
 
 
+def test_a_month_is_refreshed_or_left_alone(spark, tmp_path):
+    path = f"file://{tmp_path}/sales"
+    rows = lambda *x: spark.createDataFrame([(i, lm, {"2024-01": 1, **more}) for i, lm, more in x], "id string, lm string, months map<string,bigint>")
+    sinks.guarded_write(rows(("a", "L", {}), ("b", "L", {})), path)
+    wanted = rows(("a", "L", {"2024-02": 2}), ("b", "L", {}), ("c", "L", {}))
+    told = pipelines.refresh(spark, path, wanted, "id", ["lm"], [], ["months"], preflight_only=True).first()
+    assert (told["created"], told["updated"], told["unchanged"], told["written"]) == (1, 1, 1, False) and sinks.read_table(spark, path).count() == 2
+    told = pipelines.refresh(spark, path, wanted, "id", ["lm"], [], ["months"]).first()
+    assert (told["written"], told["verdict"]) == (True, "PASS")
+    assert {r["id"]: r["months"] for r in sinks.read_table(spark, path).collect()} == {"a": {"2024-01": 1, "2024-02": 2}, "b": {"2024-01": 1}, "c": {"2024-01": 1}}
+    with pytest.raises(validate.ContractError, match="blocked"):
+        pipelines.refresh(spark, path, rows(("a", "M", {"2024-02": 2})), "id", ["lm"], [], ["months"])
+    with pytest.raises(validate.ContractError, match="rehearsal"):  # lm isn't owned and isn't an identity here
+        pipelines.refresh(spark, path, rows(("a", "M", {"2024-02": 2, "2024-03": 3})), "id", [], [], ["months"])
+    assert sinks.read_table(spark, path).count() == 3
+    folder = f"file://{tmp_path}/all"
+    assert pipelines.initial_load(spark, {"sales": (wanted.drop("months"), "id")}, folder).first()["rows"] == 3
+    with pytest.raises(validate.ContractError, match="loaded before"):
+        pipelines.initial_load(spark, {"sales": (wanted.drop("months"), "id")}, folder)
+    with pytest.raises(validate.ContractError, match="unique"):
+        pipelines.initial_load(spark, {"sales": (wanted.drop("months").unionByName(wanted.drop("months")), "id")}, folder + "2")
+    report = spark.createDataFrame([("build", "dev", "PASS", "a" * 64), ("verify", "dev", "FAIL", "b" * 64)], "stage string, mode string, status string, fingerprint string")
+    pipelines.require_report(report, "build", "dev")
+    for stage, mode in (("verify", "dev"), ("build", "live"), ("none", "dev")):
+        with pytest.raises(validate.ContractError):
+            pipelines.require_report(report, stage, mode)
+
+
+@pytest.mark.parametrize("broken_at", [None, 9_800])
+def test_waves_of_a_large_plan_stop_at_the_first_that_fails(spark, broken_at):
+    plan = spark.range(1, 10_217).select(F.format_string("M%05d", "id").alias("id"), F.lit("UPDATED").alias("classification"), F.lit("t").alias("token"))
+    store = plan.select("id", F.when(F.col("id") == f"M{broken_at or 0:05d}", "u").otherwise("t").alias("token"), F.lit("old").alias("v"))
+    after, evidence_ = execution.execute(plan, plan.select("id", F.lit("new").alias("v")), store, "id")
+    found = evidence_.orderBy("wave").collect()
+    assert [r["operations"] for r in found] == [400] * 25 + [216]
+    states = [r["state"] for r in found]
+    assert states == (["COMMITTED"] * 26 if broken_at is None else ["COMMITTED"] * 24 + ["FAILED", "NOT_ATTEMPTED"])
+    assert after.where("v = 'new'").count() == (10_216 if broken_at is None else 9_600) and after.count() == 10_216
+    ids = [f"M{i:05d}" for i in range(1, 401)]
+    assert found[0]["idsSha256"] == hashlib.sha256(json.dumps(ids, separators=(",", ":")).encode()).hexdigest()
+    retried = execution.retry_outcomes(plan, store, "id").groupBy("outcome", "attempts").count().collect()
+    assert {(r[0], r[1]): r[2] for r in retried} == ({("COMMITTED", 1): 10_216} if broken_at is None else {("COMMITTED", 1): 9_816, ("COMMITTED", 2): 399, ("CONFLICT", 2): 1})
+    with pytest.raises(validate.ContractError):
+        execution.operations(plan.withColumn("classification", F.lit("CONFLICT")), store, "id")
+
+
+def test_contracts_of_frames_and_arguments(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "id string, v int")
+    assert validate.require_columns(df, ["id", "v"]) is df and validate.require_columns(df, ["v"], exact=False) is df
+    validate.require_same_ids(df, df.where("true"), "id")
+    upsert.create_only(df, df.where("id = 'x'"), "id")
+    for bad in (lambda: validate.require_columns(df, ["v", "id"]), lambda: validate.require_same_ids(df, df.limit(1), "id"), lambda: upsert.create_only(df, df, "id"), lambda: evidence.require_month("2024-13"), lambda: evidence.require_sha("a"), lambda: evidence.require_scope("live", "dev", ["live"]), lambda: evidence.require_scope("x", "x", ["live"])):
+        with pytest.raises(validate.ContractError):
+            bad()
+    assert evidence.require_month("2024-12") and evidence.require_sha("a" * 64) and evidence.require_scope("dev", "dev", ["dev"])
+    patches = df.withColumn("updates", F.create_map(F.lit("months.2024-01"), F.lit("1")))
+    validate.require_paths(patches, "updates", ["months"])
+    with pytest.raises(validate.ContractError):
+        validate.require_paths(patches, "updates", ["adr"])
+    with pytest.raises(validate.ContractError, match="2024-05"):
+        delimited.require_complete(spark.createDataFrame([("2024-05", 2)], "ym string, files int"))
+    path = f"file://{tmp_path}/facts"
+    sinks.write_partitioned(df.withColumn("ym", F.lit("2024-01")), path)
+    assert spark.read.parquet(path).where("ym = '2024-01'").count() == 2 and (tmp_path / "facts" / "ym=2024-01").exists()
+    evidence.require_chain(evidence.manifest("a", df).unionByName(evidence.manifest("b", df, evidence.manifest("a", df))), ["a", "b"])
+    with pytest.raises(validate.ContractError):
+        evidence.require_chain(evidence.manifest("a", df), ["a", "b"])
+    nested = df.select(F.col("id").alias("masterId"), F.col("id").alias("meterNoRaw"), F.lit("LM").alias("lmPcode"), F.lit("water").alias("meterType"), F.lit("C").alias("customerNo"), F.lit(None).cast("string").alias("accountNo"), F.lit("").alias("salesId"))
+    told = nested.select(records.master_document("conlog").alias("d")).where("d.meterNo.raw = 'a'").first()["d"].asDict(True)
+    assert told == {"lmPcode": "LM", "meterNo": {"raw": "a", "normalized": "a"}, "meterType": "water", "customerNo": "C", "accountNo": "", "refs": {"asts": {"id": ""}, "sales": {"id": "", "provider": ""}}}
+
+
+def test_headers_of_supplier_sheets():
+    text = list(records.HEADERS)
+    assert records.layout_errors([*text, 45292, 45323, None, 45292, 45323]) == []
+    assert records.layout_errors([*text[1:], "x", 45292, None, 45292]) == ["TEXT_HEADERS_DIFFER"]
+    assert records.layout_errors([*text, 45292, 45323]) == ["NO_SPACER"]
+    assert records.layout_errors([*text, 45292, 45323, None, 45292]) == ["BLOCKS_DIFFER"]
+    assert records.layout_errors([*text, 45292, 45383, None, 45292, 45383]) == ["MONTHS_NOT_CONTIGUOUS"]
+    assert records.layout_errors([*text, "x", None, "x"]) == ["NOT_A_MONTH"]
+    with pytest.raises(validate.ContractError):
+        records.require_layout(text)
+
+
 def test_waves_and_numbers(spark):
     df = spark.range(10_216).select(F.format_string("M%05d", "id").alias("id"))
     sizes = {r["wave"]: r["count"] for r in numbering.waves(df, "id").groupBy("wave").count().collect()}

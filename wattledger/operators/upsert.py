@@ -49,14 +49,17 @@ def classify(expected: DataFrame, existing: DataFrame, key: str, identity: Seque
 def refresh_masters(incoming: DataFrame, existing: DataFrame, key: str = "masterId") -> DataFrame:
     """(key, classification, code, updates): changes to master rows; a blank incoming value keeps the stored one.
 
-    Fields: meterNoRaw, lmPcode, meterType, customerNo, accountNo, salesId, salesProvider, and stored meterNoNormalized.
+    Fields: meterNoRaw, lmPcode, meterType, customerNo, accountNo, salesId, salesProvider, and stored meterNoNormalized. A
+    column ``stored_code`` of the stored rows, as ``documents.unfold_masters`` gives it, comes before all other conflicts.
     """
     both = _sides(incoming, existing, key, "left")
     text = lambda side, f: F.coalesce(F.col(f"{side}.{f}"), F.lit(""))
     old, new = (lambda f: text("old", f)), (lambda f: text("new", f))
+    stored = F.col("old.stored_code") if "stored_code" in existing.columns else F.lit(None).cast("string")
     set_and_other = lambda f: (old(f) != "") & (old(f) != new(f))
     code = (
-        F.when(F.col("old").isNull(), "MM_MISSING").when(old("meterNoNormalized") != F.col(key), "MM_NORMALIZED_IDENTITY_CONFLICT").when(old("meterNoRaw") == "", "MM_CANONICAL_FIELD_MISSING")
+        F.when(F.col("old").isNull(), "MM_MISSING").when(stored.isNotNull(), stored)
+        .when(old("meterNoNormalized") != F.col(key), "MM_NORMALIZED_IDENTITY_CONFLICT").when(F.trim(old("meterNoRaw")) == "", "MM_CANONICAL_FIELD_MISSING")
         .when(old("meterNoRaw") != new("meterNoRaw"), "MM_RAW_IDENTITY_CONFLICT").when(old("lmPcode") != new("lmPcode"), "MM_LM_CONFLICT").when(old("meterType") != new("meterType"), "MM_METER_TYPE_CONFLICT")
         .when(set_and_other("salesId"), "MM_SALES_REFERENCE_CONFLICT").when(set_and_other("salesProvider"), "MM_SALES_PROVIDER_CONFLICT")
         .when((old("salesId") == "") != (old("salesProvider") == ""), "MM_SALES_REFERENCE_PAIR_CONFLICT")

@@ -234,11 +234,11 @@ def global_gate(spark: SparkSession, folder: str) -> DataFrame:
     return upsert.gate(_plan(spark, folder))
 
 
-@query(f"""with {_STORE} select count(*) as expected, cast(0 as bigint) as missing, count_if(state = 'CONFLICT') as different, case when count_if(state = 'CONFLICT') = 0 then 'PASS' else 'FAIL' end as verdict from plan""")
+@query(f"""with {_STORE} select count(*) as expected, count_if(cast(meter as bigint) % 13 = 0) as missing, count_if(state = 'CONFLICT' and cast(meter as bigint) % 13 <> 0) as different, 'FAIL' as verdict from plan""")
 def post_write_verify(spark: SparkSession, folder: str) -> DataFrame:
-    """The store after the plan without its conflicts: only those differ from what was expected."""
+    """The store after the plan without its conflicts, and without some documents that were lost: only those differ from what was expected."""
     expected, existing = _documents(spark, folder)
-    written = upsert.apply_plan(_plan(spark, folder), expected, existing, "meterNo")
+    written = upsert.apply_plan(_plan(spark, folder), expected, existing, "meterNo").where(F.col("meterNo").cast("bigint") % 13 != 0)
     flat = lambda df: df.select("meterNo", "lmPcode", "lastMonth", F.to_json(F.array_sort(F.map_entries("monthlyTotalsC"))).alias("months"))
     return upsert.verify(flat(expected), flat(written), "meterNo", ["lmPcode", "lastMonth", "months"])
 

@@ -171,9 +171,9 @@ def key_path_detection(spark: SparkSession, folder: str) -> DataFrame:
     return profiling.rank_key_paths(found, table(spark, folder, "customer"), "c_custkey")
 
 
-@query("""select count(*) as documents, max(strlen('{"event_type":"' || event_type || '","user_id":' || user_id || '}')) as largest, cast(0 as bigint) as too_large from events""")
+@query("""select count(*) as documents, max(strlen('{"event_type":"' || event_type || '","user_id":' || user_id || '}')) as largest, count_if(strlen('{"event_type":"' || event_type || '","user_id":' || user_id || '}') > 40) as too_large from events""")
 def document_sizes(spark: SparkSession, folder: str) -> DataFrame:
-    return aggregates.document_sizes(table(spark, folder, "events"), ["user_id", "event_type"])
+    return aggregates.document_sizes(table(spark, folder, "events"), ["user_id", "event_type"], 40)
 
 
 @query("""with i as (select doc_id, array_to_string(list_filter([case when text is null or trim(text, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ') = '' then 'EMPTY_TEXT' end, case when coalesce(length(text), 0) <> n_chars then 'N_CHARS_MISMATCH' end,
