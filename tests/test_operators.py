@@ -371,6 +371,23 @@ def test_workbooks(spark, tmp_path):
     assert spark.read.format("workbook").option("columns", "A").load(path).count() == 3
 
 
+def test_sheets_keep_their_contract(spark, tmp_path):
+    path, text = str(tmp_path / "s.xlsx"), ["A", "B"]
+    make_workbook(path, [[*text, 45292, 45323, None, 45292, 45323], ["007", "x", 10.5, 0, None, 1.5, 0]])
+    cells = workbook.read_workbooks(spark, path, "END")
+    assert [c["number"] if c and c["text"] is None else c and c["text"] for c in workbook.headers(cells).first()["header"]] == ["A", "B", 45292.0, 45323.0, None, 45292.0, 45323.0]
+    assert workbook.require_layout(cells, lambda h: records.layout_errors(h, text)) is cells
+    with pytest.raises(validate.ContractError, match="TEXT_HEADERS_DIFFER"):
+        workbook.require_layout(cells, records.layout_errors)
+    path = str(tmp_path / "c.xlsx")
+    make_workbook(path, [["MeterNumber", "August_2026_Category", "Risk_Tier", "Risk_Score", "CorrectedMeterNumber"], ["007", "CAT1 x", "HIGH", 3, None], [" 8 ", "NORMAL", "LOW", 0, "0 8"]])
+    cells = workbook.read_workbooks(spark, path, "END")
+    found = workbook.categories(cells, "August_2026").orderBy("row").collect()
+    assert [(r["meterNo"], r["value"]["leakageCategory"], r["value"]["riskScore"]) for r in found] == [("007", "CAT1 x", 3), ("08", "NORMAL", 0)]
+    with pytest.raises(validate.ContractError, match="MISSING_July_2026_Category"):
+        workbook.categories(cells, "July_2026")
+
+
 def test_guarded_writes_and_publishing(spark, tmp_path, monkeypatch):
     df, other = spark.range(5), spark.range(6)
     path = f"file://{tmp_path}/t"
@@ -429,6 +446,16 @@ def test_stream_windows(spark, tmp_path):
     assert [tuple(r) for r in held][-1] == ("2024-01-01T00:00:00", "a", 2, 350)
 
 
+def test_stream_batches_are_written_once(spark, tmp_path):
+    spark.createDataFrame([("a", "2024-01"), ("b", "2024-03")], "meterNo string, ym string").write.parquet(str(tmp_path / "in"))
+    held = {}
+    for _ in range(2):  # a second run finds nothing new
+        stream = spark.readStream.schema("meterNo string, ym string").parquet(str(tmp_path / "in"))
+        query = windows.append_batches(stream, str(tmp_path / "cp"), lambda df, i: held.setdefault(i, windows.split_closed(df, "2024-02")[0].collect()))
+        query.awaitTermination(120)
+    assert [[r["meterNo"] for r in rows] for rows in held.values()] == [["b"]]
+
+
 def test_links_keep_every_meter(spark):
     meters = spark.createDataFrame([("1", "A"), ("2", ""), ("3", "Z"), ("4", "B")], "meterNo string, accountNo string")
     bridge = spark.createDataFrame([("A", "K1"), ("A", "K1"), ("B", "K1"), ("B", "K2"), ("", "K1")], "accountNo string, gisKey string")

@@ -182,6 +182,22 @@ def unfold_masters(df: DataFrame, document: str, key: str = "masterId") -> DataF
     return told.select(key, code.alias("stored_code"), *fields)
 
 
+def stored_codes(df: DataFrame, document: str, key: str, kinds: dict[str, str]) -> DataFrame:
+    """(key, stored_code, fields): the first thing wrong with a flat document's shape, then with its types, and the fields it concerns.
+
+    ``kinds`` names every field that may be there and the kind its value must have.
+    """
+    v = F.col("_v")
+    told = computed(computed(df, _v=F.try_parse_json(document)), _kind=F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0), _keys=_keys(v), _wrong=F.array_compact(F.array(*(F.when(kind_at(v, f) != k, F.lit(f)) for f, k in kinds.items()))))
+    names = F.array(*map(F.lit, sorted(kinds)))
+    odd = computed(told, _missing=F.array_except(names, "_keys"), _extra=F.array_except("_keys", names))
+    code = (
+        F.when(F.coalesce(F.col("_kind"), F.lit("")) != "OBJECT", "NOT_AN_OBJECT").when(F.size("_missing") > 0, "FIELDS_MISSING").when(F.size("_extra") > 0, "FIELDS_UNKNOWN").when(F.size("_wrong") > 0, "TYPES_WRONG")
+    )
+    fields = F.when(code == "FIELDS_MISSING", F.col("_missing")).when(code == "FIELDS_UNKNOWN", F.col("_extra")).when(code == "TYPES_WRONG", F.array_sort("_wrong")).otherwise(F.array().cast("array<string>"))
+    return odd.select(key, code.alias("stored_code"), fields.alias("fields"))
+
+
 def _agreed(*candidates: Column) -> Column:
     """The distinct candidates that aren't blank."""
     return F.array_distinct(F.filter(F.array(*candidates), lambda x: x.isNotNull() & (x != "")))

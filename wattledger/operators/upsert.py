@@ -27,17 +27,19 @@ def _differs(field: str) -> Column:
     return ~F.col(f"old.{field}").eqNullSafe(F.col(f"new.{field}"))
 
 
-def classify(expected: DataFrame, existing: DataFrame, key: str, identity: Sequence[str], owned: Sequence[str], histories: Sequence[str]) -> DataFrame:
+def classify(expected: DataFrame, existing: DataFrame, key: str, identity: Sequence[str], owned: Sequence[str], histories: Sequence[str], checks: Sequence[tuple[str, Column]] = ()) -> DataFrame:
     """(key, classification, reason, updates): what has to happen to each expected document.
 
     A stored identity field that is set and differs is a conflict, and so is a stored month that is gone or changed.
+    ``checks`` are more conflicts, (reason, condition over ``old`` and ``new``), such as a value that is none of an enumeration.
     ``updates`` maps dotted paths to values as text: owned fields that differ, and new months only.
     """
     both = _sides(expected, existing, key, "left")
     lost = [F.when(F.size(M.changed_keys(F.col(f"old.{h}"), F.col(f"new.{h}"))) > 0, F.concat(F.lit(f"history {h}."), F.get(M.changed_keys(F.col(f"old.{h}"), F.col(f"new.{h}")), F.lit(0)))) for h in histories]
     other = [F.when(F.col(f"old.{f}").isNotNull() & (F.col(f"old.{f}").cast("string") != "") & _differs(f), F.lit(f"{f} differs")) for f in identity]
     none = F.lit(None).cast("string")
-    reason = F.when(F.col("old").isNotNull(), F.coalesce(*lost, *other, none))
+    more = [F.when(condition, F.lit(name)) for name, condition in checks]
+    reason = F.when(F.col("old").isNotNull(), F.coalesce(*lost, *other, *more, none))
     fields = F.map_from_entries(F.array_compact(F.array(*(F.when(_differs(f), F.struct(F.lit(f).alias("key"), F.coalesce(F.col(f"new.{f}").cast("string"), F.lit("")).alias("value"))) for f in owned)))) if owned else F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
     updates = F.map_concat(fields, *(M.dotted_updates(h, F.col(f"old.{h}"), F.col(f"new.{h}")) for h in histories)) if histories else fields
     empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
@@ -73,9 +75,18 @@ def refresh_masters(incoming: DataFrame, existing: DataFrame, key: str = "master
     return judged.select(key, state.alias("classification"), named.alias("code"), "updates")
 
 
-def refresh_monthly(expected: DataFrame, existing: DataFrame, key: str, fixed: Sequence[str], mutable: Sequence[str]) -> DataFrame:
-    """(key, classification, fields): a changed fixed field is a conflict, changed mutable fields are the update."""
+def refresh_monthly(expected: DataFrame, existing: DataFrame, key: str, fixed: Sequence[str], mutable: Sequence[str], stored: DataFrame | None = None) -> DataFrame:
+    """(key, classification, fields): a changed fixed field is a conflict, changed mutable fields are the update.
+
+    ``stored``, (key, stored_code, fields) of the stored documents as ``documents.stored_codes`` gives it, comes first: a
+    document with another shape or other types is a conflict, whatever its values.
+    """
     both = _sides(expected, existing, key, "left")
+    if stored is not None:
+        odd = stored.where("stored_code is not null").select(key, F.col("fields").alias("_odd"))
+        first = refresh_monthly(expected, existing, key, fixed, mutable).join(odd, key, "left")
+        broken = F.col("_odd").isNotNull() & (F.col("classification") != "CREATED")
+        return first.select(key, F.when(broken, "CONFLICT").otherwise(F.col("classification")).alias("classification"), F.when(broken, F.col("_odd")).otherwise(F.col("fields")).alias("fields"))
     changed = lambda fields: F.array_compact(F.array(*(F.when(_differs(f), F.lit(f)) for f in fields)))
     judged = both.withColumn("_fixed", changed(fixed)).withColumn("_mutable", changed(mutable))
     state = F.when(F.col("old").isNull(), "CREATED").when(F.size("_fixed") > 0, "CONFLICT").when(F.size("_mutable") > 0, "UPDATED").otherwise("UNCHANGED")

@@ -132,6 +132,13 @@ def assertions(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
     return df.agg(*(F.count_if(broken).cast("bigint").alias(name) for name, broken in checks.items()))
 
 
+def sequence_errors(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
+    """For each ``by``: rows, and how far the values of ``column`` are from being 1 to the number of rows: repeats and gaps."""
+    counts = df.groupBy(*by, column).agg(F.count("*").alias("_n"))
+    found = counts.groupBy(*by).agg(F.sum("_n").alias("rows"), F.sum(F.col("_n") - 1).alias("repeated"), F.count_if(F.col(column).isNull() | (F.col(column) < 1)).alias("invalid"), F.max(column).alias("_last"), F.count(column).alias("_distinct"))
+    return found.select(*by, "rows", "repeated", "invalid", (F.greatest("_last", F.lit(0)) - F.col("_distinct") + F.col("invalid")).cast("bigint").alias("missing"))
+
+
 def require_all(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
     """The frame, if no row breaks a check."""
     found = {k: v for k, v in assertions(df, checks).first().asDict().items() if v}

@@ -505,3 +505,56 @@ def key_windows(spark: SparkSession, folder: str) -> DataFrame:
     from wattledger.functions.numbering import waves
 
     return waves(meters(spark, folder).select("meterNo"), "meterNo", 10, "page").groupBy("page").agg(F.count("*").alias("n"), F.min("meterNo").alias("first"), F.max("meterNo").alias("last"))
+
+
+@query(f"""with {METERS}, s as (select lm, c_custkey, row_number() over (partition by lm order by c_custkey) as n from meters), b as (select lm, case when n = 3 then 2 when n = 5 then 500 when n = 6 then 0 else n end as v from s),
+c as (select lm, v, count(*) as k from b group by all)
+select lm as "lmPcode", cast(sum(k) as bigint) as rows, cast(sum(k - 1) as bigint) as repeated, count_if(v < 1) as invalid, cast(max(v) - count(v) + count_if(v < 1) as bigint) as missing from c group by lm""")
+def sequence_check(spark: SparkSession, folder: str) -> DataFrame:
+    from pyspark.sql.window import Window
+
+    numbered = meters(spark, folder).withColumn("n", F.row_number().over(Window.partitionBy("lmPcode").orderBy("c_custkey")))
+    broken = numbered.withColumn("n", F.when(F.col("n") == 3, 2).when(F.col("n") == 5, 500).when(F.col("n") == 6, 0).otherwise(F.col("n")))
+    return validate.sequence_errors(broken, "n", ["lmPcode"])
+
+
+@query(f"""with {MONTHLY}, m as (select meter, cast(sum(amount) as bigint) as total from monthly group by meter) select meter as "meterNo", total as "mapTotalC", total + case when cast(meter as bigint) % 9 = 0 then 1 else 0 end as "declaredC" from m where cast(meter as bigint) % 9 = 0""")
+def declared_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Meters whose declared total isn't the sum of their months."""
+    maps = wide.month_maps(aggregates.monthly_meters(purchases(spark, folder)))
+    told = maps.withColumn("declaredC", F.col("totalC") + F.when(F.col("meterNo").cast("bigint") % 9 == 0, 1).otherwise(0)).withColumn("mapTotalC", M.map_total(F.col("monthlyTotalsC")))
+    return told.where(F.col("mapTotalC") != F.col("declaredC")).select("meterNo", "mapTotalC", "declaredC")
+
+
+_FLAT = {"id": '"@"', "amountTotalC": "5", "ym": '"1998-06"'}
+_FLAT_FAULTS: dict[int, tuple[dict[str, str | None], str, str]] = {
+    1: ({"ym": None}, "CONFLICT", "ym"), 2: ({"extra": "1"}, "CONFLICT", "extra"), 3: ({"amountTotalC": '"5"'}, "CONFLICT", "amountTotalC"), 4: ({"amountTotalC": "5.5", "ym": "6"}, "CONFLICT", "amountTotalC|ym"), 5: ({"amountTotalC": "6"}, "UPDATED", "amountTotalC"), 6: ({"ym": '"1998-07"'}, "CONFLICT", "ym"),
+}
+
+
+@query(f"""with {METERS} select meter as "masterId", {_sql_fault({n: f"'{s}'" for n, (_, s, _) in _FLAT_FAULTS.items()} | {7: "'CREATED'"}, "'UNCHANGED'")} as classification, {_sql_fault({n: f"'{f}'" for n, (_, _, f) in _FLAT_FAULTS.items()}, "''")} as fields from meters""")
+def monthly_refresh_stages(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored monthly documents as JSON: shape first, then types, fixed fields and mutable ones."""
+    doc = _fault({n: _filled(_FLAT | change) for n, (change, _, _) in _FLAT_FAULTS.items()}, _filled(_FLAT))
+    known = _ids(spark, folder)
+    stored = known.where(_n() % 40 != 7).select("masterId", doc.alias("doc"))
+    codes = documents.stored_codes(stored, "doc", "masterId", {"id": "STRING", "amountTotalC": "BIGINT", "ym": "STRING"})
+    v = F.try_parse_json("doc")
+    existing = stored.select("masterId", documents.value_at(v, "ym").alias("ym"), documents.value_at(v, "amountTotalC").alias("amountTotalC"))
+    expected = known.select("masterId", F.lit("1998-06").alias("ym"), F.lit("5").alias("amountTotalC"))
+    return upsert.refresh_monthly(expected, existing, "masterId", ["ym"], ["amountTotalC"], codes).select("masterId", "classification", F.array_join("fields", "|").alias("fields"))
+
+
+@query(f"""with {METERS} select meter as "masterId", case when c_custkey % 4 = 1 then 'CONFLICT' when c_custkey % 4 = 2 then 'CONFLICT' else 'UNCHANGED' end as classification, case when c_custkey % 4 = 1 then 'visibility invalid' when c_custkey % 4 = 2 then 'address incomplete' end as reason from meters""")
+def conflict_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored values that are none of an enumeration, and addresses that hold only a part."""
+    known = _ids(spark, folder)
+    rows = lambda visibility, name: known.select("masterId", "lmPcode", visibility.alias("visibility"), F.struct(F.lit("1").alias("strNo"), name.alias("strName"), F.lit("-").alias("strType")).alias("adr"))
+    from wattledger.operators.address import address_valid
+
+    checks = [
+        ("visibility invalid", ~F.coalesce(F.col("old.visibility").isin(*documents.VISIBILITIES), F.lit(False))),
+        ("address incomplete", ~F.coalesce(address_valid(F.col("old.adr.strNo"), F.col("old.adr.strName"), F.col("old.adr.strType")), F.lit(False))),
+    ]
+    existing = rows(F.when(_n() % 4 == 1, "HIDDEN").otherwise("VISIBLE"), F.when(_n() % 4 == 2, "").otherwise("Main"))
+    return upsert.classify(rows(F.lit("VISIBLE"), F.lit("Main")), existing, "masterId", ["lmPcode"], [], [], checks).select("masterId", "classification", "reason")

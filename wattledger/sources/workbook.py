@@ -23,6 +23,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.window import Window
 
 from wattledger.functions import scalars as S
+from wattledger.operators.validate import ContractError
 
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _LINK = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
@@ -156,3 +157,39 @@ def records(cells: DataFrame, text: dict[str, int]) -> DataFrame:
 
     named = [F.max(F.when(F.col("col") == c, F.col("value"))).alias(n) for n, c in text.items()]
     return body.groupBy("file", "row").agg(*named, block(1, S.workbook_cents("value")).alias("monthlySalesC"), block(2, S.workbook_units("value")).alias("monthlyUnits"))
+
+
+def headers(cells: DataFrame) -> DataFrame:
+    """(file, header): the first row of each sheet up to its last filled column, gaps as nulls; numbers are date serials."""
+    head = cells.where("row = 1").select("file", "col", F.struct(F.when(F.col("type") == "number", F.col("value").try_cast("double")).alias("number"), F.when(F.col("type") != "number", S.clean_text("value")).alias("text")).alias("cell"))
+    placed = head.groupBy("file").agg(F.map_from_entries(F.collect_list(F.struct("col", "cell"))).alias("_c"), F.max("col").alias("_last"), F.min("col").alias("_first"))
+    return placed.select("file", F.transform(F.sequence("_first", "_last"), lambda i: F.try_element_at("_c", i)).alias("header"))
+
+
+def require_layout(cells: DataFrame, check) -> DataFrame:
+    """The cells, if ``check``, which gives the errors of a header row, finds none in any sheet; a row for each sheet comes to the driver."""
+    bad = {r["file"]: errors for r in headers(cells).collect() if (errors := check([None if c is None else c["text"] if c["number"] is None else c["number"] for c in r["header"]]))}
+    if bad:
+        raise ContractError(f"sheets whose header isn't the contract's: {bad}")
+    return cells
+
+
+def category_header_errors(header: list, label: str) -> list[str]:
+    """What is wrong with the header of a category sheet: one of two names for the meter, the month's category, tier and score."""
+    names = [str(h) for h in header if h is not None]
+    meters = [n for n in names if n in ("MeterNumber", "CorrectedMeterNumber")]
+    errors = [] if meters else ["NO_METER_COLUMN"]
+    errors += [f"MISSING_{n}" for n in (f"{label}_Category", "Risk_Tier", "Risk_Score") if n not in names]
+    return errors + (["REPEATED_COLUMN"] if len(set(names)) < len(names) else [])
+
+
+def categories(cells: DataFrame, label: str) -> DataFrame:
+    """(file, row, meterNo, value) of category sheets: ``value`` is (leakageCategory, riskTier, riskScore); a corrected meter number comes before the given one."""
+    checked = require_layout(cells, lambda header: category_header_errors(header, label))
+    names = checked.where("row = 1").select("file", "col", S.clean_text("value").alias("name"))
+    body = checked.where("row > 1").join(F.broadcast(names), ["file", "col"]).groupBy("file", "row")  # a name for each column of each sheet
+    pick = lambda n: F.max(F.when(F.col("name") == n, F.col("value")))
+    wide = body.agg(pick("CorrectedMeterNumber").alias("_c"), pick("MeterNumber").alias("_m"), pick(f"{label}_Category").alias("_k"), pick("Risk_Tier").alias("_t"), pick("Risk_Score").alias("_s"))
+    meter = F.coalesce(F.nullif(S.raw_meter_no("_c"), F.lit("")), S.raw_meter_no("_m"))
+    value = F.struct(S.clean_text("_k").alias("leakageCategory"), S.clean_text("_t").alias("riskTier"), S.strict_int(F.regexp_replace(S.clean_text("_s"), r"\.0+$", "")).cast("int").alias("riskScore"))
+    return wide.select("file", "row", meter.alias("meterNo"), value.alias("value"))
