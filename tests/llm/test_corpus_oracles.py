@@ -9,7 +9,8 @@ FOLDER = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_same_rows(spark, name):
     con = duckdb.connect()
-    con.execute(f"create view documents as select * from '{FOLDER}/documents.parquet'")
+    for table in ("documents", "pages"):
+        con.execute(f"create view {table} as select * from '{FOLDER}/{table}.parquet'")
     df = queries.queries()[name](spark, FOLDER)
     found = sorted(map(repr, (tuple(r) for r in df.select(*sorted(df.columns)).collect())))
     cursor = con.execute(queries.oracle_sql()[name])

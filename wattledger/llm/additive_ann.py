@@ -156,8 +156,8 @@ def scan(index: DataFrame, queries: list[tuple[int, list[float]]], books: np.nda
         best = np.full((len(ids), 0), 0, np.float32)
         held = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32))  # query, vector, score
         for batch in batches:
-            for i in range(0, len(batch), 4096):
-                part = batch.slice(i, 4096)
+            for i in range(0, len(batch), 2048):  # with a full block of queries, some 35 MB of scores
+                part = batch.slice(i, 2048)
                 codes = np.frombuffer(b"".join(part["codes"].to_pylist()), np.uint8).reshape(len(part), -1)
                 scores = np.take(tables[0], codes[:, 0], axis=1)
                 for m in range(1, len(books)):

@@ -12,6 +12,7 @@ from . import additive_ann, decontaminate, html_main, metric_join, piece_codec,
 from .common import scratch_path
 
 
+ARRIVALS = 4
 PASSAGE_WORDS = 20  # repeats of fewer words in a row are stock phrases, which clean documents share
 
 
@@ -20,9 +21,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents arrive in four parts, are compacted, and are read back through the last manifest."""
+    """Documents arrive in four parts, one after the other, are compacted, and are read back through the last manifest."""
     root = scratch_path(spark, "sharding")
-    sharding.append(_table(spark, sf_dir, "documents"), root, arrival=F.pmod(F.xxhash64("doc_id"), F.lit(4)))
+    docs = _table(spark, sf_dir, "documents")
+    for part in range(ARRIVALS):
+        sharding.append(docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(ARRIVALS)) == part), root)
     version = sharding.compact(spark, root)
     sharding.vacuum(spark, root, version)
     rows = sharding.read(spark, root, version)
@@ -74,9 +77,40 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_sharding": SHARDING}
+    return {"op1_sharding": SHARDING, "op5_unit_dedup": UNIT_DEDUP, "op6_metric_join": METRIC_JOIN, "op10_warc": WARC}
 
 
 SHARDING = """
 select doc_id, lang, source, n_chars, sha256(text) as text_sha256 from documents
 """
+
+# a mark goes before each line's end and behind each sign that white space follows; units are what stands between marks
+_WHITE = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '"
+UNIT_DEDUP = f"""
+with t as (select doc_id, string_split(replace(regexp_replace(text, '([.!?])([ \\t\\n\\v\\f\\r])', '\\1' || chr(57344) || '\\2', 'g'), chr(10), chr(57344) || chr(10)), chr(57344)) as parts from documents where text is not null),
+p as (select doc_id, unnest(parts) as piece, generate_subscripts(parts, 1) as i from t),
+o as (select *, coalesce(sum(length(piece)) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding), 0) as off, trim(regexp_replace(lower(piece), '[ \\t\\n\\v\\f\\r]+', ' ', 'g')) as norm from p),
+u as (select doc_id, off + length(piece) - length(ltrim(piece, {_WHITE})) as s, off + length(piece) as e, norm, len(string_split(norm, ' ')) as words, row_number() over (partition by doc_id order by i) as place from o where norm <> ''),
+r as (select *, row_number() over (partition by norm order by doc_id, place) as nth, first_value(doc_id) over (partition by norm order by doc_id, place) as kept from u),
+l as (select *, place - row_number() over (partition by doc_id order by place) as run from r where nth > 1)
+select doc_id, cast(min(s) as integer) as start, cast(max(e) as integer) as "end", count(*) as n_units, cast(sum(words) as bigint) as n_words, array_to_string(list_sort(list(distinct kept)), '|') as kept_in from l group by doc_id, run having sum(words) >= {PASSAGE_WORDS}
+"""
+
+METRIC_JOIN = r"""
+with recursive d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+s as (select doc_id, case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')] else list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) end as g from d),
+k as (select doc_id, len(g) as n, case when len(g) > 0 then sha256(array_to_string(list_sort(g), chr(10))) end as key, g from s),
+c as (select key, min(doc_id) as id, count(*) as copies, any_value(n) as n, any_value(g) as g from k where key is not null group by key),
+x as (select id, n, unnest(g) as h from c),
+links as (select a.id as a, b.id as b from x a join x b on a.h = b.h and a.id <> b.id and least(a.n, b.n) * 100 >= greatest(a.n, b.n) * 80 group by a.id, b.id, a.n, b.n having 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach as (select id as a, id as b from c union select reach.a, links.b from reach join links on reach.b = links.a),
+comp as (select a, min(b) as component from reach group by a)
+select doc_id, k.n as n_shingles, coalesce(component, doc_id) as component_id, coalesce(c.id, doc_id) as class_id, coalesce(copies, 1) as copies from k left join c using (key) left join comp on comp.a = c.id
+"""
+
+# five hexadecimal digits of a SHA-1 are four digits to the base of 32
+WARC = """
+with d as (select page_id, strlen(coalesce(html, '')) as payload_bytes, sha1(coalesce(html, '')) as x from pages), f as (select x, min(page_id) as first from d group by x)
+select page_id, payload_bytes, array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((cast('0x' || substr(x, 5 * (i // 4) + 1, 5) as bigint) >> (15 - 5 * (i % 4))) & 31), 1)), '') as payload_digest,
+  case when page_id > first then 'revisit' else 'response' end as record_type, case when page_id > first then first end as refers_to from d join f using (x)
+"""

@@ -120,16 +120,16 @@ def compaction_plan(spark: SparkSession, root: str, fanout: int = FANOUT) -> Dat
 def compact(spark: SparkSession, root: str, target_bytes: int = TARGET_BYTES, fanout: int = FANOUT) -> int:
     """Merge each run of the plan into files of about ``target_bytes``; returns the version, the old one without a run."""
     version = latest_version(spark, root)
-    merged, gone = [], []
-    for run in compaction_plan(spark, root, fanout).collect():  # a row for each tier, and paths of shards below the target
+    plan, merged = compaction_plan(spark, root, fanout), []
+    for run in plan.collect():  # a row for each tier, and paths of shards below the target
         folder = f"{root}/data/merge-{uuid.uuid4().hex}"
         rows = _read(spark, root, run["paths"])
         rows.coalesce(max(1, round(run["bytes"] / target_bytes))).write.option("compression", "zstd").parquet(folder)
         merged.append(_shards(spark, folder, version + 1, target_bytes, fanout))
-        gone += run["paths"]
     if not merged:
         return version
-    rows = _manifest(spark, root, version).where(F.col("path").isNull() | ~F.col("path").isin(gone))
+    gone = plan.select(F.explode("paths").alias("path"))
+    rows = _manifest(spark, root, version).join(gone, "path", "left_anti").select(*_manifest(spark, root, version).columns)
     for more in merged:
         rows = rows.unionByName(more)
     return _commit(spark, root, version + 1, rows)
