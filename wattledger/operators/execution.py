@@ -88,7 +88,8 @@ def rehearsal(plan: DataFrame, expected: DataFrame, captured: DataFrame, key: st
     """One row: a plan tried on captured documents. What it would write, and what it must not do: change other fields, lose or add documents, or leave a difference."""
     after = apply_plan(plan, expected, captured, key)
     others = [c for c in captured.columns if c not in (key, *owned)]
-    side = lambda df, name: df.select(key, F.struct(*(c for c in df.columns if c != key)).alias(name))
+    plain = lambda c, kind: F.array_sort(F.map_entries(c)).alias(c) if kind.startswith("map") else F.col(c)  # noqa: E731  maps can't be compared
+    side = lambda df, name: df.select(key, F.struct(*(plain(c, kind) for c, kind in df.dtypes if c != key)).alias(name))
     both = side(captured, "old").join(side(after, "new"), key, "full_outer").join(plan.select(key, "classification"), key, "left").join(side(expected, "wanted"), key, "left")
     old, new, kind = F.col("old"), F.col("new"), F.col("classification")
     other = F.lit(False)
