@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -49,11 +50,36 @@ def forget(df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of steps whose results have been written.
+
+    It does so once the driver's JVM has collected the plans that name them, which comes late where the driver has little to do.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def as_row(df: DataFrame) -> Column:
     """The whole row as one struct, so that an operator's own columns can't clash with the given ones."""
     return F.struct(*(F.col(f"`{c}`") for c in df.columns))
 
 
+def salted_join(many: DataFrame, one: DataFrame, keys: list[str], rows: str, spread: list[str], total: int, least: int = 1000, share: int = 1000) -> DataFrame:
+    """Inner join of ``many`` with ``one``, which has a row for each key, that no single key can bring into one task.
+
+    The column ``rows`` of ``one`` tells how many rows of ``many`` a key has, and ``total`` how many there are. Keys of more
+    than a ``share``-th of all, so at most ``share`` keys, are dealt over several tasks by the columns ``spread``; only these
+    few are broadcast.
+    """
+    bound = max(least, total // share)
+    salts = F.ceil(F.col(rows) / bound).cast("int")
+    hot = F.broadcast(one.where(F.col(rows) > bound).select(*keys, salts.alias("salts")))
+    salt = F.when(F.col("salts").isNull(), 0).otherwise(F.pmod(F.xxhash64(*spread), F.col("salts"))).cast("int")
+    copies = F.when(F.col(rows) > bound, F.sequence(F.lit(0), salts - 1)).otherwise(F.array(F.lit(0)))
+    dealt = many.join(hot, keys, "left").withColumn("salt", salt).drop("salts")
+    return dealt.join(one.select(*one.columns, F.explode(copies).alias("salt")).drop(rows), [*keys, "salt"]).drop("salt")
+
+
 def text_slices(batch: pa.RecordBatch, column: str, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch into slices of about ``most_bytes`` of text, one row at least, so that memory stays bounded."""
     sizes = np.asarray(pc.fill_null(pc.binary_length(batch[column]), 0), dtype=np.int64)

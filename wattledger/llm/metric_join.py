@@ -16,8 +16,8 @@ by pivots, level by level:
    comparison with each other for the components; pairs of different components that meet in such a region are listed,
    unless the triangle inequality, by exact distances to a common pivot, rules them out, or their rare shingles do. A
    set with all its rare shingles in its window, as any in the region of a frequent shingle, can have only frequent ones
-   in common with a set that it hasn't met elsewhere. Such regions are cut by size first: linked sets lie in the same band
-   of sizes, each a quarter above the last, or in neighbouring ones.
+   in common with a set that it hasn't met elsewhere. Such regions are cut into bands of sizes; sets near the edge of a
+   band, within a quarter, are in both.
 3. Listed pairs whose sizes and number of meetings leave room for enough common shingles are decided exactly.
 
 Documents as pivots can't come first: most pairs of documents share nothing and lie at distance 1, where the triangle
@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, VariantType
 from pyspark.sql.window import Window
 
-from .common import as_row, forget, keep, text_slices
+from .common import as_row, forget, keep, release, salted_join, text_slices
 from .shingles import fingerprint, shingle_sets
 
 PERCENT = 80
@@ -57,6 +57,9 @@ SLICE = 512 << 10
 SALTS = 64
 NAME = "struct<doc_id: long, k: long, n: int>"
 LEAST_FREQUENT = 64  # so much above its share, at least, a cell holds frequent shingles
+BANDS = 4  # sizes that differ by up to so many steps of a quarter share a band
+LEAST_STAR = 256  # a class with more neighbours than this and than a thousandth of all is dealt over tasks
+MOST_HELD = 1_500_000  # meetings that a task holds before it counts them by pair
 REGION = 128  # no more sets than this are compared pair by pair
 
 
@@ -219,7 +222,7 @@ class _Pairs:
         for size in np.unique(sizes[sizes > 1]).tolist():
             starts = edges[:-1][sizes == size]
             x, y = np.triu_indices(size, 1)
-            block = max(1, 2_000_000 // len(x))
+            block = max(1, MOST_HELD // 4 // len(x))
             for i in range(0, len(starts), block):
                 at = starts[i : i + block, None]
                 a, b = (at + x).ravel(), (at + y).ravel()
@@ -230,9 +233,9 @@ class _Pairs:
                     found[name] = values
                 self.held.append(found)
                 self.size += len(found)
-                if self.size > 4_000_000:
+                if self.size > MOST_HELD:
                     self._count()
-                    if self.size > 2_000_000:
+                    if self.size > MOST_HELD // 2:
                         yield from self.flush()
 
     def _count(self) -> None:
@@ -333,22 +336,27 @@ def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", "sa", "sb").mapInArrow(run, f"a {NAME}, b {NAME}, common int, total int")
 
 
+def _signature(edges: DataFrame) -> tuple:
+    """The number of edges and 128 bits that tell their set."""
+    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("v", "u"))).first())
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, component): the smallest name that each linked class reaches, by alternating large and small stars."""
     edges = keep(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
+    told = _signature(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        low = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"), F.count("*").alias("rows"))
+        large = salted_join(both.where("v > u"), low, ["u"], "rows", ["v"], 2 * told[0], LEAST_STAR).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         large = keep(large, "stars")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(low.select("u", F.col("m").alias("v"))).distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("rows"))
+        small = salted_join(large, low, ["u"], "rows", ["v"], told[0], LEAST_STAR).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(low.select("u", F.col("m").alias("v"))).distinct()
         small = keep(small, "stars")
         forget(large)
-        changed = small.join(edges, ["u", "v"], "left_anti").limit(1).count() + edges.join(small, ["u", "v"], "left_anti").limit(1).count()
         forget(edges)
-        edges = small
-        if not changed:
+        edges, before, told = small, told, _signature(small)
+        if told == before:
             break
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
 
@@ -365,6 +373,7 @@ def classes_and_links(docs: DataFrame, percent: int = PERCENT, least: int = LEAS
     total = members.agg(F.sum("n")).first()[0] or 0
     frequent = frequent_cells(summary.where("range is not null").select("range", "counts"), total, least)
     met = keep(join_rare(replicate(docs, frequent, percent), percent, region), "meetings")
+    release(docs.sparkSession)
     name = classes.select("k", "n", "id")
 
     # large regions of rare shingles are left to document pivots, too: ``over`` counts those that a set is in
@@ -393,24 +402,33 @@ def classes_and_links(docs: DataFrame, percent: int = PERCENT, least: int = LEAS
     star = star.groupBy("id", F.col("p.id").alias("pivot")).agg(F.count("*").alias("c")).groupBy("id").agg(F.min(F.struct(-F.col("c"), "pivot")).alias("x"))
     star = keep(star.select("id", F.col("x.pivot").alias("pivot")), "nearest")
     first = keep(rare.unionByName(star.select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"))).distinct(), "pairs")
-    decided = keep(_decide(docs, first), "decided")
+    forget(met)
+    del rare, pivots, met
+    release(docs.sparkSession)
+    decided = _decide(docs, first)
     within = F.col("common") * 100 >= F.col("total") * percent
     linked = decided.where(within)
     if dense.isEmpty():
         return members, classes, linked, linked.select("a", "b")
     so_far = keep(components(linked), "components")
-    again = _between_components(dense, star, decided, so_far, percent)
-    later = keep(again.join(first, ["a", "b"], "left_anti"), "pairs")
+    later = _between_components(dense, star, decided, so_far, first, percent)
     edges = so_far.select(F.col("component").alias("a"), F.col("id").alias("b"))
     if later.isEmpty():
         return members, classes, linked, edges
-    more_links = keep(_decide(docs, later), "decided").where(within)
+    more_links = _decide(docs, later).where(within)
     return members, classes, linked.unionByName(more_links), edges.unionByName(more_links.select("a", "b"))
 
 
 def _decide(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(a, b, common, total) of the pairs, written."""
     wanted = keep(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "wanted")
-    return distances(pairs, keep(fetch_sets(docs, wanted), "sets"))
+    sets = keep(fetch_sets(docs, wanted), "sets")
+    decided = keep(distances(pairs, sets), "decided")
+    forget(sets)
+    forget(wanted)
+    del sets, wanted
+    release(docs.sparkSession)
+    return decided
 
 
 def _window(n: str, percent: int) -> Column:
@@ -418,20 +436,23 @@ def _window(n: str, percent: int) -> Column:
     return F.col(n) - F.ceil(F.col(n) * percent / 100.0 - 1e-9) + 1
 
 
-def _between_components(dense: DataFrame, star: DataFrame, decided: DataFrame, so_far: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs that meet in regions left to document pivots, aren't connected yet, and may link."""
+def _between_components(dense: DataFrame, star: DataFrame, decided: DataFrame, so_far: DataFrame, first: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs that meet in regions left to document pivots, aren't connected yet, may link, and aren't among ``first``."""
     distance = decided.select("a", "b", (1 - F.col("common") / F.col("total")).alias("d"))
     away = star.select("id", "pivot", F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")).join(distance, ["a", "b"]).select("id", "pivot", "d")
     told = dense.join(so_far, "id", "left").join(away, "id", "left").withColumn("comp", F.coalesce("component", "id"))
     told = keep(told.select("h", "id", "n", "w", "f", "comp", "pivot", "d"), "told")
+    forget(dense)
     sizes = told.groupBy("h", "comp").agg(F.count("*").alias("c"))
     largest = keep(sizes.groupBy("h").agg(F.max(F.struct("c", "comp")).alias("x"), F.count("*").alias("comps")).where("comps > 1").select("h", F.col("x.comp").alias("big")), "largest")
-    # sizes of linked sets differ by one band at most; a little more is allowed for rounding
+    # sizes of linked sets differ by one step at most; a little more is allowed for rounding
     place = F.log("n") / math.log(100 / percent)
+    band = lambda step: F.floor((F.col("place") + step) / BANDS)
     mixed = keep(told.join(largest, "h").withColumn("place", place), "mixed")
+    forget(told)
     named = lambda side: [F.col(c).alias(f"{c[0]}{side}") for c in ("id", "n", "w", "comp", "f")] + [F.col("pivot").alias(f"p{side}"), F.col("d").alias(f"d{side}")]
-    left = mixed.where("comp <> big").select("h", "big", F.floor("place").alias("band"), *named("a"))
-    right = mixed.select("h", F.explode(F.sequence(F.floor(F.col("place") - 1 - 1e-9), F.floor(F.col("place") + 1 + 1e-9))).alias("band"), *named("b"))
+    left = mixed.where("comp <> big").select("h", "big", band(0).alias("band"), *named("a"))
+    right = mixed.select("h", F.explode(F.sequence(band(-1 - 1e-9), band(1 + 1e-9))).alias("band"), *named("b"))
     apart = ((F.col("pa") == F.col("pb")) & (F.abs(F.col("da") - F.col("db")) > 1 - percent / 100 + 1e-9)) | (F.col("pa") == F.col("ib")) | (F.col("pb") == F.col("ia"))
     once = (F.col("cb") == F.col("big")) | (F.col("ia") < F.col("ib"))
     shared = F.least("fa", "fb") * (100 + percent) >= (F.col("na") + F.col("nb")) * percent
@@ -442,7 +463,12 @@ def _between_components(dense: DataFrame, star: DataFrame, decided: DataFrame, s
     counted = pairs.select(*ordered).groupBy("ia", "ib", "na", "nb", "wa", "wb").agg(F.count("*").alias("c"))
     # they may have met elsewhere as often as their windows have other regions
     more = F.least(_window("na", percent) - F.col("wa"), _window("nb", percent) - F.col("wb"))
-    return counted.where(_meet_enough(percent, more)).select(F.col("ia").alias("a"), F.col("ib").alias("b"))
+    found = counted.where(_meet_enough(percent, more)).select(F.col("ia").alias("a"), F.col("ib").alias("b"))
+    later = keep(found.join(first, ["a", "b"], "left_anti"), "pairs")
+    forget(mixed)
+    del left, right, pairs, counted, found, mixed, told
+    release(later.sparkSession)
+    return later
 
 
 def _with_components(docs: DataFrame, percent: int, least: int, region: int) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import as_row, keep, text_slices
+from .common import as_row, keep, salted_join, text_slices
 
 SHARE = 1000  # a digest of more than one in so many repeats is dealt over several tasks
 LEAST_SHARE = 1000
@@ -72,13 +72,8 @@ def repeated_runs(docs: DataFrame, min_words: int = 1) -> DataFrame:
     ranked = found.select("hi", "lo", F.struct("doc_id", "version", "place").alias("rank"))
     first = ranked.groupBy("hi", "lo").agg(F.min("rank").alias("first"), F.max("rank").alias("last"), F.count("*").alias("n"))
     first = keep(first.where("first <> last").select("hi", "lo", "first", "n"), "repeated-units")
-    share = max(LEAST_SHARE, (first.agg(F.sum("n")).first()[0] or 0) // SHARE)
-    salts = F.ceil(F.col("n") / share).cast("int")
-    hot = F.broadcast(first.where(F.col("n") > share).select("hi", "lo", salts.alias("salts")))  # SHARE rows at most
-    salt = F.when(F.col("salts").isNull(), 0).otherwise(F.pmod(F.xxhash64("doc_id", "version", "place"), F.col("salts"))).cast("int")
-    dealt = found.join(hot, ["hi", "lo"], "left").withColumn("salt", salt).drop("salts")
-    copies = F.when(F.col("n") > share, F.sequence(F.lit(0), salts - 1)).otherwise(F.array(F.lit(0)))
-    later = dealt.join(first.select("hi", "lo", "first", F.explode(copies).alias("salt")), ["hi", "lo", "salt"]).where("struct(doc_id, version, place) > first")
+    total = first.agg(F.sum("n")).first()[0] or 0
+    later = salted_join(found, first, ["hi", "lo"], "n", ["doc_id", "version", "place"], total, LEAST_SHARE, SHARE).where("struct(doc_id, version, place) > first")
     # the same document twice in the table gives the same unit twice
     later = later.select("doc_id", "version", "place", "start", "end", "words", F.col("first.doc_id").alias("kept")).dropDuplicates(["doc_id", "version", "place"])
     order = Window.partitionBy("doc_id", "version").orderBy("place")
