@@ -293,7 +293,7 @@ def fetch_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     bits = np.zeros((RANGES, width // 8), np.uint8)
     cells = wanted.select(cell("id.doc_id").alias("cell")).withColumn("r", F.floor(F.col("cell") / width)).distinct().repartition("r").sortWithinPartitions("cell").select("cell")
-    for row in cells.mapInArrow(pack, "range int, bits binary").toLocalIterator():
+    for row in cells.mapInArrow(pack, "range int, bits binary").collect():  # 2 MB at most, whatever the data
         bits[row["range"]] |= np.frombuffer(row["bits"], np.uint8)
     shared = docs.sparkSession.sparkContext.broadcast(bits.ravel())
 
