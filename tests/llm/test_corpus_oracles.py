@@ -9,7 +9,7 @@ FOLDER = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_same_rows(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "embeddings"):
         con.execute(f"create view {table} as select * from '{FOLDER}/{table}.parquet'")
     df = queries.queries()[name](spark, FOLDER)
     found = sorted(map(repr, (tuple(r) for r in df.select(*sorted(df.columns)).collect())))
