@@ -64,3 +64,12 @@ def merged_candidates(parts: dict[str, DataFrame], key: str) -> DataFrame:
         named = part.select(key, F.lit(name).alias("source"))
         out = named if out is None else out.unionByName(named)
     return out.groupBy(key).agg(F.array_sort(F.collect_set("source")).alias("sources"))
+
+
+def key_anchors(keys: DataFrame, key: str, n: int, seed: int) -> DataFrame:
+    """(anchor): ``n`` keys of digits drawn by a seed between the least and the greatest of ``keys``, which need not hold them."""
+    ends = keys.agg(F.min(key).alias("least"), F.max(key).alias("greatest"))
+    drawn = F.conv(F.substring(F.sha2(F.concat(F.lit(f"{seed}:"), F.col("id").cast("string")).cast("binary"), 256), 1, 12), 16, 10).cast("bigint")
+    least, greatest = (F.col(c).cast("bigint") for c in ("least", "greatest"))
+    value = least + F.pmod(drawn, greatest - least + 1)
+    return keys.sparkSession.range(n).join(F.broadcast(ends)).select(F.lpad(value.cast("string"), F.length("greatest"), F.lit("0")).alias("anchor"))

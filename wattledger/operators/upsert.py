@@ -154,6 +154,19 @@ def apply_plan(plan: DataFrame, expected: DataFrame, existing: DataFrame, key: s
     return kept.unionByName(expected.join(changed, key, "left_semi").select(*existing.columns))
 
 
+def apply_patches(plan: DataFrame, expected: DataFrame, existing: DataFrame, key: str, owned: Sequence[str], histories: Sequence[str]) -> DataFrame:
+    """The documents that a plan writes and no others: created ones as expected, updated ones with their owned fields and new months replaced and all else as stored."""
+    todo = plan.where(F.col("classification").isin("CREATED", "UPDATED")).select(key, "classification")
+    both = _sides(expected.select(*existing.columns), existing, key, "left").join(todo, key)
+    patched = lambda c: F.map_concat(F.col(f"old.{c}"), M.new_entries(F.col(f"old.{c}"), F.col(f"new.{c}"))) if c in histories else F.col(f"new.{c}" if c in owned else f"old.{c}")
+    return both.select(*(F.col(key) if c == key else F.when(F.col("classification") == "CREATED", F.col(f"new.{c}")).otherwise(patched(c)).alias(c) for c in existing.columns))
+
+
+def comparable(df: DataFrame) -> DataFrame:
+    """The same rows with maps as sorted entries, so that columns can be compared."""
+    return df.select(*(F.array_sort(F.map_entries(c)).alias(c) if kind.startswith("map") else F.col(c) for c, kind in df.dtypes))
+
+
 def verify(expected: DataFrame, written: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """One row: expected rows, missing ones, differing ones, and the verdict."""
     both = _sides(expected.select(key, *columns), written.select(key, *columns), key, "left")

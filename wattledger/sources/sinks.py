@@ -89,15 +89,19 @@ def table_state(df: DataFrame, path: str) -> tuple[str, dict]:
     return ("IDENTICAL" if all(old.get(k) == v for k, v in manifest.items()) else "DIFFERENT"), manifest
 
 
-def guarded_write(df: DataFrame, path: str, replace: bool = False, evidence: dict | None = None) -> str:
+def guarded_write(df: DataFrame, path: str, replace: bool = False, evidence: dict | None = None, expected: int | None = None) -> str:
     """Write a table once. The same content again is a no-op; other content is an error unless ``replace``.
 
+    ``expected`` is the number of the entry that the rows were planned on: an error if the table has another one by now.
+
     Rows go to a folder of their own, the digest is taken of what was written, and then the table's next entry names that
     folder. The entry before stays until it is there, so a crash between two steps loses nothing, and of two writers one
     fails. ``read_table`` reads the newest entry.
     """
     spark = df.sparkSession
-    number, old = pointer(spark, f"{path}/_entries")
+    number, _ = pointer(spark, f"{path}/_entries")
+    if expected is not None and number != expected:
+        raise ContractError(f"planned on entry {expected} of {path}, which is at {number}")
     folder = f"{path}/rows-{uuid.uuid4().hex}"
     df.write.parquet(folder)
     state, manifest = table_state(spark.read.schema(df.schema).parquet(folder), path)
@@ -112,10 +116,15 @@ def guarded_write(df: DataFrame, path: str, replace: bool = False, evidence: dic
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """The rows that ``guarded_write`` has committed last."""
-    entry = pointer(spark, f"{path}/_entries")[1]
+    return read_entry(spark, path)[1]
+
+
+def read_entry(spark: SparkSession, path: str) -> tuple[int, DataFrame]:
+    """The newest entry's number and its rows, from one look at the log."""
+    number, entry = pointer(spark, f"{path}/_entries")
     if entry is None:
         raise ContractError(f"{path} holds no committed table")
-    return spark.read.schema(T.StructType.fromJson(json.loads(entry["schema"]))).parquet(entry["folder"])
+    return number, spark.read.schema(T.StructType.fromJson(json.loads(entry["schema"]))).parquet(entry["folder"])
 
 
 def write_json_lines(df: DataFrame, path: str, columns: Sequence[str] | None = None) -> None:
