@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattledger.functions import maps as M
 from wattledger.functions import scalars as S
+from wattledger.operators import trees
 from wattledger.operators.profiling import paths
 from wattledger.operators.validate import Rules, computed, reasons
 
@@ -46,36 +45,15 @@ def _keys(document: Column, path: str = "") -> Column:
 
 def forbidden_paths(df: DataFrame, document: str, key: str, names: Sequence[str] = GEOMETRY) -> DataFrame:
     """(key, path) of every field, at any depth, that has one of the names."""
-    found = paths(df, document, key)
-    return found.where(F.regexp_extract("path", r"([^.\[\]]+)(?:\[\])*$", 1).isin(*names) & ~F.col("path").endswith("[]")).select(key, "path").distinct()
+    found = F.array_distinct(F.transform(F.filter("_nodes", lambda x: F.coalesce(F.get(x["names"], F.size(x["names"]) - 1).isin(*names), F.lit(False))), lambda x: trees.path_text(x["names"])))
+    return trees.unfold(df.select(key, document), document).select(key, F.explode(found).alias("path"))
 
 
 def without_keys(df: DataFrame, document: str, names: Sequence[str] = GEOMETRY) -> DataFrame:
-    """The documents without the fields of these names, at any depth; text that is no JSON stays."""
-    gone = frozenset(names)
-
-    def clean(text: str | None) -> str | None:
-        try:
-            whole = json.loads(text) if text is not None else None
-        except ValueError:
-            return text
-        todo = [whole]
-        while todo:
-            item = todo.pop()
-            if isinstance(item, dict):
-                for name in gone & item.keys():
-                    del item[name]
-                todo.extend(item.values())
-            elif isinstance(item, list):
-                todo.extend(item)
-        return None if text is None else json.dumps(whole, ensure_ascii=False, separators=(",", ":"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.schema.get_field_index(document)
-            yield batch.set_column(at, batch.schema.field(at), pa.array([clean(t) for t in batch.column(at).to_pylist()], pa.string()))
-
-    return df.withColumn(document, F.col(document).cast("string")).mapInArrow(run, df.withColumn(document, F.col(document).cast("string")).schema)
+    """The documents without the fields of these names, at any depth; numbers stay as they are written, and so does text that is no JSON."""
+    nodes = trees.unfold(df.withColumn(document, F.col(document).cast("string")), document, as_written=True)
+    kept = trees.written(trees.without(F.col("_nodes"), F.array(*map(F.lit, names))))
+    return nodes.withColumn(document, F.when(F.col("_nodes").isNull(), F.col(document)).otherwise(kept)).select(*df.columns)
 
 
 def nested_arrays(df: DataFrame, document: str, key: str) -> DataFrame:

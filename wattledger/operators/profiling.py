@@ -5,40 +5,36 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wattledger.operators import trees
 from wattledger.operators.validate import reasons
 from wattledger.scratch import keep
 
 
 def paths(df: DataFrame, json: str, key: str) -> DataFrame:
-    """(key, path, type, value) of every scalar, empty or nested field; array entries share the path ``a[]``.
+    """(key, path, type, value) of every scalar, empty or nested field; list entries share the path ``a[]``.
 
-    Nesting is unfolded level by level until nothing nested is left; each level is written, so that none is parsed twice.
+    All levels of a document are unfolded in its row (``trees.unfold``); a name with dots or brackets stands as ``['name']``.
     """
-    spark = df.sparkSession
-    level = df.select(F.col(key).alias("_id"), F.lit("").alias("path"), F.col(json).alias("json"))
-    out = None
-    while True:
-        level = level.select("_id", "path", F.try_parse_json("json").alias("v")).where("v is not null")
-        opened = spark.sql("select _id, path, e.key as step, e.value as v from {level}, lateral variant_explode(v) as e", level=level)
-        name = F.when(F.col("step").isNull(), "[]").otherwise(F.concat(F.when(F.col("path") == "", "").otherwise("."), F.col("step")))
-        child = opened.select("_id", F.concat("path", name).alias("path"), "v")
-        kind = F.schema_of_variant("v")
-        nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
-        type_ = F.when(kind.startswith("OBJECT"), "OBJECT").when(kind.startswith("ARRAY"), "ARRAY").otherwise(kind)
-        told = keep(child.select("_id", "path", type_.alias("type"), F.when(~nested, F.col("v").cast("string")).alias("value"), F.when(nested, F.to_json("v")).alias("json")), "fields")
-        found = told.select(F.col("_id").alias(key), "path", "type", "value")
-        out = found if out is None else out.unionByName(found)
-        level = told.where("json is not null").select("_id", "path", "json")
-        if level.isEmpty():
-            return out
+    rows = trees.unfold(df.select(key, json), json).select(key, F.explode(F.filter("_nodes", lambda x: F.size(x["places"]) > 0)).alias("x"))
+    return rows.select(key, trees.path_text(F.col("x.names")).alias("path"), F.col("x.kind").alias("type"), trees.plain_text(F.col("x")).alias("value"))
 
 
 def field_inventory(df: DataFrame, json: str, key: str) -> DataFrame:
-    """(path, documents, nulls, types, presence): how many documents hold each path, and its types."""
-    found = paths(df, json, key)
+    """(path, documents, missing, nulls, types): how many documents hold each path, and its types.
+
+    One pass over the documents counts their skeletons, which tasks add up before anything is shuffled; skeletons are
+    unfolded, of which there are few unless documents are all unlike. A skeleton gives each of its distinct (path, type)
+    pairs once, marked where the path is new.
+    """
+    valid = df.select(F.col(json).alias("json")).where(F.try_parse_json("json").isNotNull())
+    counted = keep(valid.groupBy(trees.skeleton(F.col("json")).alias("json")).agg(F.count("*").alias("n")), "skeletons")
+    pairs = F.array_sort(F.array_distinct(F.transform(F.filter("_nodes", lambda x: F.size(x["places"]) > 0), lambda x: F.struct(trees.path_text(x["names"]).alias("path"), x["kind"].alias("type")))))
+    listed = trees.unfold(counted, "json").select("n", pairs.alias("pairs"))
+    marked = F.transform("pairs", lambda x, i: F.struct(x["path"].alias("path"), x["type"].alias("type"), (~F.get("pairs", i - 1)["path"].eqNullSafe(x["path"]) | (i == 0)).alias("new")))
+    rows = listed.select("n", F.explode(marked).alias("x")).select("n", "x.*")
     total = df.agg(F.count("*").alias("_all"))
-    per_document = found.groupBy("path", key).agg(F.collect_set("type").alias("t"))
-    grouped = per_document.groupBy("path").agg(F.count("*").alias("documents"), F.count_if(F.array_contains("t", "VOID")).alias("nulls"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("t")))).alias("types"))
+    count = lambda which: F.coalesce(F.sum(F.when(which, F.col("n"))), F.lit(0))
+    grouped = rows.groupBy("path").agg(count(F.col("new")).alias("documents"), count(F.col("type") == "VOID").alias("nulls"), F.array_sort(F.collect_set("type")).alias("types"))
     return grouped.join(F.broadcast(total)).select("path", "documents", (F.col("_all") - F.col("documents")).alias("missing"), "nulls", "types")
 
 
