@@ -44,12 +44,14 @@ def single_spaces(c: ColumnLike) -> Column:
 
 def meter_no(c: ColumnLike) -> Column:
     """Upper case without white space. Leading zeros stay: a meter number is text."""
-    return F.upper(F.coalesce(F.regexp_replace(_c(c), r"(?U)\s+", ""), F.lit("")))
+    text = F.coalesce(_c(c).cast("string"), F.lit(""))
+    return F.upper(F.when(text.rlike(r"^[A-Za-z0-9]*\z"), text).otherwise(F.regexp_replace(text, r"(?U)\s+", "")))
 
 
 def raw_meter_no(c: ColumnLike) -> Column:
     """``meter_no`` that also repairs the ``.0`` which spreadsheets put behind a number."""
-    return F.regexp_replace(meter_no(c), r"^(\d+)\.0$", "$1")
+    text = _c(c).cast("string")
+    return F.when(text.rlike(r"^[A-Z0-9]+\z"), text).otherwise(F.regexp_replace(meter_no(c), r"^(\d+)\.0$", "$1"))
 
 
 def decimal_text(c: ColumnLike) -> Column:
@@ -64,13 +66,15 @@ def money_cents(c: ColumnLike, drop_every_r: bool = True) -> Column:
     Spaces go. With both separators the comma groups thousands; a comma alone is the decimal sign, so ``1,234`` is
     1.234. Raw exports may hold the currency sign anywhere, staged files only in front.
     """
-    text = F.regexp_replace(F.coalesce(_c(c), F.lit("")), r"(?U)^\s+|\s+$|[ \u00a0]" + ("|[Rr]" if drop_every_r else ""), "")
+    given = _c(c).cast("string")
+    text = F.regexp_replace(F.coalesce(given, F.lit("")), r"(?U)^\s+|\s+$|[ \u00a0]" + ("|[Rr]" if drop_every_r else ""), "")
     if not drop_every_r:
         text = F.regexp_replace(text, "^[Rr]", "")
 
     plain = F.when(text.contains("."), F.translate(text, ",", "")).otherwise(F.translate(text, ",", "."))
-    # what is no number leaves nothing to cast
-    return F.round(F.regexp_extract(plain, _DECIMAL, 0).try_cast("decimal(30,10)") * 100, 0).try_cast("bigint")
+    # what is no number leaves nothing to cast; most amounts are plain and need none of this
+    chain = F.round(F.regexp_extract(plain, _DECIMAL, 0).try_cast("decimal(30,10)") * 100, 0).try_cast("bigint")
+    return F.when(given.rlike(r"^-?[0-9]{1,15}(?:\.[0-9]{1,2})?\z"), (given.try_cast("decimal(18,2)") * 100).try_cast("bigint")).otherwise(chain)
 
 
 def cents(c: ColumnLike) -> Column:

@@ -10,8 +10,9 @@ from wattledger.operators import reconcile, trees
 from wattledger.plans.changes import _STORE, _documents
 from wattledger.plans.registry import query
 from wattledger.plans.stores import _MAPS, _months, _place
-from wattledger.plans.tables import FACTS, purchases
+from wattledger.plans.tables import FACTS, meter_text, purchases, table
 from wattledger.scratch import keep
+from wattledger.sources.delimited import read_csv
 
 
 @query(f"""with {FACTS}, m as (select meter, c_custkey, name, max(o_orderdate) as latest, min(o_orderdate) as earliest, count(*) as n, list_sort(list(distinct [y, m])) as months from (select *, year(o_orderdate) as y, month(o_orderdate) as m from facts) group by meter, c_custkey, name)
@@ -37,3 +38,17 @@ def differing_ids(spark: SparkSession, folder: str) -> DataFrame:
     expected, existing = _documents(spark, folder)
     left, right = (reconcile.write_tree(flat(df), _place(spark, "tree"), "meterNo", ["lmPcode", "lastMonth", "months"]) for df in (existing, expected))
     return reconcile.tree_differences(spark, left, right)
+
+
+@query("""select lpad(cast(c_custkey as varchar), 11, '0') as meter, case when c_custkey % 3 = 0 then null when c_custkey % 5 = 0 then 'two
+lines, "' || c_name || '"' else c_name || ' Zoë Müller' end as name, cast(c_acctbal as varchar) as balance from customer""")
+def csv_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers written as CSV in two encodings and with broken lines, and read back from one folder, each file in its own encoding."""
+    rows = table(spark, folder, "customer")
+    name = F.when(F.col("c_custkey") % 3 == 0, "NA").when(F.col("c_custkey") % 5 == 0, F.concat(F.lit('two\nlines, "'), "c_name", F.lit('"'))).otherwise(F.concat("c_name", F.lit(" Zoë Müller")))
+    told = rows.select(meter_text("c_custkey").alias("meter"), name.alias("name"), F.col("c_acctbal").cast("string").alias("balance"), "c_custkey")
+    path = _place(spark, "csv")
+    kinds = {"UTF-8": F.col("c_custkey") % 2 == 0, "ISO-8859-1": (F.col("c_custkey") % 2 == 1) & (F.col("c_custkey") % 5 > 0), "latin1": (F.col("c_custkey") % 2 == 1) & (F.col("c_custkey") % 5 == 0)}
+    for encoding, which in kinds.items():
+        told.where(which).drop("c_custkey").write.option("header", True).option("encoding", "ISO-8859-1" if encoding == "latin1" else encoding).option("escape", '"').csv(f"{path}/{encoding}")
+    return read_csv(spark, f"{path}/*", ["meter", "name", "balance"])

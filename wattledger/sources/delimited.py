@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import io
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -25,10 +26,18 @@ def file_digests(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
 
 
-def encoding_of(spark: SparkSession, path: str) -> str:
-    """UTF-8 if every line of every file reads as such, else Latin-1."""
-    bad = spark.read.text(path).where(~F.is_valid_utf8("value")).limit(1)  # lines are kept as the bytes they are
-    return "UTF-8" if bad.isEmpty() else "ISO-8859-1"
+def file_traits(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, encoding, broken, header) of each file, from one pass: UTF-8 if all its lines read as such, else Latin-1; whether a quoted field goes on over a line's end; and its first line."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").cast("binary").alias("line"), F.is_valid_utf8("value").alias("utf8"), (quotes % 2 == 1).alias("odd"), F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"))
+    found = lines.groupBy("file").agg(F.bool_and("utf8").alias("utf8"), F.bool_or("odd").alias("broken"), F.min_by("line", "at").alias("first"))  # lines are kept as the bytes they are
+    encoding = F.when(F.col("utf8"), "UTF-8").otherwise("ISO-8859-1")
+    return found.select("file", encoding.alias("encoding"), "broken", F.when(F.col("utf8"), F.decode("first", "UTF-8")).otherwise(F.decode("first", "ISO-8859-1")).alias("header"))
+
+
+def has_broken_lines(spark: SparkSession, path: str) -> bool:
+    """Whether a quoted field goes on over a line's end in some file."""
+    return not file_traits(spark, path).where("broken").isEmpty()
 
 
 def _numbered(rows: DataFrame, name: str) -> DataFrame:
@@ -43,24 +52,30 @@ def _place() -> list:
     return [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at")]
 
 
-def has_broken_lines(spark: SparkSession, path: str) -> bool:
-    """Whether a quoted field goes on over a line's end: some line has an odd number of quotes."""
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return not spark.read.text(path).where(quotes % 2 == 1).limit(1).isEmpty()
-
-
 def read_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None, row_number: str | None = None) -> DataFrame:
     """All columns as text, headers cleaned, missing markers as null; ``columns`` is an exact contract.
 
-    Files are split over tasks, unless a quoted field holds a line's end, when a file is one task's. ``row_number``
-    numbers the data rows of each file in file order.
+    Each file is read in its own encoding: files of one encoding are read together, so there are four readers at most. Files
+    are split over tasks, but for those in which a quoted field holds a line's end. ``row_number`` numbers the data rows of
+    each file in file order. The driver holds the names of the files, as Spark's own listing does.
     """
-    reader = spark.read.option("header", True).option("encoding", encoding_of(spark, path)).option("inferSchema", False).option("multiLine", has_broken_lines(spark, path)).option("escape", '"')
-    df = reader.csv(path)
-    df = df.toDF(*(S.clean_header(c) for c in df.columns))
-    if columns is not None and list(df.columns) != list(columns):
-        raise ContractError(f"{path}: columns {df.columns} are not {list(columns)}")
-    named = df.select(*(F.when(~F.col(f"`{c}`").isin(*MISSING), F.col(f"`{c}`")).alias(c) for c in df.columns), *(_place() if row_number else []))
+    kinds: dict[tuple[str, bool], list[str]] = {}
+    headers: dict[tuple[str, ...], str] = {}
+    for r in file_traits(spark, path).collect():
+        kinds.setdefault((r["encoding"], r["broken"]), []).append(r["file"])
+        if r["header"].count('"') % 2 == 0:
+            headers.setdefault(tuple(" ".join(c.replace("\ufeff", "").split()) for c in next(csv.reader([r["header"]]), [])), r["file"])
+    if len(headers) > 1:
+        raise ContractError(f"{path}: files with other columns than the rest: {headers}")
+    parts: list[DataFrame] = []
+    for (encoding, broken), files in sorted(kinds.items()) or [(("UTF-8", False), [])]:
+        reader = spark.read.option("header", True).option("encoding", encoding).option("inferSchema", False).option("multiLine", broken).option("escape", '"')
+        df = reader.csv(path if len(kinds) < 2 else sorted(files))
+        df = df.toDF(*(S.clean_header(c) for c in df.columns))
+        if columns is not None and list(df.columns) != list(columns):
+            raise ContractError(f"{path}: columns {df.columns} are not {list(columns)}")
+        parts.append(df.select(*(F.when(~F.col(f"`{c}`").isin(*MISSING), F.col(f"`{c}`")).alias(c) for c in df.columns), *(_place() if row_number else [])))
+    named = reduce(DataFrame.unionAll, parts)
     return _numbered(named, row_number).drop("_file") if row_number else named
 
 

@@ -1,11 +1,14 @@
-"""Spreadsheet workbooks as a Spark data source: a row for each cell, one task for each file.
+"""Spreadsheet workbooks: a row for each cell.
+
+``read_workbooks`` reads any store that Spark can open, and one workbook in many tasks. A sheet is a compressed stream, which
+can only be unpacked from its start: one task does that, a block at a time, and cuts the text behind ends of rows into pieces
+of about ``PIECE`` bytes, which are written. Parsing, which is the work, is done piece by piece in as many tasks as there are
+pieces. Shared strings are cut and parsed the same way, and meet the cells that name them in a join by file and number.
+
+``WorkbookSource`` is a Spark data source for folders that all executors mount, one task for each file:
 
     spark.dataSource.register(WorkbookSource)
     spark.read.format("workbook").option("sheet", "END").option("columns", "A,C").load("/folder/with/*.xlsx")
-
-The sheet is parsed as a stream and elements are dropped once read, so memory holds the shared strings and one row.
-Files are found and fetched by Spark's own reader, so that any store works that Spark can open: ``read_workbooks``
-passes their bytes to the same parser.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ from pyspark.sql.window import Window
 
 from wattledger.functions import scalars as S
 from wattledger.operators.validate import ContractError
+from wattledger.scratch import keep
 
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _LINK = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
@@ -118,25 +122,110 @@ class WorkbookSource(DataSource):
         return _Reader(self.options)
 
 
-def read_workbooks(spark: SparkSession, path: str, sheet: str | None = None, columns: str | None = None) -> DataFrame:
-    """(file, row, col, type, value) of every workbook under the path."""
+PIECE = 4 << 20
+_BLOCK = 1 << 20
+_PIECES = "file string, kind string, piece int, first long, xml binary"
+
+
+def _pieces(stream, element: str, size: int) -> Iterator[tuple[int, bytes]]:
+    """(elements before it, XML) of pieces of a part: whole elements below a copy of the part's root, so that each parses alone."""
+    held, opened, close, count, most = b"", b"", b"", 0, size
+    begin = re.compile(rb"<(?![?!])(?:([A-Za-z_][\w.-]*):)?[A-Za-z_][\w.-]*[^>]*>")
+    while True:
+        block = stream.read(_BLOCK)
+        held += block
+        if not opened:
+            root = begin.search(held)
+            if root is None or root[0].endswith(b"/>"):
+                if not block:
+                    return
+                continue
+            opened, prefix = root[0], (root[1] + b":") if root[1] else b""
+            close = b"</" + re.match(rb"<([^\s/>]+)", opened)[1] + b">"
+            name = prefix + element.encode()
+            first, end = re.compile(b"<" + re.escape(name) + rb"(?=[\s/>])"), b"</" + name + b">"
+            held = held[root.end() :]
+        if len(held) < most and block:
+            continue
+        last, start = held.rfind(end), first.search(held)
+        if last >= 0 and start is not None:
+            body = held[start.start() : last + len(end)]
+            yield count, opened + body + close
+            count += sum(1 for _ in first.finditer(body))
+            held, most = held[last + len(end) :], size
+        else:
+            most = len(held) + size  # one element longer than a piece, or nothing of interest yet
+        if not block:
+            return
+
+
+def _unpack(batches, sheet: str | None, size: int):
+    """The pieces of each workbook's sheet and of its shared strings."""
+    import pyarrow as pa
+
+    schema = pa.schema([("file", pa.string()), ("kind", pa.string()), ("piece", pa.int32()), ("first", pa.int64()), ("xml", pa.binary())])
+    for batch in batches:
+        for name, content in zip(batch["path"].to_pylist(), batch["content"], strict=True):
+            with zipfile.ZipFile(pa.BufferReader(content.as_buffer())) as book:
+                parts = [("cells", _sheet_part(book, sheet), "row")]
+                if "xl/sharedStrings.xml" in book.namelist():
+                    parts.append(("strings", "xl/sharedStrings.xml", "si"))
+                for kind, part, element in parts:
+                    with book.open(part) as stream:
+                        for i, (before, xml) in enumerate(_pieces(stream, element, size)):
+                            yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((name, kind, i, before, xml), schema, strict=True)], schema=schema)
+
+
+def _parse_cells(xml: bytes, columns: set[int] | None) -> Iterator[tuple[int, int, str, str]]:
+    """(row, col, type, value) of a piece's cells; the type ``shared`` has a string's number for its value."""
+    for row in ElementTree.fromstring(xml):
+        if row.tag != f"{_MAIN}row":
+            continue
+        for cell in row.iter(f"{_MAIN}c"):
+            col = column_number(cell.get("r"))
+            if columns and col not in columns:
+                continue
+            kind, value = cell.get("t", "n"), cell.findtext(f"{_MAIN}v")
+            if kind == "inlineStr":
+                kind, value = "str", "".join(t.text or "" for t in cell.iter(f"{_MAIN}t"))
+            if value is not None:
+                yield int(row.get("r")), col, {"s": "shared", "str": "text", "n": "number", "b": "bool", "e": "error"}.get(kind, "text"), value
+
+
+def read_workbooks(spark: SparkSession, path: str, sheet: str | None = None, columns: str | None = None, piece: int = PIECE) -> DataFrame:
+    """(file, row, col, type, value) of every workbook under the path; types are text, number, bool and error."""
+    import pyarrow as pa
+
     wanted = _columns(columns)
+    books = spark.read.format("binaryFile").load(path).select("path", "content")
+    unpacked = keep(books.mapInArrow(lambda batches: _unpack(batches, sheet, piece), _PIECES), "workbooks")
 
-    def run(batches):
-        import pyarrow as pa
+    def parse_cells(batches):
+        for batch in batches:
+            for name, xml in zip(batch["file"].to_pylist(), batch["xml"].to_pylist(), strict=True):
+                found = list(_parse_cells(xml, wanted))
+                columns_ = list(zip(*found, strict=True)) if found else [[]] * 4
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(found), pa.string()), *(pa.array(c, t) for c, t in zip(columns_, (pa.int32(), pa.int32(), pa.string(), pa.string()), strict=True))], ["file", "row", "col", "type", "value"])
 
+    def parse_strings(batches):
         for batch in batches:
-            for name, content in zip(batch["path"].to_pylist(), batch["content"], strict=True):
-                held = []
-                for cell in cells(content.as_py(), sheet, wanted):
-                    held.append((name, *cell))
-                    if len(held) == 20_000:
-                        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*held, strict=True), (pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string()), strict=True)], ["file", "row", "col", "type", "value"])
-                        held = []
-                if held:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*held, strict=True), (pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string()), strict=True)], ["file", "row", "col", "type", "value"])
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, SCHEMA)
+            for name, first, xml in zip(*(batch[c].to_pylist() for c in ("file", "first", "xml")), strict=True):
+                texts = ["".join(t.text or "" for t in item.iter(f"{_MAIN}t")) for item in ElementTree.fromstring(xml)]
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(texts), pa.string()), pa.array(range(first, first + len(texts)), pa.int64()), pa.array(texts, pa.string())], ["file", "number", "text"])
+
+    def dealt(kind: str) -> DataFrame:
+        """A kind's pieces, each for a task of its own."""
+        rows = unpacked.where(F.col("kind") == kind)
+        return rows.repartitionByRange(max(1, counts.get(kind, 0)), "file", "piece")
+
+    counts = {r["kind"]: r["count"] for r in unpacked.groupBy("kind").count().collect()}
+    cells_ = dealt("cells").select("file", "xml").mapInArrow(parse_cells, SCHEMA)
+    if not counts.get("strings"):
+        return cells_.withColumn("type", F.when(F.col("type") == "shared", "text").otherwise(F.col("type")))
+    strings = keep(dealt("strings").select("file", "first", "xml").mapInArrow(parse_strings, "file string, number long, text string"), "strings")
+    shared = F.col("type") == "shared"
+    met = cells_.withColumn("number", F.when(shared, F.col("value").try_cast("long"))).join(strings, ["file", "number"], "left")
+    return met.select("file", "row", "col", F.when(shared, "text").otherwise(F.col("type")).alias("type"), F.when(shared, F.col("text")).otherwise(F.col("value")).alias("value"))
 
 
 def month_blocks(cells: DataFrame) -> DataFrame:
