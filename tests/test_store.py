@@ -154,3 +154,18 @@ def test_a_refresh_meets_another_writer(spark, made, tmp_path, monkeypatch, kind
     assert run(spark, path, again, *args).first()["verdict"] == "PASS"
     months = {r["id"]: r["months"] for r in rows().where("id in ('0001', '0003', '8001')").collect()}
     assert months == {"0001": {"2024-01": 1, "2024-09": 9, "2024-10": 1}, "0003": {"2024-01": 3, "2024-09": 9}, "8001": {"2024-01": 8001}}
+
+
+def test_a_migration_is_executed_and_verified(spark, tmp_path):
+    old = '{"lmPcode":"LM","meterNo":{"raw":"M1","normalized":"M1"},"meterType":"electricity","customerNo":"","accountNo":"","astId":"A","metadata":{"createdAt":"2024-01-01T00:00:00Z"}}'
+    path = f"file://{tmp_path}/masters"
+    store.create(spark.createDataFrame([("M1", old, 1), ("M2", old.replace("M1", "M2").replace('"LM"', '""'), 2)], "masterId string, doc string, n int"), path, "masterId")
+    assert pipelines.migrate_store(spark, path, "doc", preflight_only=True).first()["verdict"] == "BLOCKED"
+    with pytest.raises(validate.ContractError, match="blocked"):
+        pipelines.migrate_store(spark, path, "doc")
+    assert store.version(spark, path).number == 1
+    store.commit(store.version(spark, path), deleted=spark.createDataFrame([("M2",)], "masterId string"))
+    told = pipelines.migrate_store(spark, path, "doc").first()
+    assert (told["planned"], told["updated"], told["left"], told["touched"], told["verdict"]) == (1, 1, 0, 0, "PASS")
+    assert pipelines.migrate_store(spark, path, "doc").first()["unchanged"] == 1
+    assert store.read(spark, store.version(spark, path)).first()["n"] == 1

@@ -227,6 +227,28 @@ def migration_plan(df: DataFrame, document: str, key: str = "masterId", provider
     return made.select(key, state.alias("classification"), "conflicts", "canonical")
 
 
+def pair_issues(df: DataFrame, master: str, sales: str, key: str, lm: str | Column, provider: str) -> DataFrame:
+    """The rows with ``issue``, the first thing that keeps a master and a sales document (both JSON) from being a pair, and ``visibility``, what the master's references ask for, if nothing does."""
+    parsed = computed(df, _m=F.try_parse_json(master), _s=F.try_parse_json(sales))
+    m, s = F.col("_m"), F.col("_s")
+    place = F.lit(lm) if isinstance(lm, str) else lm
+    same = lambda v, path, wanted: F.upper(F.trim(F.coalesce(value_at(v, path), F.lit("")))) == F.upper(wanted)
+    is_kind = lambda v, path, *kinds: F.coalesce(kind_at(v, path).isin(*kinds), F.lit(False))
+    whole = lambda v: F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+    absent = lambda v, path: kind_at(v, path).isNull()
+    id_ = F.col(key).cast("string")
+    issue = (
+        F.when(~whole(m), "MASTER_MISSING").when(~whole(s), "SALES_MISSING").when(~is_kind(m, "meterNo", "OBJECT") | ~same(m, "meterNo.normalized", id_), "MASTER_IDENTITY_MISMATCH").when(~same(m, "lmPcode", place), "MASTER_LM_MISMATCH")
+        .when(~is_kind(m, "refs", "OBJECT") & ~absent(m, "refs"), "MASTER_REFS_INVALID").when((~is_kind(m, "refs.sales", "OBJECT") & ~absent(m, "refs.sales")) | (~is_kind(m, "refs.asts", "OBJECT") & ~absent(m, "refs.asts")), "MASTER_REFS_SHAPE_INVALID")
+        .when(~same(m, "refs.sales.id", id_), "MASTER_SALES_ID_MISMATCH").when(~same(m, "refs.sales.provider", F.lit(provider)), "MASTER_SALES_PROVIDER_MISMATCH").when(~is_kind(m, "refs.asts.id", "STRING") & ~absent(m, "refs.asts.id"), "MASTER_AST_ID_NOT_STRING")
+        .when(~is_kind(s, "master", "OBJECT"), "SALES_MASTER_MISSING").when(~same(s, "master.id", id_), "SALES_MASTER_ID_MISMATCH").when(~F.coalesce(value_at(s, "master.visibility").isin(*VISIBILITIES), F.lit(False)), "SALES_VISIBILITY_INVALID")
+        .when(~same(s, "meterNoNormalized", id_), "SALES_IDENTITY_MISMATCH").when(~same(s, "lmPcode", place), "SALES_LM_MISMATCH").when(~same(s, "provider", F.lit(provider)), "SALES_PROVIDER_MISMATCH")
+    )
+    blank = lambda path: F.trim(F.coalesce(value_at(m, path), F.lit(""))) == ""
+    wanted = F.when(blank("refs.asts.id") | blank("refs.sales.id"), "INVISIBLE").otherwise("VISIBLE")
+    return computed(parsed, issue=issue).select(*df.columns, "issue", F.when(F.col("issue").isNull(), wanted).alias("visibility"))
+
+
 def psd_rules(lm: str) -> Rules:
     """Rules for enriched meter records (MeterNumber, ErfCandidates, ErfCandidateCount, HasUsableGps, GpsMatchStatus, Sales, Units, trnBatchIds)."""
     many, gps = F.size(F.coalesce("ErfCandidates", F.array())), F.coalesce("HasUsableGps", F.lit(False))

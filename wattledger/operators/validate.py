@@ -164,6 +164,15 @@ def recency_rules(total: Column, last_month: Column, last_positive: Column, days
     ]
 
 
+def purchase_month_rules(amount: Column, purchase: Column, month: Column, first: Column, last: Column) -> list[tuple[str, Column]]:
+    """A month's row lies in the approved range; a positive amount has a purchase, and a purchase is of the row's month."""
+    return [
+        ("month_not_approved", ~F.coalesce(month.between(first, last), F.lit(False))),
+        ("purchase_missing", (amount > 0) & purchase.isNull()),
+        ("purchase_of_another_month", S.month_of(purchase) != month),
+    ]
+
+
 def history_valid(history: Column) -> Column:
     """Every month of a category history is well formed and holds a valid category."""
     return F.forall(F.map_entries(history), lambda e: e["key"].rlike(r"^\d{4}-(0[1-9]|1[0-2])$") & S.category_valid(e["value"]))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattledger.operators import evidence, execution, upsert
+from wattledger.operators import documents, evidence, execution, upsert
 from wattledger.operators.validate import ContractError
 from wattledger.scratch import keep
 from wattledger.sources import sinks, store
@@ -86,6 +86,34 @@ def refresh_store(spark: SparkSession, path: str, expected: DataFrame, identity:
     return told.join(F.broadcast(found)).withColumns({"written": F.lit(True), "version": F.lit(new.number).cast("long"), "verdict": verdict}).select(*shown)
 
 
+def migrate_store(spark: SparkSession, path: str, document: str, provider: str = "conlog", preflight_only: bool = False) -> DataFrame:
+    """Bring the old master documents (JSON in the column ``document``) of a store to their canonical form. One row of evidence.
+
+    Planned, gated, written in one commit of the changed documents, and verified by planning again: nothing may be left to
+    change, and every other document must be as it was. One conflict stops everything before anything is written.
+    """
+    seen = store.version(spark, path)
+    key = seen.key
+    plan = keep(documents.migration_plan(store.read(spark, seen), document, key, provider), "migration")
+    counts = upsert.gate(plan)
+    told = counts.select("planned", "updated", "unchanged", "conflict")
+    if preflight_only:
+        return told.withColumns({"written": F.lit(False), "left": F.col("updated"), "touched": F.lit(0).cast("long"), "verdict": F.when(F.col("conflict") == 0, "PREFLIGHT_PASSED").otherwise("BLOCKED")})
+    upsert.require_gate(plan)
+    now = store.version(spark, path)
+    stored = store.read(spark, now)
+    todo = plan.where("classification = 'UPDATED'").select(key, "canonical")
+    new = store.commit(seen, stored.join(todo, key).withColumn(document, F.col("canonical")).drop("canonical")) if now.number == seen.number else None
+    if new is None:
+        raise ContractError(f"planned on version {seen.number} of {path}, which is at {now.number}")
+    after = store.read(spark, new)
+    again = documents.migration_plan(after, document, key, provider).agg(F.count_if(F.col("classification") != "UNCHANGED").alias("left"))
+    others = after.join(todo.select(key), key, "left_anti").select(key, F.col(document).alias("_now")).join(stored.select(key, F.col(document).alias("_then")), key, "full_outer").join(todo.select(key), key, "left_anti")
+    touched = others.agg(F.count_if(~F.col("_now").eqNullSafe(F.col("_then"))).alias("touched"))
+    checked = told.join(F.broadcast(again)).join(F.broadcast(touched))
+    return checked.withColumns({"written": F.lit(True), "verdict": F.when((F.col("left") == 0) & (F.col("touched") == 0), "PASS").otherwise("FAIL")}).select("planned", "updated", "unchanged", "conflict", "written", "left", "touched", "verdict")
+
+
 def initial_load(spark: SparkSession, tables: dict[str, tuple[DataFrame, str]], folder: str) -> DataFrame:
     """Load tables, named with their keys, into an empty folder, all or none; a row of evidence for each, and a pointer that names them."""
     if sinks.pointer(spark, f"{folder}/current")[1] is not None:
