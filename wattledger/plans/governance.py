@@ -4,16 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from wattledger import pipelines
 from wattledger.functions import maps as M
 from wattledger.functions import scalars as S
+from wattledger.functions.numbering import global_row_number, waves
 from wattledger.operators import aggregates, documents, evidence, execution, reconcile, records, upsert, validate, wide
+from wattledger.operators.address import address_valid
 from wattledger.plans.changes import _STORE, BEFORE, CUT, _documents, _plan
 from wattledger.plans.registry import query
 from wattledger.plans.tables import FACTS, METERS, MONTHLY, PROVIDER, meters, purchases, table
 from wattledger.streaming import windows
 
+
 def _n() -> Column:
     """A meter's number, by which faults are dealt."""
     return F.col("c_custkey")
@@ -290,8 +294,6 @@ def new_baseline_records(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"""with {METERS} select meter as "meterNo", c_custkey % 10 = 9 as "isNew", row_number() over (order by c_custkey % 10 = 9, case when c_custkey % 10 = 9 then c_custkey end, meter) as place from meters""")
 def baseline_order(spark: SparkSession, folder: str) -> DataFrame:
     """The places of the sorted output are numbered here only to be compared."""
-    from wattledger.functions.numbering import global_row_number
-
     baseline, workbook = _books(spark, folder)
     ordered = records.output_order(workbook.select("meterNo", "sourceRow"), baseline)
     key = F.concat(F.when(F.col("isNew"), "1").otherwise("0"), F.when(F.col("isNew"), F.lpad(F.col("sourceRow").cast("string"), 12, "0")).otherwise(""), "meterNo")
@@ -502,8 +504,6 @@ def closed_months(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"""with {METERS}, k as (select meter, cast((row_number() over (order by meter) + 9) // 10 as bigint) as page from meters) select page, count(*) as n, min(meter) as first, max(meter) as last from k group by page""")
 def key_windows(spark: SparkSession, folder: str) -> DataFrame:
     """All windows of ten keys, from which bounded samples are taken."""
-    from wattledger.functions.numbering import waves
-
     return waves(meters(spark, folder).select("meterNo"), "meterNo", 10, "page").groupBy("page").agg(F.count("*").alias("n"), F.min("meterNo").alias("first"), F.max("meterNo").alias("last"))
 
 
@@ -511,8 +511,6 @@ def key_windows(spark: SparkSession, folder: str) -> DataFrame:
 c as (select lm, v, count(*) as k from b group by all)
 select lm as "lmPcode", cast(sum(k) as bigint) as rows, cast(sum(k - 1) as bigint) as repeated, count_if(v < 1) as invalid, cast(max(v) - count(v) + count_if(v < 1) as bigint) as missing from c group by lm""")
 def sequence_check(spark: SparkSession, folder: str) -> DataFrame:
-    from pyspark.sql.window import Window
-
     numbered = meters(spark, folder).withColumn("n", F.row_number().over(Window.partitionBy("lmPcode").orderBy("c_custkey")))
     broken = numbered.withColumn("n", F.when(F.col("n") == 3, 2).when(F.col("n") == 5, 500).when(F.col("n") == 6, 0).otherwise(F.col("n")))
     return validate.sequence_errors(broken, "n", ["lmPcode"])
@@ -550,8 +548,6 @@ def conflict_checks(spark: SparkSession, folder: str) -> DataFrame:
     """Stored values that are none of an enumeration, and addresses that hold only a part."""
     known = _ids(spark, folder)
     rows = lambda visibility, name: known.select("masterId", "lmPcode", visibility.alias("visibility"), F.struct(F.lit("1").alias("strNo"), name.alias("strName"), F.lit("-").alias("strType")).alias("adr"))
-    from wattledger.operators.address import address_valid
-
     checks = [
         ("visibility invalid", ~F.coalesce(F.col("old.visibility").isin(*documents.VISIBILITIES), F.lit(False))),
         ("address incomplete", ~F.coalesce(address_valid(F.col("old.adr.strNo"), F.col("old.adr.strName"), F.col("old.adr.strType")), F.lit(False))),

@@ -188,10 +188,10 @@ def document_issue_codes(spark: SparkSession, folder: str) -> DataFrame:
     return aggregates.histogram(table(spark, folder, "documents"), F.array_join(profiling.issues(rules), ";").alias("issues"))
 
 
-# forms of single places; what is in the parser holds everywhere
+# fixed values: forms of single places, and address lines with what they must give; what is in the parser holds everywhere
 PLACES = address.Places(
     forms=(("ZIGO SITHOLE", "N,?A?[UV]", "compound_zigo"), ("NDUMENI", "N,?AU", "compound_ndumeni"), ("BENVILLE", "N#N$", "benville_unit_suffix")),
-    not_streets=("CRAIG H", "ROADS IN EXT"), buildings=("WHITE ",), trusted=(("16A", "NDUMENI"),),
+    not_streets=("CRAIG H", "ROADS IN EXT"), buildings=("WHITE ",), trusted=(("16A", "NDUMENI"),), units=("VNW+V",),
 )
 # (line 1, line 2, number, name, type or reason)
 ADDRESSES = (
