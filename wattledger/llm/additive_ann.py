@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import keep
+from .common import forget, keep
 
 BOOKS = 24
 WORDS = 64
@@ -206,8 +206,8 @@ def cosines(pairs: DataFrame) -> DataFrame:
             if not len(batch):
                 continue
             q, v = _flat(batch["q"], np.float64), _flat(batch["v"], np.float64)
-            # scaled by the largest component, so that no square overflows or vanishes
-            q, v = q / np.abs(q).max(1, keepdims=True), v / np.abs(v).max(1, keepdims=True)
+            # scaled by a power of two, which rounds nothing, so that no square overflows or vanishes
+            q, v = (np.ldexp(x, -np.frexp(np.abs(x).max(1, keepdims=True))[1]) for x in (q, v))
             score = (q * v).sum(1) / np.sqrt((q * q).sum(1) * (v * v).sum(1))
             yield pa.RecordBatch.from_arrays([batch["query_id"], batch["vec_id"], batch["key"], pa.array(score)], ["query_id", "vec_id", "key", "score"])
 
@@ -227,7 +227,9 @@ def search(table: DataFrame, every: int = 50, k: int = 5, shortlist: int = SHORT
     books = fit_books(_unit(_flat(sample, np.float64)))
     index = keep(build_index(firsts, books), "codes")
     tasks = max(1, -(-index.count() // CODES_PER_TASK))
-    dealt = index.repartition(max(tasks, spark.sparkContext.defaultParallelism))
+    # written as it is dealt: blocks of queries read it again and again, and nothing is shuffled for them
+    dealt = keep(index.repartition(max(tasks, spark.sparkContext.defaultParallelism)), "dealt-codes")
+    forget(index)
     asked = vectors.where(F.pmod("vec_id", F.lit(every)) == 0)
     blocks = -(-asked.count() // BLOCK)
     scanned = None
