@@ -59,16 +59,24 @@ def with_stream_ids(stream: DataFrame, order: Sequence[str], key: Sequence[str],
     return numbered.select(*stream.columns, F.when(~F.col("_late"), id_).alias("atomicId"), F.when(F.col("_late"), "CLOSED_MONTH").alias("code"))
 
 
-def write_numbered(stream: DataFrame, folder: str, checkpoint: str):
+def write_numbered(stream: DataFrame, folder: str, checkpoint: str, parts: int | None = None):
     """Run the stream over all that is there; ``read_numbered`` gives its two tables.
 
     A micro-batch is one write into a folder of its own, so one that is run again after a failure replaces what it wrote before.
+    ``parts`` is how many the keyed state is split into, by default the session's shuffle partitions; the first run settles it.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         batch.withColumn("closed", F.col("code").isNotNull()).write.mode("overwrite").partitionBy("closed").parquet(f"{folder}/batch={number}")
 
-    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    conf, name = stream.sparkSession.conf, "spark.sql.shuffle.partitions"
+    before = conf.get(name)
+    try:
+        if parts:
+            conf.set(name, str(parts))  # a stream takes its settings when it starts
+        return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    finally:
+        conf.set(name, before)
 
 
 def read_numbered(stream: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
