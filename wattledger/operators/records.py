@@ -102,11 +102,21 @@ def population_accounts(cumulative: DataFrame, previous: DataFrame, current: Dat
         F.count_if(k).alias("cumulative"), F.count_if(p).alias("previous"), F.count_if(c).alias("current"), F.count_if(p & c).alias("unchanged"), F.count_if(c & ~p).alias("additions"), F.count_if(p & ~c).alias("missing"),
         F.count_if(c & ~k).alias("creates"), F.count_if(c & ~k & s).alias("replacementCreates"), F.count_if(c & ~k & ~s).alias("newCreates"), F.count_if(p & ~c & r).alias("replaced"), F.count_if(p & ~c & ~r).alias("removed"), F.count_if(k | c).alias("cumulativeAfter"),
     )
-    e = F.expr
-    return counts.withColumns({
-        "cumulativeHolds": e("cumulative + creates = cumulativeAfter"), "currentHolds": e("unchanged + additions = current"), "previousHolds": e("unchanged + missing = previous"),
-        "createsHold": e("replacementCreates + newCreates = creates"), "outgoingHolds": e("replaced + removed = missing"),
-    })
+    return counts.withColumns({"createsHold" if name == "creates" else f"{name}Holds": F.expr(holds) for name, holds in IDENTITIES.items()})
+
+
+IDENTITIES = {  # between the sizes of snapshots and their parts
+    "cumulative": "cumulative + creates = cumulativeAfter", "current": "unchanged + additions = current", "previous": "unchanged + missing = previous", "creates": "replacementCreates + newCreates = creates", "outgoing": "replaced + removed = missing",
+}
+ACCOUNTS = ("cumulative", "previous", "current", "unchanged", "additions", "missing", "creates", "replacementCreates", "newCreates", "replaced", "removed", "cumulativeAfter")
+
+
+def account_errors(declared: DataFrame, accounts: DataFrame, report: str = "report") -> DataFrame:
+    """(report, code) of reports (report, and the numbers of ``ACCOUNTS`` that they declare): identities that their numbers break, and numbers that aren't those of ``accounts``, the one row that the populations give."""
+    found = F.broadcast(accounts.select(*(F.col(c).alias(f"_{c}") for c in ACCOUNTS)))
+    broken = [F.when(~F.coalesce(F.expr(holds), F.lit(False)), F.lit(f"{name}_IMBALANCE")) for name, holds in IDENTITIES.items()]
+    other = [F.when(~F.col(c).eqNullSafe(F.col(f"_{c}")), F.lit(f"{c}_DIFFERS")) for c in ACCOUNTS]
+    return declared.join(found).select(report, F.explode(F.array_compact(F.array(*broken, *other))).alias("code"))
 
 
 def source_differences(monthly: DataFrame, source: DataFrame, key: str = "meterNo") -> DataFrame:

@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattledger import pipelines
-from wattledger.operators import aggregates, documents, validate
+from wattledger.operators import aggregates, documents, records, validate
+from wattledger.plans.changes import BEFORE, CUT
 from wattledger.plans.governance import _MASTER_DOC, _OLD_FAULTS, _fault, _filled, _ids, _sql_fault
 from wattledger.plans.registry import query
 from wattledger.plans.stores import _FILE, _place
-from wattledger.plans.tables import METERS, MONTHLY, meters, purchases
+from wattledger.plans.tables import FACTS, METERS, MONTHLY, meters, purchases
+from wattledger.scratch import keep
 from wattledger.sources import store
 
 # what is written into the two documents of some meters, and the issue that it makes
@@ -62,3 +64,27 @@ def migrated_store(spark: SparkSession, folder: str) -> DataFrame:
     path = _place(spark, "migrated")
     store.create(old, path, "masterId", rows_per_file=_FILE)
     return pipelines.migrate_store(spark, path, "doc")
+
+
+_SETS = f"""{FACTS}, k as (select distinct meter from facts where ym < '{CUT}'), p as (select distinct meter from facts where ym = '{BEFORE}'), c as (select distinct meter from facts where ym = '{CUT}'),
+part as (select distinct meter from facts where segment = 'MACHINERY'), whole as (select distinct meter from facts),
+n as (select (select count(*) from p) as previous, (select count(*) from c) as current, (select count(*) from p where meter in (select meter from c)) as unchanged, (select count(*) from p where meter in (select meter from c) and meter in (select meter from part)) as in_part,
+  (select count(*) from c where meter not in (select meter from k)) as creates)"""
+
+
+@query(f"""with {_SETS}, x as (select unchanged <> in_part as odd from n)
+select 'short' as report, code from x, (values ('current_IMBALANCE'), ('previous_IMBALANCE'), ('unchanged_DIFFERS')) v(code) where odd
+union all select 'forged', code from x, (values ('creates_IMBALANCE'), ('newCreates_DIFFERS')) v(code)""")
+def declared_accounts(spark: SparkSession, folder: str) -> DataFrame:
+    """Three reports of a month's population against the populations: a sound one, one that counts the unchanged of one segment only, and one with a number changed."""
+    rows = purchases(spark, folder).select("meterNo", "ym", "segment")
+    before, now, known = rows.where(F.col("ym") == BEFORE), rows.where(F.col("ym") == CUT), rows.where(F.col("ym") < CUT)
+    pairs = rows.limit(0).select(F.col("meterNo").alias("predecessor"), F.col("meterNo").alias("successor"))
+    accounts = keep(records.population_accounts(known, before, now, pairs), "accounts")
+    sound = accounts.select(*records.ACCOUNTS)
+    segment = lambda df: df.where("segment = 'MACHINERY'").select("meterNo").distinct()
+    some = segment(before).join(segment(now), "meterNo", "left_semi").agg(F.count("*").alias("some"))
+    short = sound.join(F.broadcast(some)).withColumn("unchanged", F.col("some")).drop("some")
+    forged = sound.withColumn("newCreates", F.col("newCreates") + 1)
+    named = lambda df, name: df.select(F.lit(name).alias("report"), *records.ACCOUNTS)
+    return records.account_errors(named(sound, "sound").unionByName(named(short, "short")).unionByName(named(forged, "forged")), accounts)
