@@ -516,6 +516,19 @@ def test_neighbours_reach_recall_on_many_vectors(spark):
     assert len(found) == 50 and hits >= 0.9 * 250
 
 
+def test_neighbours_of_wide_vectors_that_codes_tell_badly(spark):
+    """Independent components, many of them: estimates rank most of the nearest outside a list of fixed length, so its length is measured."""
+    x = np.random.default_rng(7).normal(size=(5000, 256))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(8)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    asked = np.arange(0, 5000, 50)
+    scores = unit[asked] @ unit.T
+    scores[np.arange(len(asked)), asked] = -2
+    wanted = {(int(q), int(v)) for q, own in zip(asked, np.argsort(-scores, axis=1)[:, :5], strict=True) for v in own}
+    found = {(r["query_id"], r["vec_id"]) for r in additive_ann.search(df, shortlist=64).collect()}
+    assert len(found & wanted) >= 0.97 * len(wanted)
+
+
 def test_neighbours_among_more_near_copies_than_the_shortlist(spark):
     """Vectors so close that rounding decides among their scores: exact copies and true neighbours aren't lost among them."""
     rng = np.random.default_rng(5)

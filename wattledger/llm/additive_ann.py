@@ -8,6 +8,10 @@ table entries over its norm, an estimate of the cosine. The best ``SHORTLIST`` o
 their exact cosine, and with them all whose score is within ``TIE`` of the last, which rounding alone tells apart: among
 more near copies than that the shortlist grows. The class of the query itself is always ranked.
 
+How far estimates mislead depends on the rows: in dense clusters many vectors lie nearer to each other than codes can tell.
+So the shortlist's length is measured: up to ``PROBES`` queries are compared with all vectors, and the list is made so
+long that it holds ``FOUND`` of their truly nearest; ``SHORTLIST`` is the least.
+
 Queries are taken in blocks of about ``BLOCK`` vectors, each of which goes to the tasks, runs against all codes and is
 released before the next. The scan of all codes for each query is the method's cost: a byte and an addition for a book.
 Equal vectors are one class: only its first is encoded, and only as many copies as can be returned are looked at, those
@@ -35,7 +39,10 @@ BOOKS = 24
 WORDS = 64
 BEAM = 6
 MOST_SAMPLE = 16_384
-SHORTLIST = 256  # and all that ties with its last
+SHORTLIST = 256  # at least, and all that ties with its last
+PROBES = 512  # queries that the list's length is measured on
+FOUND = 0.99  # of their nearest must be in the list
+HELD = 1 << 20  # scores that a task holds for a block of queries
 TIE = 4e-6  # sums of BOOKS float32 products differ by less than this for the same cosine
 BLOCK = 4096
 CODES_PER_TASK = 1 << 15
@@ -179,6 +186,65 @@ def scan(index: DataFrame, queries: list[tuple[int, list[float]]], books: np.nda
     return out
 
 
+def nearest(firsts: DataFrame, probes: list[tuple[int, list[float]]], k: int) -> DataFrame:
+    """(query_id, vec_id): the ``k`` vectors of the largest cosine for each probe, itself left out, by comparing it with all."""
+    ids, unit = np.array([q for q, _ in probes], np.int64), _unit(np.array([v for _, v in probes], np.float64))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best, names = np.zeros((len(ids), 0)), np.zeros((len(ids), 0), np.int64)
+        for batch in batches:
+            for i in range(0, len(batch), 2048):
+                part = batch.slice(i, 2048)
+                own = np.asarray(part["vec_id"], np.int64)
+                scores = unit @ _unit(_flat(part["v"], np.float64)).T
+                scores[ids[:, None] == own] = -np.inf
+                best, names = np.concatenate([best, scores], 1), np.concatenate([names, np.broadcast_to(own, scores.shape)], 1)
+                if best.shape[1] > k:
+                    at = np.argpartition(-best, k - 1, axis=1)[:, :k]
+                    best, names = np.take_along_axis(best, at, 1), np.take_along_axis(names, at, 1)
+        if best.shape[1]:
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, best.shape[1])), pa.array(names.ravel()), pa.array(best.ravel())], ["query_id", "vec_id", "score"])
+
+    found = firsts.select("vec_id", "v").mapInArrow(run, "query_id long, vec_id long, score double").where(F.col("score") > -2)
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k).select("query_id", "vec_id")
+
+
+def _estimates(unit: np.ndarray, codes: np.ndarray, norms: np.ndarray, books: np.ndarray) -> np.ndarray:
+    """The scores of all codes for all queries."""
+    tables = np.einsum("qd,mwd->mqw", unit, books, optimize=True).astype(np.float32)
+    scores = np.take(tables[0], codes[:, 0], axis=1)
+    for m in range(1, len(books)):
+        scores += np.take(tables[m], codes[:, m], axis=1)
+    return scores / norms
+
+
+def measured_shortlist(index: DataFrame, firsts: DataFrame, probes: list[tuple[int, list[float]]], books: np.ndarray, k: int, share: float = FOUND) -> int:
+    """How long the list must be so that it holds ``share`` of the probes' truly nearest vectors."""
+    true = nearest(firsts, probes, k)
+    rows = index.join(F.broadcast(true), "vec_id").select("query_id", "codes", "norm").collect()  # k rows for each probe
+    if not rows:
+        return 0
+    place = {q: i for i, (q, _) in enumerate(probes)}
+    unit = _unit(np.array([v for _, v in probes], np.float64)).astype(np.float32)
+    least = [_estimates(unit[place[r["query_id"]], None], np.frombuffer(r["codes"], np.uint8)[None], np.float32(r["norm"]), books)[0, 0] for r in rows]
+    asked = np.array([place[r["query_id"]] for r in rows])
+    least = np.array(least, np.float32) - np.float32(TIE)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = np.zeros(len(asked), np.int64)
+        for batch in batches:
+            for i in range(0, len(batch), 2048):
+                part = batch.slice(i, 2048)
+                codes = np.frombuffer(b"".join(part["codes"].to_pylist()), np.uint8).reshape(len(part), -1)
+                scores = np.sort(_estimates(unit, codes, np.asarray(part["norm"], np.float32), books), axis=1)
+                before += [len(part) - np.searchsorted(scores[q], x, "left") for q, x in zip(asked, least, strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(asked))), pa.array(before)], ["pair", "before"])
+
+    counts = index.mapInArrow(run, "pair long, before long").groupBy("pair").agg(F.sum("before").alias("n")).toPandas()["n"].sort_values().to_numpy()
+    return int(counts[min(len(counts) - 1, int(np.ceil(share * len(counts))) - 1)])
+
+
 def _lists(ids: np.ndarray, q: np.ndarray, names: np.ndarray, scores: np.ndarray) -> Iterator[pa.RecordBatch]:
     order = np.argsort(q, kind="stable")
     bounds = np.searchsorted(q[order], np.arange(len(ids) + 1))
@@ -214,8 +280,11 @@ def cosines(pairs: DataFrame) -> DataFrame:
     return pairs.select("query_id", "vec_id", "key", "q", "v").mapInArrow(run, "query_id long, vec_id long, key string, score double")
 
 
-def search(table: DataFrame, every: int = 50, k: int = 5, shortlist: int = SHORTLIST) -> DataFrame:
-    """(query_id, rank, vec_id, score): the ``k`` nearest found of each vector whose id is divisible by ``every``."""
+def search(table: DataFrame, every: int = 50, k: int = 5, shortlist: int = SHORTLIST, share: float = FOUND) -> DataFrame:
+    """(query_id, rank, vec_id, score): the ``k`` nearest found of each vector whose id is divisible by ``every``.
+
+    The list of each query is ``shortlist`` long at least, and as long as ``share`` of the nearest asks for; a share of 0 measures nothing.
+    """
     spark = table.sparkSession
     vectors = keep(valid_vectors(table), "vectors")
     held = keep(_classes(vectors, k + 1), "vector-classes")
@@ -231,7 +300,11 @@ def search(table: DataFrame, every: int = 50, k: int = 5, shortlist: int = SHORT
     dealt = keep(index.repartition(max(tasks, spark.sparkContext.defaultParallelism)), "dealt-codes")
     forget(index)
     asked = vectors.where(F.pmod("vec_id", F.lit(every)) == 0)
-    blocks = -(-asked.count() // BLOCK)
+    if share:
+        probes = asked.orderBy(F.xxhash64("vec_id"), "vec_id").limit(PROBES).collect()
+        if probes:
+            shortlist = max(shortlist, measured_shortlist(dealt, firsts, [(r["vec_id"], r["v"]) for r in probes], books, k, share))
+    blocks = -(-asked.count() // max(64, min(BLOCK, HELD // shortlist)))
     scanned = None
     for block in range(blocks):
         # one block of queries is on the driver at a time
