@@ -51,7 +51,7 @@ def meter_no(c: ColumnLike) -> Column:
 def raw_meter_no(c: ColumnLike) -> Column:
     """``meter_no`` that also repairs the ``.0`` which spreadsheets put behind a number."""
     text = _c(c).cast("string")
-    return F.when(text.rlike(r"^[A-Z0-9]+\z"), text).otherwise(F.regexp_replace(meter_no(c), r"^(\d+)\.0$", "$1"))
+    return F.when(text.rlike(r"^[A-Z0-9]*\z"), text).otherwise(F.regexp_replace(meter_no(c), r"^(\d+)\.0$", "$1"))
 
 
 def decimal_text(c: ColumnLike) -> Column:
@@ -72,9 +72,12 @@ def money_cents(c: ColumnLike, drop_every_r: bool = True) -> Column:
         text = F.regexp_replace(text, "^[Rr]", "")
 
     plain = F.when(text.contains("."), F.translate(text, ",", "")).otherwise(F.translate(text, ",", "."))
-    # what is no number leaves nothing to cast; most amounts are plain and need none of this
-    chain = F.round(F.regexp_extract(plain, _DECIMAL, 0).try_cast("decimal(30,10)") * 100, 0).try_cast("bigint")
-    return F.when(given.rlike(r"^-?[0-9]{1,15}(?:\.[0-9]{1,2})?\z"), (given.try_cast("decimal(18,2)") * 100).try_cast("bigint")).otherwise(chain)
+    # what is no number isn't cast, as each failed cast makes an exception; most amounts are plain and need none of this
+    chain = F.round(F.nullif(F.regexp_extract(plain, _DECIMAL, 0), F.lit("")).try_cast("decimal(30,10)") * 100, 0).try_cast("bigint")
+    sign = r"[Rr \u00a0]*" if drop_every_r else ""
+    bare = F.regexp_extract(given, rf"^{sign}(-?[0-9]{{1,15}}(?:[.,][0-9]{{1,2}})?)\z", 1)
+    dotted = F.when(bare.contains(","), F.translate(bare, ",", ".")).otherwise(bare)
+    return F.when(bare != "", (dotted.try_cast("decimal(18,2)") * 100).try_cast("bigint")).otherwise(chain)
 
 
 def cents(c: ColumnLike) -> Column:
@@ -112,7 +115,9 @@ def strict_units(c: ColumnLike) -> Column:
 
 def day_first_time(c: ColumnLike) -> Column:
     """``d/m/Y H:M`` with or without seconds, one or two digits each; null for dates that don't exist."""
-    return F.try_to_timestamp(clean_text(c), F.lit("d/M/yyyy H:m[:s]"))
+    text = clean_text(c)
+    # what lacks the signs of the form isn't parsed, as each failure makes an exception
+    return F.try_to_timestamp(F.when(text.rlike("/[^/]+/[^:]+:"), text), F.lit("d/M/yyyy H:m[:s]"))
 
 
 def zoned_time(c: ColumnLike) -> Column:

@@ -44,8 +44,11 @@ def computed(df: DataFrame, **columns: Column) -> DataFrame:
     """The rows with more columns, each evaluated once.
 
     A filter on them would else be pushed below, and every expression be evaluated again in it; a generator stands between.
+    The first of them stands in a lambda, which keeps their projection out of a generated method too large to be compiled.
     """
     hidden = {f"_{name}": c for name, c in columns.items()}
+    first = next(iter(hidden))
+    hidden[first] = F.get(F.transform(F.array(hidden[first]), lambda x: x), F.lit(0))
     return df.withColumns(hidden).select(*df.columns, F.inline(F.array(F.struct(*(F.col(h).alias(name) for h, name in zip(hidden, columns, strict=True))))))
 
 
