@@ -10,6 +10,7 @@ from wattledger.functions import scalars as S
 from wattledger.operators import aggregates, linkage, population, upsert, wide
 from wattledger.plans.registry import query
 from wattledger.plans.tables import FACTS, METERS, MONTHLY, PROVIDER, meter_text, meters, purchases, table
+from wattledger.scratch import keep
 
 CUT = "1998-06"
 BEFORE = "1998-05"
@@ -201,19 +202,22 @@ plan as (select *, case when not there then 'CREATED' when reason is not null th
 def _documents(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """(expected, existing): (meterNo, lmPcode, provider, lastMonth, monthlyTotalsC)."""
     rows = purchases(spark, folder)
+    changed = (F.col("segment") == "MACHINERY") & (F.col("l_returnflag") == "R") & (F.col("l_discount") > 0.08)
+    # one pass over the purchases for both states
+    sums = rows.groupBy("meterNo", "lmPcode", "balanceC", "ym").agg(F.count_if(~changed).alias("_kept"), F.sum(F.when(~changed, F.col("amountTotalC"))).cast("bigint").alias("_new"), F.sum("amountTotalC").cast("bigint").alias("_old"))
+    months = keep(sums, "months")
 
-    def documents(part: DataFrame, place) -> DataFrame:
-        months = part.groupBy("meterNo", "lmPcode", "balanceC", "ym").agg(F.sum("amountTotalC").cast("bigint").alias("amountTotalC"))
-        grouped = months.groupBy("meterNo", "lmPcode", "balanceC").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("ym", "amountTotalC")))).alias("monthlyTotalsC"), F.max("ym").alias("lastMonth"))
+    def documents(part: DataFrame, amount: str, place) -> DataFrame:
+        grouped = part.groupBy("meterNo", "lmPcode", "balanceC").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("ym", F.col(amount).alias("amountTotalC"))))).alias("monthlyTotalsC"), F.max("ym").alias("lastMonth"))
         return grouped.select("meterNo", place.alias("lmPcode"), F.lit(PROVIDER).alias("provider"), "lastMonth", "monthlyTotalsC")
 
-    changed = (F.col("segment") == "MACHINERY") & (F.col("l_returnflag") == "R") & (F.col("l_discount") > 0.08)
-    expected = documents(rows.where(~changed), F.when(F.col("balanceC") < -90000, "MOVED").otherwise(F.col("lmPcode")))
-    return expected, documents(rows.where(F.col("ym") < CUT), F.col("lmPcode"))
+    expected = documents(months.where("_kept > 0"), "_new", F.when(F.col("balanceC") < -90000, "MOVED").otherwise(F.col("lmPcode")))
+    return expected, documents(months.where(F.col("ym") < CUT), "_old", F.col("lmPcode"))
 
 
-def _plan(spark: SparkSession, folder: str) -> DataFrame:
-    return upsert.classify(*_documents(spark, folder), "meterNo", ["lmPcode", "provider"], ["lastMonth"], ["monthlyTotalsC"])
+def _plan(spark: SparkSession, folder: str, sides: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """What has to happen to each document; ``sides`` are the two states, where the caller has them already."""
+    return upsert.classify(*(sides or _documents(spark, folder)), "meterNo", ["lmPcode", "provider"], ["lastMonth"], ["monthlyTotalsC"])
 
 
 @query(f"""with {_STORE} select meter as "meterNo", state as classification, reason from plan""")

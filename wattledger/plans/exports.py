@@ -11,7 +11,7 @@ from wattledger.plans.changes import _STORE, _documents
 from wattledger.plans.registry import query
 from wattledger.plans.stores import _MAPS, _months, _place
 from wattledger.plans.tables import FACTS, meter_text, purchases, table
-from wattledger.scratch import keep
+from wattledger.scratch import keep, spread
 from wattledger.sources.delimited import read_csv
 
 
@@ -20,13 +20,15 @@ select meter as "masterId", '{{"at":{{"__type":"timestamp","value":"' || strftim
   || ',"n":' || n || ',"name":{{"__type":"bytes","value":"' || base64(encode(name)) || '"}},"ref":{{"path":"masters/' || meter || '","__type":"reference"}},"share":{{"__type":"double","value":"' || cast((c_custkey % 8 + 1) / 4.0 as double) || '"}},"void":null}}' as document, true as same from m""")
 def typed_export(spark: SparkSession, folder: str) -> DataFrame:
     """Documents of times, bytes, lists of lists, references and numbers of two kinds as tagged JSON, and whether reading it back gives the same variant."""
-    rows = purchases(spark, folder).groupBy("meterNo", "c_custkey", "name").agg(F.max("_t").alias("at"), F.min("_t").cast("date").alias("day"), F.count("*").alias("n"), F.array_sort(F.collect_set(F.array("y", "m"))).alias("months"))
+    # by month first: sets of arrays would be gathered from all purchases, by sorting them
+    by_month = purchases(spark, folder).groupBy("meterNo", "c_custkey", "name", "y", "m").agg(F.max("_t").alias("at"), F.min("_t").alias("day"), F.count("*").alias("n"))
+    rows = by_month.groupBy("meterNo", "c_custkey", "name").agg(F.max("at").alias("at"), F.min("day").cast("date").alias("day"), F.sum("n").alias("n"), F.array_sort(F.collect_list(F.array("y", "m"))).alias("months"))
     inner = F.struct(F.lit("own").alias(trees.TAG), F.col("at").cast("timestamp_ntz").alias("local"))
     reference = F.create_map(F.lit(trees.REFERENCE), F.concat(F.lit("masters/"), "meterNo"))
     fields = F.struct("at", "day", inner.alias("inner"), "months", "n", F.col("name").cast("binary").alias("name"), reference.alias("ref"), ((F.col("c_custkey") % 8 + 1) / F.lit(4.0)).cast("double").alias("share"), F.lit(None).cast("string").alias("void"))
     given = keep(rows.select(F.col("meterNo").alias("masterId"), F.to_variant_object(fields).alias("v")), "given")
-    told = keep(trees.unfold(given, "v").select("masterId", "v", trees.written(trees.typed(F.col("_nodes"))).alias("document")), "told")
-    back = trees.from_typed(told, "document", "masterId").withColumnRenamed("document", "back")
+    told = keep(trees.unfold(spread(given), "v").select("masterId", "v", trees.written(trees.typed(F.col("_nodes"))).alias("document")), "told")
+    back = trees.from_typed(spread(told), "document", "masterId").withColumnRenamed("document", "back")
     return told.join(back, "masterId").select("masterId", "document", M.same_variant(F.col("v"), F.col("back")).alias("same"))
 
 

@@ -15,6 +15,7 @@ from wattledger.operators.address import address_valid
 from wattledger.plans.changes import _STORE, BEFORE, CUT, _documents, _plan
 from wattledger.plans.registry import query
 from wattledger.plans.tables import FACTS, METERS, MONTHLY, PROVIDER, meters, purchases, table
+from wattledger.scratch import keep, spread
 from wattledger.streaming import windows
 
 
@@ -24,7 +25,7 @@ def _n() -> Column:
 
 
 def _ids(spark: SparkSession, folder: str, key: str = "masterId") -> DataFrame:
-    return meters(spark, folder).withColumnRenamed("meterNo", key)
+    return spread(meters(spark, folder).withColumnRenamed("meterNo", key))
 
 
 def _fault(cases: dict[int, Column | str], otherwise: Column | str, by: int = 40) -> Column:
@@ -48,8 +49,10 @@ w as (select *, cast((row_number() over (order by meter) + {_SIZE - 1}) // {_SIZ
 
 
 def _wave_plan(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    _, existing = _documents(spark, folder)
-    plan = _plan(spark, folder).where("classification <> 'CONFLICT'").join(existing.select("meterNo", F.col("lastMonth").alias("token")), "meterNo", "left")
+    sides = _documents(spark, folder)
+    existing = sides[1].select("meterNo", "lastMonth")
+    # read twice, by the gate and by the numbering
+    plan = keep(_plan(spark, folder, sides).select("meterNo", "classification").where("classification <> 'CONFLICT'").join(existing.select("meterNo", F.col("lastMonth").alias("token")), "meterNo", "left"), "plan")
     moved = F.col("meterNo").cast("bigint") % _MOVED == _MOVED - 1
     return plan, existing.select("meterNo", F.when(moved, "moved").otherwise(F.col("lastMonth")).alias("token"))
 
@@ -140,7 +143,7 @@ def geometry_paths(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"""with {METERS} select meter as "masterId", {_sql_fault({0: "'{\"a\":{}}'", 1: "'{\"list\":[{\"b\":1},{\"c\":{\"d\":{\"e\":{}}}}]}'", 2: f"'{_GEO[2]}'"}, "'no json'", 4)} as doc, {_sql_fault({2: "'a[]'"}, "''", 4)} as nested from meters""")
 def geometry_stripped(spark: SparkSession, folder: str) -> DataFrame:
     """Documents without geometry, and where arrays hold arrays once it is gone."""
-    clean = documents.without_keys(_geo(spark, folder), "doc")
+    clean = keep(documents.without_keys(keep(_geo(spark, folder), "given"), "doc"), "clean")
     nested = documents.nested_arrays(clean, "doc", "masterId").groupBy("masterId").agg(F.array_join(F.array_sort(F.collect_set("path")), "|").alias("nested"))
     return clean.join(nested, "masterId", "left").na.fill("", ["nested"])
 

@@ -35,11 +35,11 @@ two as (select coalesce(p.meter, one.meter) as meter, coalesce(p.lm, one.lm) as
 select meter as "meterNo", lm as "lmPcode", case when cast(meter as bigint) % 17 = 0 then 'closed' else last end as "lastMonth", months, cast(case when cast(meter as bigint) % 17 = 0 then 4 else token end as bigint) as token from two where cast(meter as bigint) % 13 <> 0""")
 def store_after_commits(spark: SparkSession, folder: str) -> DataFrame:
     """A store after three commits: what a plan writes, some deletions, and one field of some documents; with the token of each row."""
-    expected, existing = _documents(spark, folder)
+    expected, existing = sides = _documents(spark, folder)
     path = _place(spark, "store")
     number = F.col("meterNo").cast("bigint")
     first = store.create(existing, path, "meterNo", rows_per_file=_FILE)
-    written = _plan(spark, folder).where("classification in ('CREATED', 'UPDATED')").select("meterNo")
+    written = _plan(spark, folder, sides).where("classification in ('CREATED', 'UPDATED')").select("meterNo")
     second = store.commit(first, expected.join(written, "meterNo", "left_semi"))
     third = store.commit(second, deleted=store.read(spark, second, columns=["meterNo"]).where(number % 13 == 0))
     last = store.commit(third, store.read(spark, third).where(number % 17 == 0).withColumn("lastMonth", F.lit("closed")))
@@ -83,10 +83,10 @@ def anchored_windows(spark: SparkSession, folder: str) -> DataFrame:
 select count(*) as planned, count_if(state = 'CREATED') as created, count_if(state = 'UPDATED') as updated, count_if(state = 'UNCHANGED') as unchanged, true as written, cast(2 as bigint) as version, cast(0 as bigint) as differing, cast(0 as bigint) as preserved, 'PASS' as verdict from p""")
 def refreshed_store(spark: SparkSession, folder: str) -> DataFrame:
     """A month's refresh over a store, without the documents that are in conflict: planned, gated, rehearsed, written as patches, and verified with histories."""
-    expected, existing = _documents(spark, folder)
+    expected, existing = sides = _documents(spark, folder)
     path = _place(spark, "refreshed")
     store.create(existing, path, "meterNo", rows_per_file=_FILE)
-    good = expected.join(_plan(spark, folder).where("classification <> 'CONFLICT'").select("meterNo"), "meterNo", "left_semi")
+    good = expected.join(_plan(spark, folder, sides).where("classification <> 'CONFLICT'").select("meterNo"), "meterNo", "left_semi")
     stored = existing.select("meterNo", F.col("lmPcode").alias("_lm"))
     # a municipality is an identity: documents without a conflict keep theirs
     return pipelines.refresh_store(spark, path, good.join(stored, "meterNo", "left").withColumn("lmPcode", F.coalesce("_lm", "lmPcode")).drop("_lm"), ["lmPcode", "provider"], ["lastMonth"], ["monthlyTotalsC"])

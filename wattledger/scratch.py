@@ -23,3 +23,8 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     path = f"{scratch_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The rows dealt evenly over tasks; a small file is one task otherwise, however long the work on each of its rows takes."""
+    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism)
