@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from wattledger.operators import facts, validate
 from wattledger.sources import delimited
+from wattledger.streaming import duplicates
 from wattledger.streaming.duplicates import read_numbered, with_stream_ids, write_numbered
 
 SCHEMA = "lm string, ym string, amount long, row int"
@@ -28,6 +29,20 @@ def test_numbers_go_on_after_a_restart(spark, tmp_path):
     assert {r["row"] for r in late} == {r[3] for r in rows if r[1] == "2024-01"} and {r["code"] for r in late} == {"CLOSED_MONTH"}
 
 
+def test_numbers_go_on_over_many_micro_batches(spark, tmp_path, monkeypatch):
+    """Counts of all keys are written together now and then; rows stay in Spark, so that no key costs a call of Python."""
+    monkeypatch.setattr(duplicates, "EVERY", 3)
+    source, out, state = (f"file://{tmp_path}/{n}" for n in ("in", "out", "state"))
+    rows = [("A", "2024-02", i % 3, i) for i in range(40)]
+    spark.createDataFrame(rows, SCHEMA).repartition(8).write.parquet(source)
+    stream = with_stream_ids(spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(source), ["row"], KEY)
+    write_numbered(stream, out, state, 2).awaitTermination()
+    found = [r[0] for r in read_numbered(stream, out)[0].select("atomicId").collect()]
+    wanted = facts.with_atomic_ids(spark.createDataFrame(rows, SCHEMA), ["row"], tuple(KEY))
+    assert sorted(found) == sorted(r[0] for r in wanted.select("atomicId").collect())
+    assert "MapInPandas" not in (plan := stream._jdf.queryExecution().toString()) and "State" not in plan
+
+
 def test_each_file_is_read_in_its_encoding(spark, tmp_path):
     folder = tmp_path / "csv"
     folder.mkdir()

@@ -28,7 +28,7 @@ def stream_numbers(spark: SparkSession, folder: str) -> DataFrame:
         part.write.mode("append").parquet(arriving)
         before = last
         stream = with_stream_ids(spark.readStream.schema(rows.schema).parquet(arriving), ["ym", "txAtMs", "amountTotalC", "costC"], ["lmPcode", "meterNo", "y"], _CLOSED)
-        write_numbered(stream, out, state, 8).awaitTermination()
+        write_numbered(stream, out, state, 4 * spark.sparkContext.defaultParallelism).awaitTermination()
     facts, conflicts = read_numbered(stream, out)
     none = F.lit(None).cast("string")
     shown = lambda df, id_, code: df.select(id_.alias("id"), "meterNo", "txAtISO", "amountTotalC", code.alias("code"))

@@ -1,73 +1,64 @@
 """Numbers for equal purchases that arrive over time, and purchases of closed months set aside.
 
-A batch numbers the occurrences of a business key with a window over all its rows. Here rows arrive in micro-batches: the
-count of each key is keyed state, which Spark keeps in its state store and restores after a restart, so that numbers go on
-where they stopped and none is given twice.
+A batch numbers the occurrences of a business key with a window over all its rows. Here rows arrive in micro-batches: each
+numbers its own rows by a window and goes on from how often a key was seen before. These counts are a table beside the
+checkpoint, a part for each micro-batch, which is joined and never enters Python; a micro-batch reads the parts before its own
+and replaces its own, so that numbers go on after a restart and none is given twice.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.window import Window
 
 from wattledger.functions import scalars as S
+from wattledger.sources.sinks import exists
 
-PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-class _Occurrences(StatefulProcessor):
-    """Each row of a key with how many times the key has been seen, this row included, in the order of ``order``."""
-
-    def __init__(self, order: Sequence[str]):
-        self.order = list(order)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", "n long")
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        n = self.seen.get()[0] if self.seen.exists() else 0
-        # the rows of one key in one micro-batch: as often as one purchase repeats in it
-        for row in sorted(rows, key=lambda r: tuple((r[c] is not None, r[c]) for c in self.order)):
-            n += 1
-            yield Row(**row.asDict(), _nth=n)
-        self.seen.update((n,))
-
-    def close(self) -> None:
-        pass
+EVERY = 16  # each so many micro-batches a part holds the counts of all keys, so that few parts are read
+_SEEN = "_hash string, _seen long"
 
 
 def with_stream_ids(stream: DataFrame, order: Sequence[str], key: Sequence[str], closed_until: str | None = None) -> DataFrame:
-    """A stream of purchases with ``atomicId``, as a batch gives it over all rows in the order of arrival, and ``code``.
+    """A stream of purchases with the digest of their business key, their place among equal ones, and ``code``, for ``write_numbered``.
 
     Rows of one micro-batch are numbered in the order of the columns ``order``. A purchase of a month up to ``closed_until`` has
     the code CLOSED_MONTH, no id, and takes no number.
     """
-    spark = stream.sparkSession
-    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != PROVIDER:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)  # keyed values need it
-    late = F.col("ym") <= closed_until if closed_until else F.lit(False)
-    hashed = stream.withColumn("_hash", S.content_hash(*key)).withColumn("_late", F.coalesce(late, F.lit(False)))
-    # closed months have keys of their own, so that they leave the counts of open ones alone
-    keyed = hashed.withColumn("_key", F.concat(F.when(F.col("_late"), "late:").otherwise(""), "_hash"))
-    shape = T.StructType([*keyed.schema.fields, T.StructField("_nth", T.LongType())])
-    numbered = keyed.groupBy("_key").transformWithState(_Occurrences(order), shape, "append", "None")
-    id_: Column = F.when(F.col("_nth") == 1, F.col("_hash")).otherwise(F.concat("_hash", F.lit("__"), F.col("_nth").cast("string")))
-    return numbered.select(*stream.columns, F.when(~F.col("_late"), id_).alias("atomicId"), F.when(F.col("_late"), "CLOSED_MONTH").alias("code"))
+    late = F.coalesce(F.col("ym") <= closed_until, F.lit(False)) if closed_until else F.lit(False)
+    return stream.select("*", S.content_hash(*key).alias("_hash"), F.struct(*order).alias("_at"), F.when(late, "CLOSED_MONTH").alias("code"))
+
+
+def _seen(spark: SparkSession, folder: str, number: int) -> DataFrame:
+    """(_hash, _seen): how often each key was seen before a micro-batch."""
+    parts = [f"{folder}/batch={b}" for b in range(max(0, number // EVERY * EVERY - 1), number) if exists(spark, f"{folder}/batch={b}")]
+    rows = spark.read.schema(_SEEN).parquet(*parts) if parts else spark.createDataFrame([], _SEEN)
+    return rows.groupBy("_hash").agg(F.max("_seen").alias("_seen")) if len(parts) > 1 else rows
 
 
 def write_numbered(stream: DataFrame, folder: str, checkpoint: str, parts: int | None = None):
     """Run the stream over all that is there; ``read_numbered`` gives its two tables.
 
     A micro-batch is one write into a folder of its own, so one that is run again after a failure replaces what it wrote before.
-    ``parts`` is how many the keyed state is split into, by default the session's shuffle partitions; the first run settles it.
+    ``parts`` is how many tasks number the rows, by default the session's shuffle partitions.
     """
+    counts = f"{checkpoint}/seen"
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.withColumn("closed", F.col("code").isNotNull()).write.mode("overwrite").partitionBy("closed").parquet(f"{folder}/batch={number}")
+        spark, place = batch.sparkSession, f"{folder}/batch={number}"
+        before = _seen(spark, counts, number)
+        # closed months have keys of their own, so that they leave the counts of open ones alone
+        own = Window.partitionBy("_hash", "code").orderBy(F.col("_at").asc_nulls_first())
+        met = batch.withColumn("_in", F.row_number().over(own)).join(before, "_hash", "left")
+        numbered = met.withColumn("_nth", F.when(F.col("code").isNull(), F.col("_in") + F.coalesce("_seen", F.lit(0).cast("long")))).drop("_at", "_in", "_seen")
+        numbered.withColumn("closed", F.col("code").isNotNull()).write.mode("overwrite").partitionBy("closed").parquet(place)
+        told = spark.read.schema("_hash string, _nth long").parquet(place).where("_nth is not null").groupBy("_hash").agg(F.max("_nth").alias("_seen"))
+        if number % EVERY == EVERY - 1:
+            told = before.unionByName(told).groupBy("_hash").agg(F.max("_seen").alias("_seen"))
+        told.write.mode("overwrite").parquet(f"{counts}/batch={number}")
 
     conf, name = stream.sparkSession.conf, "spark.sql.shuffle.partitions"
     before = conf.get(name)
@@ -81,6 +72,9 @@ def write_numbered(stream: DataFrame, folder: str, checkpoint: str, parts: int |
 
 def read_numbered(stream: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
     """(facts, conflicts): the numbered purchases, and those of closed months with their code, of a stream that was written there."""
-    schema = T.StructType([*stream.schema.fields, T.StructField("batch", T.IntegerType()), T.StructField("closed", T.BooleanType())])
+    plain = [f for f in stream.schema.fields if f.name not in ("_at", "_hash", "code")]
+    schema = T.StructType([*plain, *(T.StructField(n, k) for n, k in (("_hash", T.StringType()), ("code", T.StringType()), ("_nth", T.LongType()), ("batch", T.IntegerType()), ("closed", T.BooleanType())))])
     rows = stream.sparkSession.read.schema(schema).parquet(folder)
-    return rows.where(~F.col("closed")).drop("batch", "closed", "code"), rows.where("closed").drop("batch", "closed", "atomicId")
+    names = [f.name for f in plain]
+    id_ = F.when(F.col("_nth") == 1, F.col("_hash")).otherwise(F.concat("_hash", F.lit("__"), F.col("_nth").cast("string")))
+    return rows.where(~F.col("closed")).select(*names, id_.alias("atomicId")), rows.where("closed").select(*names, "code")
