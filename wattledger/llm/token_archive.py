@@ -35,6 +35,8 @@ SAMPLE = 256  # one select sample for so many set bits
 SHARD_BYTES = 16 << 20  # of ids, about
 MOST_RANGES = 1 << 16  # of ids, each sorted in one task
 TASK_BYTES = 64 << 20  # what a task reads back, about
+SLICE_BYTES = 1 << 20  # of text that is encoded at a time, about
+PIECES = 250_000  # distinct pieces of text whose ids a Python worker remembers
 
 
 class EliasFano:
@@ -130,7 +132,7 @@ def _encoder(path: str) -> SegmentEncoder:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        _encoders[path] = SegmentEncoder(lambda text: tokenizer.encode(text, add_special_tokens=False).ids, " \x01 ", tuple(t.content for t in tokenizer.get_added_tokens_decoder().values()))
+        _encoders[path] = SegmentEncoder(lambda text: tokenizer.encode(text, add_special_tokens=False).ids, " \x01 ", tuple(t.content for t in tokenizer.get_added_tokens_decoder().values()), PIECES)
     return _encoders[path]
 
 
@@ -169,7 +171,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int, width: i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer_path)
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", SLICE_BYTES):
                 ids, bounds = encode_batch(part["text"], encoder, end_id)
                 if width == 2 and len(ids) and ids.max() >= 1 << 16:
                     raise ValueError("an id needs more than 16 bits: write with width=4")
