@@ -60,6 +60,40 @@ def test_sharding_keeps_all_rows(spark, odd):
     assert sharding.read(spark, empty).count() == 0
 
 
+def test_pieces_met_again_stay_in_a_full_cache():
+    import pyarrow as pa
+
+    from wattledger.llm.common import SegmentEncoder
+
+    asked = []
+    encoder = SegmentEncoder(lambda text: asked.append(text) or [ord(c) for c in text], "|", most=10, joined=4)
+    want = lambda words: [ord(c) for w in words for c in w]
+    for i in range(40):
+        words = ["ab", "c", f"once{i}", f"never{i}", "ab"]
+        ids, counts = encoder(pa.array(words))
+        assert ids.tolist() == want(words) and counts.tolist() == [len(w) for w in words] and len(encoder.where) <= 10
+    assert sum("ab" in text for text in asked) == 1
+    for i in range(3):  # more of them than half of the cache: it is emptied
+        words = [f"w{j}" for j in range(8)]
+        assert encoder(pa.array(words))[0].tolist() == want(words)
+    assert encoder(pa.array(["x1", "x2", "x3"]))[0].tolist() == want(["x1", "x2", "x3"]) and len(encoder.where) <= 10
+
+
+def test_white_space_makes_no_piece_of_its_own():
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = ["one two", "one\ttwo\n", "\r\none\ftwo  one", "one\vtwo\u00a0one\n\u0301x", "\n<|endoftext|>\tone", None]
+    encoder = token_archive._encoder(path)
+    encoder._clear()
+    encoded, bounds = token_archive.encode_batch(pa.array(texts[:2] * 3), encoder, 2)
+    assert set(encoder.where) == {"one", " two", " "}
+    encoded, bounds = token_archive.encode_batch(pa.array(texts), encoder, 2)
+    library = Tokenizer.from_file(path)
+    assert [encoded[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == [library.encode(t or "", add_special_tokens=False).ids + [2] for t in texts]
+
+
 def test_token_archive_matches_the_library(spark, odd):
     from tokenizers import Tokenizer
 

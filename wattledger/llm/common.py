@@ -6,6 +6,7 @@ import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -98,11 +99,12 @@ class SegmentEncoder:
 
     ``encode`` maps one string to its ids. Segments are encoded many at a time, joined by ``mark``, a string whose one
     id tells where a segment ends; those that hold ``mark`` or anything of ``alone`` are encoded by themselves, and so
-    are all if ``mark`` has no id of its own. The cache is emptied at ``most`` entries.
+    are all if ``mark`` has no id of its own; ``joined`` segments are encoded at a time. At ``most`` entries the cache goes
+    on with those that were met again after they were learned, if they are half of it at most.
     """
 
-    def __init__(self, encode: Callable[[str], list[int]], mark: str, alone: tuple[str, ...] = (), most: int = 700_000):
-        self.encode, self.mark, self.alone, self.most = encode, mark, (mark.strip(" "), *alone), most
+    def __init__(self, encode: Callable[[str], list[int]], mark: str, alone: tuple[str, ...] = (), most: int = 700_000, joined: int = 2000):
+        self.encode, self.mark, self.alone, self.most, self.joined = encode, mark, (mark.strip(" "), *alone), most, joined
         found = encode(mark)
         self.mark_id = found[0] if len(found) == 1 else None
         self._clear()
@@ -112,12 +114,24 @@ class SegmentEncoder:
         self.flat = np.zeros(1 << 16, np.uint32)
         self.starts = np.zeros(1 << 14, np.int64)
         self.counts = np.zeros(1 << 14, np.int32)
+        self.again = np.zeros(1 << 14, bool)
         self.used = 0
 
+    def _forget(self) -> None:
+        """Leave out what was learned and never met again."""
+        kept = np.flatnonzero(self.again[: len(self.where)])
+        if 2 * len(kept) > self.most:
+            self._clear()
+            return
+        words = list(compress(self.where, self.again.tolist()))
+        ids, counts = self._gather(kept)
+        self._clear()
+        self._add(words, ids, counts)
+
     def _learn(self, segments: list[str]) -> None:
         odd = [] if self.mark_id is not None else segments
-        for i in range(0, 0 if odd else len(segments), 2000):
-            some = segments[i : i + 2000]
+        for i in range(0, 0 if odd else len(segments), self.joined):
+            some = segments[i : i + self.joined]
             joined = self.mark.join(some)
             if joined.count(self.alone[0]) >= len(some) or any(x in joined for x in self.alone[1:]):
                 odd = odd + [s for s in some if any(x in s for x in self.alone)]
@@ -140,6 +154,7 @@ class SegmentEncoder:
         while n + len(segments) > len(self.starts):
             self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
             self.counts = np.concatenate([self.counts, np.zeros_like(self.counts)])
+            self.again = np.concatenate([self.again, np.zeros_like(self.again)])
         self.flat[self.used : total] = ids
         self.starts[n : n + len(segments)] = self.used + np.cumsum(counts) - counts
         self.counts[n : n + len(segments)] = counts
@@ -151,11 +166,15 @@ class SegmentEncoder:
         coded = segments.dictionary_encode()
         words = coded.dictionary.to_pylist()
         if len(self.where) + len(words) > self.most and self.where:
-            self._clear()
+            self._forget()
+        known = len(self.where)
         if missing := [w for w in words if w not in self.where]:
             self._learn(missing)
         slots = np.fromiter(map(self.where.__getitem__, words), np.int64, len(words))
-        at = slots[np.asarray(coded.indices, dtype=np.int64)] if len(segments) else np.zeros(0, np.int64)
+        self.again[slots[slots < known]] = True
+        return self._gather(slots[np.asarray(coded.indices, dtype=np.int64)] if len(segments) else np.zeros(0, np.int64))
+
+    def _gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         counts = self.counts[at].astype(np.int64)
         ends = np.cumsum(counts)
         total = int(ends[-1]) if len(ends) else 0

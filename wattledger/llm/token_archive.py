@@ -35,8 +35,9 @@ SAMPLE = 256  # one select sample for so many set bits
 SHARD_BYTES = 16 << 20  # of ids, about
 MOST_RANGES = 1 << 16  # of ids, each sorted in one task
 TASK_BYTES = 64 << 20  # what a task reads back, about
-SLICE_BYTES = 1 << 20  # of text that is encoded at a time, about
-PIECES = 250_000  # distinct pieces of text whose ids a Python worker remembers
+SLICE_BYTES = 2 << 20  # of text that is encoded at a time, about
+PIECES = 350_000  # distinct pieces of text whose ids a Python worker remembers
+JOINED = 100  # pieces in one call of the tokenizer, which takes longer than in step for longer texts
 
 
 class EliasFano:
@@ -132,7 +133,7 @@ def _encoder(path: str) -> SegmentEncoder:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        _encoders[path] = SegmentEncoder(lambda text: tokenizer.encode(text, add_special_tokens=False).ids, " \x01 ", tuple(t.content for t in tokenizer.get_added_tokens_decoder().values()), PIECES)
+        _encoders[path] = SegmentEncoder(lambda text: tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, " \x01 ", tuple(t.content for t in tokenizer.get_added_tokens_decoder().values()), PIECES, JOINED)
     return _encoders[path]
 
 
@@ -146,19 +147,20 @@ def encode_batch(texts: pa.Array, encoder: SegmentEncoder, end_id: int) -> tuple
 
     Texts are cut before ASCII white space, and between an ASCII letter and an ASCII sign after it. The tokenizer
     drops white space before it forms words, none of its words goes on from a letter to a sign, and no added token
-    holds white space; so the ids of the cuts are those of the text.
+    holds white space; so the ids of the cuts are those of the text. All white space counts as a blank to it, so here, too.
     """
     texts = pc.fill_null(texts.cast(pa.string()), "")
     added = np.asarray(pc.match_substring(texts, "<|")).any()
     if not added:
         texts = pc.ascii_lower(texts)  # the tokenizer lower-cases what isn't an added token
-    raw, bounds, data, first = string_bytes(texts)
+    raw, bounds, _, _ = string_bytes(texts)
+    raw = np.where(_WHITE[raw], np.uint8(32), raw)
     mark = np.zeros(len(raw) + 1, bool)
-    white = _WHITE[raw]
+    white = raw == 32
     mark[1:-1] = (white[1:] & ~white[:-1]) | (_LETTER[raw[:-1]] & _SIGN[raw[1:]])
     if added:  # these have letters before a sign
         mark[1:-1] = white[1:] & ~white[:-1]
-    cuts, edges = cut_at(mark, bounds, data, first)
+    cuts, edges = cut_at(mark, bounds, pa.py_buffer(raw), 0)
     ids, counts = encoder(cuts)
     passed = np.concatenate([[0], np.cumsum(counts)])
     return with_marks(ids, passed[edges], None, end_id)
